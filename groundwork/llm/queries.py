@@ -6,12 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundwork.llm import bit_planes, golomb, lexicon, token_counts
+from groundwork.llm import bit_planes, golomb, lexicon, simhash_bk, subword_classifier, token_counts
 from groundwork.llm.common import reading
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
+def op2_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = reading(spark, sf_dir, "documents", "doc_id", "text")
+    labels = reading(spark, sf_dir, "labels", "doc_id", "quality")
+    out = subword_classifier.held_out()
+    scored = subword_classifier.score(docs, subword_classifier.fit(docs, labels, learn_from=~out))
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = reading(spark, sf_dir, "documents", "doc_id", "text")
     folder, manifest = bit_planes.write_token_files(docs, public_tokenizers.path(WORD_BPE), end_id=2)
@@ -43,11 +51,18 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path(BYTE_BPE)).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_bk.near_duplicates(reading(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
+    "op2_subword_quality": op2_subword_quality,
     "op3_bit_planes": op3_bit_planes,
     "op5_lexicon_bpe": op5_lexicon_bpe,
     "op6_golomb_dedup": op6_golomb_dedup,
     "op8_token_counts": op8_token_counts,
+    "op10_simhash_bk": op10_simhash_bk,
 }
 
 ORACLE_SQL = {
