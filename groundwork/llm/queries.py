@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundwork.llm import bit_planes, golomb, lexicon, simhash_bk, subword_classifier, token_counts
+from groundwork.llm import bit_planes, golomb, lexicon, simhash_bk, subword_classifier, token_counts, winnowing
 from groundwork.llm.common import reading
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -46,6 +46,28 @@ SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_
 """
 
 
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = reading(spark, sf_dir, "documents", "doc_id", "text"), reading(spark, sf_dir, "benchmark", "item_id", "text")
+    found = winnowing.contamination(docs, items)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+m AS (SELECT item_id, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS t FROM (SELECT item_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM m)),
+ns AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT k, n, i, array_to_string(w[i : i + n - 1], ' ') AS t FROM (SELECT k, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, ns WHERE len(w) >= n)),
+h AS (SELECT dw.k, dw.n, dw.i, iw.item_id FROM dw JOIN iw ON dw.t = iw.t AND dw.n = iw.n),
+p AS (SELECT k, count(DISTINCT q) AS n_hit FROM (SELECT k, unnest(range(i, i + n)) AS q FROM (SELECT DISTINCT k, n, i FROM h)) GROUP BY k),
+s AS (SELECT k, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS x FROM h) GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (k) LEFT JOIN s USING (k)
+"""
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = reading(spark, sf_dir, "documents", "doc_id", "text")
     return token_counts.token_counts(docs, public_tokenizers.path(BYTE_BPE)).withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -61,10 +83,12 @@ QUERIES = {
     "op3_bit_planes": op3_bit_planes,
     "op5_lexicon_bpe": op5_lexicon_bpe,
     "op6_golomb_dedup": op6_golomb_dedup,
+    "op7_winnowing": op7_winnowing,
     "op8_token_counts": op8_token_counts,
     "op10_simhash_bk": op10_simhash_bk,
 }
 
 ORACLE_SQL = {
     "op6_golomb_dedup": OP6_SQL,
+    "op7_winnowing": OP7_SQL,
 }
