@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundwork.llm import bit_planes, golomb, lexicon, simhash_bk, subword_classifier, token_counts, winnowing
+from groundwork.llm import bit_planes, golomb, lexicon, ppm, simhash_bk, subword_classifier, token_counts, winnowing
 from groundwork.llm.common import reading
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
+def op1_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scores(reading(spark, sf_dir, "documents", "doc_id", "text"), ppm.held_out())
+
+
 def op2_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = reading(spark, sf_dir, "documents", "doc_id", "text")
     labels = reading(spark, sf_dir, "labels", "doc_id", "quality")
@@ -79,6 +83,7 @@ def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ppm": op1_ppm,
     "op2_subword_quality": op2_subword_quality,
     "op3_bit_planes": op3_bit_planes,
     "op5_lexicon_bpe": op5_lexicon_bpe,
