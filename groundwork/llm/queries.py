@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundwork.llm import bit_planes, golomb, lexicon, ppm, simhash_bk, subword_classifier, token_counts, winnowing
-from groundwork.llm.common import reading
+from groundwork.llm import bit_planes, golomb, lexicon, ppm, reply_trees, simhash_bk, subword_classifier, token_counts, warc_chunks, winnowing
+from groundwork.llm.common import reading, staged
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -30,6 +30,12 @@ def op3_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_planes.read_token_files(spark, folder, manifest, digest_only=True)
 
 
+def op4_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = reading(spark, sf_dir, "pages", "page_id", "url", "html")
+    folder, manifest = warc_chunks.write_archives(warc_chunks.chunk_table(pages))
+    return warc_chunks.read_archives(spark, folder, manifest)
+
+
 def op5_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = reading(spark, sf_dir, "documents", "doc_id", "text")
     path = public_tokenizers.path(WORD_BPE)
@@ -77,6 +83,16 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path(BYTE_BPE)).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op9_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    messages = staged(reply_trees.conversations_as_trees(reading(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(added)), "messages")
+    chosen = reply_trees.chosen_messages(messages)
+    turns = chosen.join(messages.select("tree", "node", "role", "text"), ["tree", "node"])
+    formatted = staged(reply_trees.format_paths(turns, ("tree", "leaf")), "formatted")
+    return reply_trees.read_back(formatted, ("tree",)).select("tree.conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
 def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_bk.near_duplicates(reading(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -86,10 +102,12 @@ QUERIES = {
     "op1_ppm": op1_ppm,
     "op2_subword_quality": op2_subword_quality,
     "op3_bit_planes": op3_bit_planes,
+    "op4_warc_chunks": op4_warc_chunks,
     "op5_lexicon_bpe": op5_lexicon_bpe,
     "op6_golomb_dedup": op6_golomb_dedup,
     "op7_winnowing": op7_winnowing,
     "op8_token_counts": op8_token_counts,
+    "op9_reply_trees": op9_reply_trees,
     "op10_simhash_bk": op10_simhash_bk,
 }
 
