@@ -146,3 +146,21 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         .select("doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"), "text_sha256")
         .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     )
+
+
+def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that stay, with all their columns; of rows that share id and text, one stays."""
+    told = staged(exact_duplicates(docs, id_col, text_col), "duplicates")
+    gone = told.where("NOT kept").select("doc_id", "text_sha256").distinct()
+    repeated = told.where("kept AND group_size > 1").groupBy("doc_id", "text_sha256").count().where("count > 1").select("doc_id", "text_sha256")
+    keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__sha": F.sha2(F.translate(F.coalesce(F.col(text_col), F.lit("")), WHITE.decode(), ""), 256)})
+
+    def matching(df: DataFrame, other: DataFrame, how: str) -> DataFrame:
+        side = small_or_shuffled(other.select(F.col("doc_id").alias("__o"), F.col("text_sha256").alias("__s")), other.count())
+        return df.join(side, F.col("__id").eqNullSafe(F.col("__o")) & (F.col("__sha") == F.col("__s")), how)
+
+    stay = matching(keyed, staged(gone, "gone"), "left_anti")
+    twice = staged(repeated, "repeated")
+    if twice.take(1):
+        stay = matching(stay, twice, "left_anti").unionByName(matching(stay, twice, "left_semi").dropDuplicates(["__id", "__sha"]))
+    return stay.select(*docs.columns)

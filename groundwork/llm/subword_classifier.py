@@ -146,6 +146,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one number a bucket: 1 MB
     mark = hash((model[0].tobytes(), model[1]))
     out = docs.select(*keep).withColumn("score", F.lit(0.0)).schema
+    kept = docs.select(*keep) if text_col in keep else docs.select(*keep, F.col(text_col).alias("__text"))
+    at_text = kept.columns.index(text_col) if text_col in keep else len(keep)
 
     def run(batches):
         if mark not in _SCORERS:
@@ -155,10 +157,10 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                found = scorer.scores(part.column(part.num_columns - 1).to_pylist())
+                found = scorer.scores([t or "" for t in part.column(at_text).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), pa.array(found, pa.float64())], names=[*keep, "score"])
 
-    return docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text")).mapInArrow(run, out)
+    return kept.mapInArrow(run, out)
 
 
 def held_out(id_col: str = "doc_id"):
