@@ -36,6 +36,17 @@ def op4_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_chunks.read_archives(spark, folder, manifest)
 
 
+_BITS = "array_to_string(list_transform(string_split(x, ''), lambda c: substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * strpos('0123456789abcdef', c) - 3, 4)), '')"
+_FIVE = " + ".join(f"{1 << (4 - j)} * CAST(substr(b, 5 * i + {j + 1}, 1) AS INT)" for j in range(5))
+OP4_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+q AS (SELECT page_id, h, {_BITS} AS b, min(page_id) OVER (PARTITION BY h) AS first_id FROM p)
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {_FIVE}, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM q
+"""
+
+
 def op5_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = reading(spark, sf_dir, "documents", "doc_id", "text")
     path = public_tokenizers.path(WORD_BPE)
@@ -93,6 +104,21 @@ def op9_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reply_trees.read_back(formatted, ("tree",)).select("tree.conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
+def _escapes(col: str) -> str:
+    """SQL for the number of backslashes that the template puts into a text."""
+    return " + ".join(f"(length({col}) - length(replace({col}, '{c}', ''))) // {len(c)}" for c in ("\\", "]", "<s>", "</s>", "[INST", "[/INST"))
+
+
+OP9_SQL = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+g AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+      coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+      sum(11 + length(role) + {_escapes('role')} + length(text) + {_escapes('text')}) AS formatted_chars FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars FROM g
+"""
+
+
 def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_bk.near_duplicates(reading(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -112,6 +138,8 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_warc_chunks": OP4_SQL,
     "op6_golomb_dedup": OP6_SQL,
     "op7_winnowing": OP7_SQL,
+    "op9_reply_trees": OP9_SQL,
 }
