@@ -19,7 +19,7 @@ def spark():
         SparkSession.builder.master("local[4]")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="groundwork-tests-"))
         .getOrCreate()
