@@ -164,84 +164,85 @@ def tries(counts: DataFrame, order: int = ORDER, most: int = SHARD_STRINGS):
         yield shards, shard, Trie(rows["code"].to_numpy(), rows["n"].to_numpy(), roots, order)
 
 
-def score_and_cut(texts: DataFrame, trie: Trie, shards: int, shard: int) -> DataFrame:
-    """Rows of texts(doc_id, held_out, score, text: binary) with this shard's part added to score."""
-    shared = texts.sparkSession.sparkContext.broadcast(trie)
-
-    def run(batches):
-        model = shared.value
-        for batch in batches:
-            added = np.zeros(batch.num_rows)
-            for first, part in slices(batch.column(3), BATCH_BYTES):
-                codes, starts = strings(part, model.order)
-                kinds = pa.array(codes).dictionary_encode()
-                values = kinds.dictionary.to_numpy()
-                by = np.argsort(values)
-                found = np.empty(len(values))
-                found[by] = model.log10(values[by])
-                if shards > 1:
-                    found[(values >> 8 & 255) % shards != shard] = 0
-                added[first : first + len(part)] = np.add.reduceat(found[kinds.indices.to_numpy()], starts)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(batch.column(2).to_numpy() + added), batch.column(3)], names=["doc_id", "held_out", "score", "text"])
-
-    return texts.mapInArrow(run, texts.schema)
+def scored_batches(batches, model: Trie, shards: int, shard: int):
+    """Batches of (doc_id, held_out, score, text) with a shard's part added to score."""
+    for batch in batches:
+        added = np.zeros(batch.num_rows)
+        for first, part in slices(batch.column(3), BATCH_BYTES):
+            codes, starts = strings(part, model.order)
+            kinds = pa.array(codes).dictionary_encode()
+            values = kinds.dictionary.to_numpy()
+            by = np.argsort(values)
+            found = np.empty(len(values))
+            found[by] = model.log10(values[by])
+            if shards > 1:
+                found[(values >> 8 & 255) % shards != shard] = 0
+            added[first : first + len(part)] = np.add.reduceat(found[kinds.indices.to_numpy()], starts)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(batch.column(2).to_numpy() + added), batch.column(3)], names=["doc_id", "held_out", "score", "text"])
 
 
 _PARTS = "kind string, part long, doc_id long, held_out boolean, score double, local binary, word binary, place int, n long"
 
 
-def cut_words(scored: DataFrame) -> DataFrame:
-    """Rows of kind doc (a document's words as places in its part's list) and of kind word (the list, with training counts)."""
-    schema = pa.schema([("kind", pa.string()), ("part", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("local", pa.binary()), ("word", pa.binary()), ("place", pa.int32()), ("n", pa.int64())])
+def word_batches(batches):
+    """Batches of kind doc (a document's words as places in its part's list) and of kind word (the list, with training counts)."""
+    from pyspark import TaskContext
 
-    def run(batches):
-        from pyspark import TaskContext
+    schema = pa.schema([("kind", pa.string()), ("part", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("local", pa.binary()), ("word", pa.binary()), ("place", pa.int32()), ("n", pa.int64())])
+    part, size = TaskContext.get().partitionId() << 24, 0
+    places: dict[bytes, int] = {}
+    trained: list[np.ndarray] = []
+
+    def word_rows():
+        n = np.bincount(np.concatenate([np.zeros(0, np.int32), *trained]), minlength=len(places)).astype(np.int64)
+        words, step = list(places), 100_000
+        for at in range(0, len(words), step):
+            some = words[at : at + step]
+            k = len(some)
+            yield pa.RecordBatch.from_arrays([pa.array(["word"] * k), pa.array(np.full(k, part)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.binary()), pa.array(some, pa.binary()), pa.array(np.arange(at, at + k, dtype=np.int32)), pa.array(n[at : at + k])], schema=schema)
+
+    for batch in batches:
+        for first, texts in slices(batch.column(3), BATCH_BYTES):
+            k = len(texts)
+            held = batch.column(1).slice(first, k)
+            local = []
+            for t, out in zip(texts, held.to_pylist(), strict=True):
+                words = t.split()
+                for w in set(words).difference(places):
+                    places[w] = len(places)
+                ids = np.fromiter(map(places.__getitem__, words), np.int32, len(words))
+                local.append(ids.tobytes())
+                size += len(t)
+                if not out:
+                    trained.append(ids)
+            yield pa.RecordBatch.from_arrays([pa.array(["doc"] * k), pa.array(np.full(k, part)), batch.column(0).slice(first, k), held, batch.column(2).slice(first, k), pa.array(local, pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())], schema=schema)
+            if size > PART_BYTES:
+                yield from word_rows()
+                part, size = part + 1, 0
+                places.clear()
+                trained.clear()
+    if places:
+        yield from word_rows()
 
-        part, size = TaskContext.get().partitionId() << 24, 0
-        places: dict[bytes, int] = {}
-        trained: list[np.ndarray] = []
 
-        def word_rows():
-            n = np.bincount(np.concatenate([np.zeros(0, np.int32), *trained]), minlength=len(places)).astype(np.int64)
-            k = len(places)
-            yield pa.RecordBatch.from_arrays([pa.array(["word"] * k), pa.array(np.full(k, part)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.binary()), pa.array(list(places), pa.binary()), pa.array(np.arange(k, dtype=np.int32)), pa.array(n)], schema=schema)
+def score_and_cut(texts: DataFrame, trie: Trie, shards: int, shard: int) -> DataFrame:
+    """Rows of texts(doc_id, held_out, score, text: binary) with this shard's part added to score; after the last shard, cut into words.
 
-        for batch in batches:
-            for first, texts in slices(batch.column(3), BATCH_BYTES):
-                k = len(texts)
-                held = batch.column(1).slice(first, k)
-                local = []
-                for t, out in zip(texts, held.to_pylist(), strict=True):
-                    words = t.split()
-                    for w in set(words).difference(places):
-                        places[w] = len(places)
-                    ids = np.fromiter(map(places.__getitem__, words), np.int32, len(words))
-                    local.append(ids.tobytes())
-                    size += len(t)
-                    if not out:
-                        trained.append(ids)
-                yield pa.RecordBatch.from_arrays([pa.array(["doc"] * k), pa.array(np.full(k, part)), batch.column(0).slice(first, k), held, batch.column(2).slice(first, k), pa.array(local, pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())], schema=schema)
-                if size > PART_BYTES:
-                    yield from word_rows()
-                    part, size = part + 1, 0
-                    places.clear()
-                    trained.clear()
-        if places:
-            yield from word_rows()
-
-    return scored.mapInArrow(run, _PARTS)
+    Scoring and cutting share a worker, so a text crosses to Python once and no task holds two workers.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(trie)
+    if shard + 1 < shards:
+        return staged(texts.mapInArrow(lambda batches: scored_batches(batches, shared.value, shards, shard), texts.schema), "scored")
+    return staged(texts.mapInArrow(lambda batches: word_batches(scored_batches(batches, shared.value, shards, shard)), _PARTS), "words", "kind")
 
 
 def scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
     """Learn from the rows of docs where held_out is false and score all: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), F.lit(0.0).alias("score"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     counts = staged(count_strings(texts.where("NOT held_out").select("text"), order), "strings")
-    scored = texts
+    cut = texts
     for shards, shard, trie in tries(counts, order):
-        scored = score_and_cut(scored, trie, shards, shard)
-        if shard + 1 < shards:
-            scored = staged(scored, "scored")
-    cut = staged(cut_words(scored), "words", "kind")
+        cut = score_and_cut(cut, trie, shards, shard)
     rows = cut.where("kind = 'doc'").select("part", "doc_id", "held_out", "score", "local")
     by_word = Window.partitionBy("word").orderBy("part")
     whole = by_word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
