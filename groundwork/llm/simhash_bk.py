@@ -231,9 +231,9 @@ def by_shard(keyed: DataFrame, work, schema: str, shard: int = SHARD) -> DataFra
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])).cast(f.type) for i, f in enumerate(arrow)], schema=arrow)
 
         for key, held in shards(batches):
-            if sum(len(h[0]) for h in held) < 2:
-                continue
             own, ids = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+            if len(ids) < 2 or (key[2] != key[3] and len(set(own.tolist())) < 2):
+                continue
             values = np.frombuffer(b"".join(v.as_py() for h in held for v in h[2]), np.uint64).reshape(len(ids), -1)
             columns = work(key[0], key[1], ids, values, own == key[2] if key[2] != key[3] else None)
             if len(columns[0]):
