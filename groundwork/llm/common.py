@@ -36,6 +36,17 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """A Python worker's one large memory, made by make(); asking for another drops it, as workers serve many operators one after the other."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
     """A join side of `rows` counted rows: broadcast it while that is within BROADCAST_ROWS, else leave it to a shuffle join."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

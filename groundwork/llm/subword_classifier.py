@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import crc_of_id
+from groundwork.llm.common import crc_of_id, held
 
 BUCKETS, SIZE, GRAMS = 1 << 18, 16, (3, 4, 5)
 #: The feature of a repeated word; the hashed features have the buckets before it.
@@ -112,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 class Scorer:
     """Scores texts, remembering the sums of at most `most` words."""
 
-    def __init__(self, table: np.ndarray, bias: float, most: int = 1_000_000):
+    def __init__(self, table: np.ndarray, bias: float, most: int = 600_000):
         self.table, self.bias, self.most = table.astype(np.float64), bias, most
         self.sums: dict[str, float] = {}
         self.counts: dict[str, int] = {}
@@ -138,9 +138,6 @@ class Scorer:
         return (1 / (1 + np.exp(-np.clip(z, -500, 500)))).tolist()
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
 def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """keep columns of docs and score (double, 0 to 1: class 1 likelier) for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one number a bucket: 1 MB
@@ -150,10 +147,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...
     at_text = kept.columns.index(text_col) if text_col in keep else len(keep)
 
     def run(batches):
-        if mark not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[mark] = Scorer(*shared.value)
-        scorer = _SCORERS[mark]
+        scorer = held(("scorer", mark), lambda: Scorer(*shared.value))
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)

@@ -15,18 +15,16 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import byte_batches
+from groundwork.llm.common import byte_batches, held
 
 _TWO_SPACES = re.compile(r"\s\s")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
-_COUNTERS: dict[tuple, PieceCounter] = {}
 
 
 def splits_at_spaces(path: str) -> bool:
@@ -90,10 +88,6 @@ class PieceCounter:
         return [self.first[p[0]] + sum(map(look, p[1:])) for p in cut]
 
 
-def _groups(texts: list[str], max_bytes: int) -> Iterator[list[str]]:
-    yield from byte_batches(texts, max_bytes)
-
-
 def token_counts(df: DataFrame, tokenizer_path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), group_bytes: int = 8_000_000) -> DataFrame:
     """keep columns, n_bytes (UTF-8) and n_tokens (both long) for every row of df; other columns of df are not read."""
     kept = df.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
@@ -101,13 +95,11 @@ def token_counts(df: DataFrame, tokenizer_path: str, text_col: str = "text", kee
     names = list(keep)
 
     def run(batches):
-        counter = _COUNTERS.get(tokenizer_path)
-        if counter is None:
-            counter = _COUNTERS[tokenizer_path] = PieceCounter(tokenizer_path)
+        counter = held(("pieces", tokenizer_path), lambda: PieceCounter(tokenizer_path))
         for batch in batches:
             text = batch.column(batch.num_columns - 1)
             lengths: list[int] = []
-            for group in _groups(text.to_pylist(), group_bytes):
+            for group in byte_batches(text.to_pylist(), group_bytes):
                 lengths += counter.lengths(group)
             columns = [batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*columns, pc.binary_length(text.cast(pa.binary())).cast(pa.int64()), pa.array(lengths, pa.int64())], names=[*names, "n_bytes", "n_tokens"])
