@@ -14,7 +14,6 @@ from functools import lru_cache
 import regex
 
 _PLAIN = regex.compile(r"[!-~¡-ÿ]*")
-_LETTERS = regex.compile(r"[A-Za-z]+")
 
 
 def byte_letters() -> str:
@@ -52,6 +51,7 @@ class WordVocabulary:
         self.vocab: dict[str, int] = dict(spec["model"]["vocab"])
         self.merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self._mark = os.path.commonprefix(list(self.added))
         self._split = regex.compile(split["pattern"]["Regex"])
         letters = byte_letters()
         self._bytes = {i: c for i, c in enumerate(letters)}
@@ -65,9 +65,12 @@ class WordVocabulary:
 
     def pieces(self, chunk: str) -> list[str] | None:
         """Byte-level pieces of a plain chunk; None for a chunk that the library must take whole."""
-        if _LETTERS.fullmatch(chunk):
-            return [chunk.lower()]
-        if not _PLAIN.fullmatch(chunk) or any(c in chunk for c in self.added):
+        if chunk.isascii():
+            if chunk.isalpha():
+                return [chunk.lower()]
+            if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
+                return [chunk[:-1].lower(), chunk[-1]]
+        if not _PLAIN.fullmatch(chunk) or (self._mark in chunk and any(c in chunk for c in self.added)):
             return None
         return [self.to_letters(p) for p in self._split.findall(chunk.lower())]
 

@@ -24,9 +24,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundwork.llm.bpe_words import chunks, vocabulary
+from groundwork.llm.bpe_words import byte_letters, chunks, vocabulary
+from groundwork.llm.common import held, staged
 
-#: Most frequent pieces that the automaton holds.
+#: The rank of pairs that do not merge.
+NONE = 1 << 60
+#: Most frequent words that the automaton holds.
 LEXICON_WORDS = 100_000
 
 
@@ -36,23 +39,87 @@ class Merger:
     def __init__(self, path: str):
         v = vocabulary(path)
         self.vocab, self.suffix = v.vocab, v.suffix
-        self.rank = {v.vocab[a] << 20 | v.vocab[b]: (r, v.vocab[a + b]) for r, (a, b) in enumerate(v.merges)}
+        self.rank = {v.vocab[a] << 20 | v.vocab[b]: r << 20 | v.vocab[a + b] for r, (a, b) in enumerate(v.merges)}
+        self.keys = np.array(sorted(self.rank), np.int64)
+        self.packed = np.array([self.rank[k] for k in self.keys.tolist()], np.int64)
+        alphabet = byte_letters()
+        self.letters = np.zeros(max(map(ord, alphabet)) + 1, np.int64)
+        self.endings = np.zeros(max(v.vocab[c] for c in alphabet) + 1, np.int64)
+        for c in alphabet:
+            self.letters[ord(c)] = v.vocab[c]
+            self.endings[v.vocab[c]] = v.vocab[c + v.suffix]
 
     def ids(self, piece: str) -> list[int]:
         ids = [self.vocab[c] for c in piece[:-1]]
         ids.append(self.vocab[piece[-1] + self.suffix])
         return self._short(ids) if len(ids) <= 48 else self._long(ids)
 
+    def many(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of many pieces; those of up to 48 letters are merged together, one merge of each in a round."""
+        out: list[list[int]] = [[]] * len(pieces)
+        by_size: dict[int, list[int]] = {}
+        for i, p in enumerate(pieces):
+            if len(p) > 48:
+                out[i] = self.ids(p)
+            else:
+                by_size.setdefault(-(-len(p) // 8), []).append(i)
+        for places in by_size.values():
+            for at in range(0, len(places), 20_000):
+                some = places[at : at + 20_000]
+                for i, ids in zip(some, self._together([pieces[i] for i in some]), strict=True):
+                    out[i] = ids
+        return out
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank and new id (packed) of pairs of ids; NONE where they do not merge."""
+        key = a << 20 | b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((a >= 0) & (b >= 0) & (self.keys[at] == key), self.packed[at], NONE)
+
+    def _together(self, pieces: list[str]) -> list[list[int]]:
+        sizes = np.array([len(p) for p in pieces])
+        width = int(sizes.max())
+        ids = np.full((len(pieces), width), -1, np.int64)
+        inside = np.arange(width) < sizes[:, None]
+        ids[inside] = self.letters[np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32)]
+        last = (np.arange(len(pieces)), sizes - 1)
+        ids[last] = self.endings[ids[last]]
+        done, rows = [None] * len(pieces), np.arange(len(pieces))
+        ranks = self._ranks(ids[:, :-1], ids[:, 1:]) if width > 1 else np.full((len(pieces), 1), NONE)
+        columns = np.arange(width)
+        while len(rows):
+            best = ranks.argmin(axis=1)
+            packed = ranks[np.arange(len(rows)), best]
+            over = packed == NONE
+            if over.any():
+                for r, found in zip(rows[over].tolist(), ids[over].tolist(), strict=True):
+                    done[r] = [x for x in found if x >= 0]
+                rows, ids, ranks, best, packed = (x[~over] for x in (rows, ids, ranks, best, packed))
+                if not len(rows):
+                    break
+            each = np.arange(len(rows))
+            ids[each, best] = packed & 0xFFFFF
+            shift = np.minimum(columns + (columns > best[:, None]), width - 1)
+            tail = ids[:, -1].copy()
+            ids = np.take_along_axis(ids, shift, axis=1)
+            ids[:, -1] = np.where(best == width - 1, tail, -1)
+            ranks = np.take_along_axis(ranks, np.minimum(columns[:-1] + (columns[:-1] > best[:, None]), width - 2), axis=1)
+            ranks[:, -1] = NONE
+            for j in (best - 1, best):
+                ok = (j >= 0) & (j < width - 1)
+                ranks[each[ok], j[ok]] = self._ranks(ids[each[ok], j[ok]], ids[each[ok], j[ok] + 1])
+        return done
+
     def _short(self, ids: list[int]) -> list[int]:
-        rank, none = self.rank, (1 << 40, 0)
+        rank, none = self.rank, NONE
         pairs = [rank.get(a << 20 | b, none) for a, b in zip(ids, ids[1:], strict=False)]
         while pairs:
             best = min(pairs)
-            if best is none:
+            if best == none:
                 break
             i = pairs.index(best)
-            ids[i : i + 2] = [best[1]]
-            del pairs[i]
+            ids[i] = best & 0xFFFFF
+            del ids[i + 1], pairs[i]
             if i < len(pairs):
                 pairs[i] = rank.get(ids[i] << 20 | ids[i + 1], none)
             if i:
@@ -66,7 +133,7 @@ class Merger:
 
         def offer(i: int) -> None:
             if i >= 0 and after[i] >= 0 and (found := self.rank.get(ids[i] << 20 | ids[after[i]])):
-                heapq.heappush(heap, (found[0], i, ids[i], ids[after[i]]))
+                heapq.heappush(heap, (found >> 20, i, ids[i], ids[after[i]]))
 
         for i in range(n - 1):
             offer(i)
@@ -75,7 +142,7 @@ class Merger:
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue
-            ids[i], ids[j] = self.rank[a << 20 | b][1], -1
+            ids[i], ids[j] = self.rank[a << 20 | b] & 0xFFFFF, -1
             after[i] = after[j]
             if after[i] >= 0:
                 before[after[i]] = i
@@ -187,30 +254,40 @@ class Lexicon:
         return out
 
 
-def frequent_pieces(docs: DataFrame, tokenizer_path: str, text_col: str = "text", most: int = LEXICON_WORDS) -> list[str]:
-    """The pieces (byte-level letters) that occur most in all texts, ties in alphabetical order: at most `most` of them."""
+def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON_WORDS) -> list[str]:
+    """The words (runs of letters between spaces, but for full stops and commas at the end; lower-cased) that occur most in all texts.
+
+    They are all those of the least count (2 or more) that leaves at most `most`.
+    """
 
     def run(batches):
-        v = vocabulary(tokenizer_path)
         for batch in batches:
             seen: Counter[str] = Counter()
             for text in batch.column(0):
                 seen.update(chunks(text.as_py()))
-            pieces: Counter[str] = Counter()
+            words: dict[str, int] = {}
             for chunk, n in seen.items():
-                for p in v.pieces(chunk) or ():
-                    pieces[p] += n
-            yield pa.RecordBatch.from_arrays([pa.array(pieces.keys(), pa.string()), pa.array(pieces.values(), pa.int64())], names=["piece", "n"])
-
-    counted = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, "piece string, n long")
-    top = counted.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(most)
-    return [r.piece for r in top.select("piece").collect()]
+                w = chunk.rstrip(".,")
+                if w.isalpha():
+                    w = w.lower()
+                    words[w] = words.get(w, 0) + n
+            yield pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], names=["word", "n"])
+
+    counted = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, "word string, n long")
+    repeated = staged(counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "words")
+    room, least = most, 0
+    for n, pieces in sorted(((r.n, r["count"]) for r in repeated.groupBy(F.least("n", F.lit(100_000)).alias("n")).count().collect()), reverse=True):  # at most 100,000 numbers
+        if pieces > room:
+            break
+        room, least = room - pieces, n
+    return [r.word for r in repeated.where(F.col("n") >= least).select("word").collect()] if room < most else []
 
 
 def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text", most: int = LEXICON_WORDS) -> str:
     """Compile the corpus's frequent pieces and hand the file to all executors; returns its name for encode()."""
-    merger = Merger(tokenizer_path)
-    data = compile_lexicon({p.encode(): merger.ids(p) for p in frequent_pieces(docs, tokenizer_path, text_col, most)})
+    merger, letters = Merger(tokenizer_path), vocabulary(tokenizer_path).to_letters
+    pieces = list(map(letters, frequent_words(docs, text_col, most)))
+    data = compile_lexicon({p.encode(): ids for p, ids in zip(pieces, merger.many(pieces), strict=True)})
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
     with open(path, "wb") as f:
@@ -222,14 +299,18 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
 class Codec:
     """Encodes texts chunk by chunk; remembers the outputs of at most `most` chunks and ids of as many merged pieces."""
 
-    def __init__(self, tokenizer_path: str, lexicon_path: str | None, most: int = 400_000):
+    def __init__(self, tokenizer_path: str, lexicon_path: str | None, most: int = 600_000):
         self.vocab, self.merger, self.most = vocabulary(tokenizer_path), Merger(tokenizer_path), most
         if self.vocab.decoder is not None:
             raise ValueError("only vocabularies whose decoder joins tokens by spaces are known here")
         self.lexicon = Lexicon(lexicon_path) if lexicon_path else None
-        self.tokens = self.vocab.tokens
+        tokens = self.vocab.tokens
+        self.tokens, self.names = tokens, {i: str(i) for i in tokens}
         self.by_chunk: dict[str, tuple[int, str, str] | None] = {}
-        self.by_piece: dict[str, list[int]] = {}
+        self.by_piece: dict[str, tuple[int, str, str]] = {}
+
+    def _shown(self, ids: list[int]) -> tuple[int, str, str]:
+        return len(ids), " ".join(map(self.names.__getitem__, ids)), " ".join(map(self.tokens.__getitem__, ids))
 
     def learn(self, unseen: set[str]) -> None:
         """Outputs of chunks: count, ids as text, tokens as text."""
@@ -237,33 +318,37 @@ class Codec:
             self.by_chunk.clear()
         if len(self.by_piece) > self.most:
             self.by_piece.clear()
-        todo = unseen.difference(self.by_chunk)
-        cut = {c: self.vocab.pieces(c) for c in todo}
+        cut = {c: [c.lower()] if c.isascii() and c.isalpha() else self.vocab.pieces(c) for c in unseen.difference(self.by_chunk)}
         new = list({p for ps in cut.values() if ps for p in ps}.difference(self.by_piece))
-        for p, ids in zip(new, self.lexicon.look_up([p.encode() for p in new]) if self.lexicon else [None] * len(new), strict=True):
-            self.by_piece[p] = self.merger.ids(p) if ids is None else ids
+        found = self.lexicon.look_up([p.encode() for p in new]) if self.lexicon else [None] * len(new)
+        strange = [p for p, ids in zip(new, found, strict=True) if ids is None]
+        merged = iter(self.merger.many(strange))
+        for p, ids in zip(new, found, strict=True):
+            self.by_piece[p] = self._shown(next(merged) if ids is None else ids)
+        known = self.by_piece.__getitem__
         for c, ps in cut.items():
-            ids = self.vocab.tokenizer.encode(c, add_special_tokens=False).ids if ps is None else [i for p in ps for i in self.by_piece[p]]
-            self.by_chunk[c] = (len(ids), " ".join(map(str, ids)), " ".join(map(self.tokens.__getitem__, ids))) if ids else None
+            if ps is None:
+                ids = self.vocab.tokenizer.encode(c, add_special_tokens=False).ids
+                self.by_chunk[c] = self._shown(ids) if ids else None
+            elif len(ps) == 1:
+                self.by_chunk[c] = known(ps[0])
+            elif ps:
+                n, ids, tokens = zip(*map(known, ps), strict=True)
+                self.by_chunk[c] = sum(n), " ".join(ids), " ".join(tokens)
+            else:
+                self.by_chunk[c] = None
 
     def encode(self, text: str) -> list[tuple[int, str, str]]:
         return [x for x in map(self.by_chunk.__getitem__, chunks(text)) if x]
 
 
-_CODECS: dict[tuple, Codec] = {}
-
-
 def encode(docs: DataFrame, tokenizer_path: str, lexicon: str | None = None, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """keep columns, n_tokens (long), ids (decimal, one space between) and decoded (what the tokenizer's decode gives for them)."""
     out = docs.select(*keep).withColumns({"n_tokens": F.lit(0).cast("long"), "ids": F.lit(""), "decoded": F.lit("")}).schema
     names = [*keep, "n_tokens", "ids", "decoded"]
 
     def run(batches):
-        key = (tokenizer_path, lexicon)
-        if key not in _CODECS:
-            _CODECS.clear()
-            _CODECS[key] = Codec(tokenizer_path, SparkFiles.get(lexicon) if lexicon else None)
-        codec = _CODECS[key]
+        codec = held(("codec", tokenizer_path, lexicon), lambda: Codec(tokenizer_path, SparkFiles.get(lexicon) if lexicon else None))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
