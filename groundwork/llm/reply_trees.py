@@ -65,25 +65,29 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
 def paths(messages: DataFrame, most_rounds: int = 40) -> DataFrame:
     """tree, leaf, depth (messages), score (mean) and branch_rank of each root-to-leaf path of messages(tree, node, parent, score).
 
-    Rank 1 is the best mean score, ties go to the smaller leaf. `up` tables of all rounds are in the result of chosen_messages.
+    Rank 1 is the best mean score, ties go to the smaller leaf.
     """
-    return _ranked(_jumps(messages, most_rounds)[-1], messages)
+    return _ranked(_jumps(messages, most_rounds)[0], messages)
 
 
-def _jumps(messages: DataFrame, most_rounds: int) -> list[DataFrame]:
-    """Tables (tree, node, up, steps, total): after round j, up is 2^j messages above, or null where that is beyond the root."""
+def _jumps(messages: DataFrame, most_rounds: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Every message's way to the root (tree, node, up, steps, total; up null unless it is in a cycle), and per round j the messages that have one 2^j above, up.
+
+    Only messages that have not reached their root take part in a round.
+    """
     nodes = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there")).distinct()
     first = nodes.join(known, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("steps"), F.col("score").alias("total"))
-    tables = [staged(first, "jumps")]
+    now, climbing = staged(first, "jumps"), []
     for _ in range(most_rounds):
-        now = tables[-1]
-        if not now.where("up IS NOT NULL").take(1):
+        live = now.where("up IS NOT NULL")
+        if not live.take(1):
             break
+        climbing.append(live.select("tree", "node", "up"))
         far = now.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"), F.col("total").alias("total2"))
-        moved = now.join(far, ["tree", "up"], "left").select("tree", "node", F.col("up2").alias("up"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"))
-        tables.append(staged(moved, "jumps"))
-    return tables
+        moved = live.join(far, ["tree", "up"]).select("tree", "node", F.col("up2").alias("up"), (F.col("steps") + F.col("steps2")).alias("steps"), (F.col("total") + F.col("total2")).alias("total"))
+        now = staged(moved.union(now.where("up IS NULL")), "jumps")
+    return now, climbing
 
 
 def _ranked(top: DataFrame, messages: DataFrame) -> DataFrame:
@@ -95,11 +99,11 @@ def _ranked(top: DataFrame, messages: DataFrame) -> DataFrame:
 
 def chosen_messages(messages: DataFrame, best: int = 1, most_rounds: int = 40) -> DataFrame:
     """tree, leaf, branch_rank, turn (from 0), node: the messages of each tree's `best` paths of messages(tree, node, parent, score)."""
-    tables = _jumps(messages, most_rounds)
-    chosen = _ranked(tables[-1], messages).where(F.col("branch_rank") <= best)
-    reached = chosen.select("tree", "leaf", "branch_rank", F.col("leaf").alias("node"), (F.col("depth") - 1).alias("turn"))
-    for j in range(len(tables) - 1, -1, -1):  # each message also gives the one 2^j above it
-        above = reached.join(tables[j].where("up IS NOT NULL").select("tree", "node", "up"), ["tree", "node"]).select("tree", "leaf", "branch_rank", F.col("up").alias("node"), (F.col("turn") - (1 << j)).alias("turn"))
+    ways, climbing = _jumps(messages, most_rounds)
+    chosen = _ranked(ways, messages).where(F.col("branch_rank") <= best)
+    reached = staged(chosen.select("tree", "leaf", "branch_rank", F.col("leaf").alias("node"), (F.col("depth") - 1).alias("turn")), "path")
+    for j in range(len(climbing) - 1, -1, -1):  # each message also gives the one 2^j above it
+        above = reached.join(climbing[j], ["tree", "node"]).select("tree", "leaf", "branch_rank", F.col("up").alias("node"), (F.col("turn") - (1 << j)).alias("turn"))
         reached = staged(reached.union(above), "path")
     return reached.distinct()
 
