@@ -20,7 +20,8 @@ import json
 import struct
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from groundwork.llm.bpe_words import chunks, vocabulary
-from groundwork.llm.common import new_path, staged
+from groundwork.llm.common import held, new_path, staged
 
 MAGIC = b"IDPLANE1"
 BLOCK_IDS = 65_536
@@ -38,27 +39,31 @@ FILE_IDS = 4_000_000
 
 def to_planes(ids: np.ndarray, planes: str) -> list[bytes]:
     """The planes of one block of uint32 ids, lowest first; planes of zeros at the top are left out."""
-    as_bytes = ids.astype("<u4").view(np.uint8).reshape(-1, 4)
+    bits = int(ids.max(initial=0)).bit_length()
+    width = (bits + 7) // 8
+    as_bytes = ids.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width]
     if planes == "byte":
-        rows = np.ascontiguousarray(as_bytes.T)
-    else:
-        bits = np.unpackbits(as_bytes, axis=1, bitorder="little")
-        rows = np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little")
-    used = int(np.nonzero(rows.any(axis=1))[0].max(initial=-1)) + 1
-    return [rows[i].tobytes() for i in range(used)]
+        return [np.ascontiguousarray(as_bytes[:, i]).tobytes() for i in range(width)]
+    rows = []
+    for i in range(width):
+        column = np.ascontiguousarray(as_bytes[:, i])
+        rows += [np.packbits(column & np.uint8(1 << k), bitorder="little").tobytes() for k in range(min(8, bits - 8 * i))]
+    return rows
 
 
 def from_planes(rows: list[bytes], n: int, planes: str) -> np.ndarray:
     """The uint32 ids of one block."""
+    table = np.zeros((n, 4), np.uint8)
     if planes == "byte":
-        table = np.zeros((4, n), np.uint8)
         for i, row in enumerate(rows):
-            table[i] = np.frombuffer(row, np.uint8)
-        return np.ascontiguousarray(table.T).view("<u4").reshape(-1)
-    bits = np.zeros((32, n), np.uint8)
-    for i, row in enumerate(rows):
-        bits[i] = np.unpackbits(np.frombuffer(row, np.uint8), count=n, bitorder="little")
-    return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view("<u4").reshape(-1)
+            table[:, i] = np.frombuffer(row, np.uint8)
+        return table.view("<u4").reshape(-1)
+    for i in range(0, len(rows), 8):
+        column = np.zeros(n, np.uint8)
+        for k, row in enumerate(rows[i : i + 8]):
+            column |= np.unpackbits(np.frombuffer(row, np.uint8), count=n, bitorder="little") << np.uint8(k)
+        table[:, i // 8] = column
+    return table.view("<u4").reshape(-1)
 
 
 class IdFileWriter:
@@ -144,39 +149,51 @@ class IdFile:
             held, base = held[at - base :], at
 
 
-class DocumentEncoder:
-    """Ids of whole texts by the tokenizers library, each distinct chunk and piece encoded once while it is remembered."""
+class _Pieces(dict):
+    """Ids (as bytes) by piece, from the tokenizers library's own model."""
+
+    def __init__(self, model):
+        self.tokenize = model.tokenize
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = array("I", [t.id for t in self.tokenize(piece)]).tobytes()
+        return ids
+
+
+class _Chunks(dict):
+    """Ids (as bytes) by chunk."""
 
-    def __init__(self, path: str, end_id: int | None, most: int = 600_000):
-        self.vocab, self.end, self.most = vocabulary(path), b"" if end_id is None else np.array([end_id], "<u4").tobytes(), most
-        self.model = self.vocab.tokenizer.model
-        self.by_chunk: dict[str, bytes] = {}
-        self.by_piece: dict[str, bytes] = {}
+    def __init__(self, vocab, pieces: _Pieces):
+        self.vocab, self.pieces, self.piece = vocab, pieces, pieces.__getitem__
 
-    def _piece(self, piece: str) -> bytes:
-        ids = self.by_piece.get(piece)
-        if ids is None:
-            ids = self.by_piece[piece] = np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
+    def __missing__(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            ids = self.pieces[chunk.lower()]
+        elif (cut := self.vocab.pieces(chunk)) is None:
+            ids = array("I", self.vocab.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+        else:
+            ids = b"".join(map(self.piece, cut))
+        self[chunk] = ids
         return ids
 
-    def _chunk(self, chunk: str) -> bytes:
-        pieces = self.vocab.pieces(chunk)
-        if pieces is None:
-            return np.array(self.vocab.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self._piece, pieces))
+
+class DocumentEncoder:
+    """Ids of whole texts by the tokenizers library, each distinct chunk and piece encoded once while it is remembered."""
+
+    def __init__(self, path: str, end_id: int | None, most: int = 900_000):
+        vocab = vocabulary(path)
+        self.end, self.most = b"" if end_id is None else array("I", [end_id]).tobytes(), most
+        self.pieces = _Pieces(vocab.tokenizer.model)
+        self.chunks = _Chunks(vocab, self.pieces)
+        self.look = self.chunks.__getitem__
 
     def encode(self, text: str) -> np.ndarray:
-        words = chunks(text)
-        if len(self.by_chunk) > self.most:
-            self.by_chunk.clear()
-        if len(self.by_piece) > self.most:
-            self.by_piece.clear()
-        for w in set(words).difference(self.by_chunk):
-            self.by_chunk[w] = self._chunk(w)
-        return np.frombuffer(b"".join(map(self.by_chunk.__getitem__, words)) + self.end, "<u4")
+        for held in (self.chunks, self.pieces):
+            if len(held) > self.most:
+                held.clear()
+        return np.frombuffer(b"".join(map(self.look, chunks(text))) + self.end, np.uint32)
 
 
-_ENCODERS: dict[tuple, DocumentEncoder] = {}
 MANIFEST = "file string, part int, seq int, n_docs long, n_ids long, n_bytes long"
 
 
@@ -193,10 +210,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None =
         from pyarrow import fs
         from pyspark import TaskContext
 
-        key = (tokenizer_path, end_id)
-        encoder = _ENCODERS.get(key)
-        if encoder is None:
-            encoder = _ENCODERS[key] = DocumentEncoder(tokenizer_path, end_id)
+        encoder = held(("documents", tokenizer_path, end_id), lambda: DocumentEncoder(tokenizer_path, end_id))
         store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
         store.create_dir(root, recursive=True)
         part, seq = TaskContext.get().partitionId(), 0
@@ -244,7 +258,3 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, dige
 
     rest = [] if digest_only else ["ids"]
     return files.mapInArrow(run, schema).join(starts, "file").select("doc_id", (F.col("at") + F.col("file_start")).alias("start"), "n_tokens", "ids_crc32", *rest)
-
-
-def id_bytes(ids: Iterable[int]) -> bytes:
-    return np.fromiter(ids, "<u4").tobytes()
