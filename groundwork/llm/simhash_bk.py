@@ -31,23 +31,30 @@ from groundwork.llm.components import components
 SHARD, LEAF = 4096, 64
 
 
-WIDE_WORDS, BAND = 16, 21
-_SEEDS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) & 0xFFFFFFFFFFFFFFFF for i in range(WIDE_WORDS)], np.uint64)
+#: Sets of similarity s share one of BANDS bands of ROWS least hashes, but for a chance of (1 - s ** ROWS) ** BANDS.
+ROWS, BANDS, SETS = 5, 52, 1024
+_MULTIPLY, _FLIP = (np.random.default_rng(10).integers(0, 1 << 32, (2, ROWS * BANDS), dtype=np.uint64) | 1).astype(np.uint32)
+_FOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def wide_simhash(words: list[bytes], k: int) -> bytes:
-    """A sketch of WIDE_WORDS times 64 bits of the set of a text's k-word shingles."""
+def shingle_set(words: list[bytes], k: int) -> np.ndarray:
+    """The sorted distinct 64-bit hashes of a text's k-word shingles; a text of fewer words is one shingle."""
     shingles = set(map(b" ".join, zip(*(words[i:] for i in range(k)), strict=False))) or {b" ".join(words)}
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(s, 42) for s in shingles), np.uint64, len(shingles))
-    ones = np.zeros(64 * WIDE_WORDS, np.int64)
-    for at in range(0, len(h), 255):
-        mixed = h[at : at + 255, None] * _SEEDS[None, :]
-        mixed ^= mixed >> np.uint64(29)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        mixed ^= mixed >> np.uint64(32)
-        ones += np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
-    return np.packbits(ones * 2 > len(h), bitorder="little").tobytes()
+    return np.unique(np.fromiter((digest(s, 42) for s in shingles), np.uint64, len(shingles)))
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each of BANDS bands of ROWS least hashes of a set."""
+    low = hashes.astype(np.uint32)
+    least = np.full(ROWS * BANDS, 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(low), 256):
+        np.minimum(least, ((low[at : at + 256, None] ^ _FLIP) * _MULTIPLY).min(axis=0), out=least)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for row in least.reshape(ROWS, BANDS).astype(np.uint64):
+        keys = (keys ^ row) * _FOLD
+        keys ^= keys >> np.uint64(32)
+    return keys
 
 
 def simhash(words: list[bytes], k: int, seed: int = 42) -> int:
@@ -167,16 +174,40 @@ def shard_links(values: np.ndarray, own: np.ndarray | None, radius: int) -> tupl
     return moved, joined.root[moved]
 
 
-def shard_neighbours(values: np.ndarray, own: np.ndarray | None, radius: int) -> np.ndarray:
-    """Places of the values of one shard that have another value within radius."""
-    members = np.arange(len(values)) if own is None else np.nonzero(own)[0]
-    asking = members if own is None else np.nonzero(~own)[0]
-    found = np.zeros(len(values), bool)
-    for q, m in BKTree(values[members]).search(values[asking], radius, lambda q, m: found[asking[q]].all() and found[members[m]].all()):
-        a, b = asking[q], members[m]
-        found[a[a != b]] = True
-        found[b[a != b]] = True
-    return np.nonzero(found)[0]
+def alike_links(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links (places, places) of the sets whose Jaccard similarity is at least `similarity`, with nothing estimated.
+
+    Of a set of n, at most n - ceil(similarity * n) members are missing in a similar one, so any prefix of one more, here the rarest, meets it.
+    """
+    sizes = np.array([len(s) for s in sets])
+    ends = np.cumsum(sizes)
+    _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owners, stops = np.repeat(np.arange(len(sets)), sizes)[np.argsort(token, kind="stable")], np.cumsum(count)
+    least, slack = np.ceil(similarity * sizes - 1e-9).astype(np.int64), 1e-9
+    tokens = np.split(token, ends[:-1])
+    new, mine, a, b = np.ones(len(sets), bool), np.zeros(len(count), bool), [], []
+    for first in range(len(sets)):
+        todo = [first] if new[first] else []
+        new[first] = False
+        while todo and new.any():
+            i = todo.pop()
+            n = sizes[i] - least[i] + 1
+            rare = tokens[i][np.argpartition(count[tokens[i]], n - 1)[:n]]
+            met = np.zeros(len(sets), bool)
+            for t in rare[count[rare] > 1].tolist():
+                met[owners[stops[t] - count[t] : stops[t]]] = True
+            others = np.nonzero(met & new & (sizes >= least[i]) & (least <= sizes[i]))[0]
+            if not len(others):
+                continue
+            mine[tokens[i]] = True
+            shared = np.array([np.count_nonzero(mine[tokens[j]]) for j in others.tolist()])
+            mine[tokens[i]] = False
+            near = others[shared * (1 + similarity) + slack >= similarity * (sizes[i] + sizes[others])]
+            new[near] = False
+            todo += near.tolist()
+            a += near.tolist()
+            b += [i] * len(near)
+    return np.array(a, np.int64), np.array(b, np.int64)
 
 
 def block_masks(blocks: int, radius: int) -> list[int]:
@@ -186,8 +217,8 @@ def block_masks(blocks: int, radius: int) -> list[int]:
     return [sum(chosen) for chosen in combinations(block, blocks - radius)]
 
 
-def by_shard(keyed: DataFrame, work, schema: str, shard: int = SHARD) -> DataFrame:
-    """Run work on every shard of keyed(choice, bits, id, value), value being binary (rows of 64-bit words).
+def by_shard(keyed: DataFrame, work, schema: str, shard: int = SHARD, ragged: bool = False) -> DataFrame:
+    """Run work on every shard of keyed(choice, bits, id, value), value being binary (rows of 64-bit words; lists of them, of any lengths, if ragged).
 
     work(choice, bits, ids, values, own) gets a whole shard, or two pieces of a large one with own marking the first, and returns columns
     for schema (ints and longs).
@@ -234,7 +265,7 @@ def by_shard(keyed: DataFrame, work, schema: str, shard: int = SHARD) -> DataFra
             own, ids = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
             if len(ids) < 2 or (key[2] != key[3] and len(set(own.tolist())) < 2):
                 continue
-            values = np.frombuffer(b"".join(v.as_py() for h in held for v in h[2]), np.uint64).reshape(len(ids), -1)
+            values = [np.frombuffer(v.as_py(), np.uint64) for h in held for v in h[2]] if ragged else np.frombuffer(b"".join(v.as_py() for h in held for v in h[2]), np.uint64).reshape(len(ids), -1)
             columns = work(key[0], key[1], ids, values, own == key[2] if key[2] != key[3] else None)
             if len(columns[0]):
                 out.append(columns)
@@ -271,52 +302,46 @@ def near_duplicates(docs: DataFrame, radius: int = 2, k: int = 3, id_col: str =
     return found.join(rooted.join(least, "root").select("fingerprint", "component_id"), "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def similar_texts(docs: DataFrame, similarity: float = 0.8, k: int = 5, id_col: str = "doc_id", text_col: str = "text", slack: int = 4, shard: int = SHARD) -> DataFrame:
+def similar_texts(docs: DataFrame, similarity: float = 0.8, k: int = 5, id_col: str = "doc_id", text_col: str = "text", shard: int = SETS) -> DataFrame:
     """node and root ids of texts whose sets of k-word shingles are similar (Jaccard), directly or by way of others; roots have no row.
 
-    64 bits tell similarities of 0.8 and below apart too badly, so a text has a sketch of 1,024 bits, and the radius is the number of bits in
-    which sets of that similarity differ on average, plus slack. Texts meet in a shard when they agree in one of 48 bands of 21
-    bits; a BK-tree over 64 bits of the sketches finds those with a neighbour at all, and only these are sent again, with whole
-    sketches, to the BK-trees that link them. Sets of similarity 0.9 share a band in 99 of 100 cases, of 0.8 in 3 of 4; groups
-    link by any of their pairs. Texts without words, and rows without ids, are linked with nothing; equal ids count as one.
+    64 bits tell similarities of 0.8 and below apart too badly, so candidates are groups of texts that share, directly or by way of others, a
+    band of ROWS least hashes of their sets; two sets of similarity 0.8 share one of the BANDS bands but for a chance of about 1 in
+    10 ** 9, whatever their sizes. In each group the whole sets are compared, and only sets that are similar (by hashes of 64 bits of their
+    shingles) are linked. Texts without words, and rows without ids, are linked with nothing; equal ids count as one.
     """
-    cosine = 2 * similarity / (1 + similarity)
-    apart = float(np.arccos(cosine) / np.pi)
-    radius = int(apart * 64 * WIDE_WORDS) + slack
-    first = int(apart * 64 + 3 * (apart * (1 - apart) * 64) ** 0.5) + 1
 
-    def sketch(batches):
+    def banded(batches):
         for batch in batches:
             words = [t.as_py().lower().split() for t in batch.column(1)]
-            some = pa.array([bool(w) for w in words])
-            found = pa.array([wide_simhash(w, k) for w in words if w], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(some), found], names=["id", "sketch"])
-
-    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    sketched = staged(texts.mapInArrow(sketch, "id long, sketch binary"), "sketches")
-    distinct = staged(sketched.groupBy("sketch").agg(F.min("id").alias("id")), "distinct-sketches")
-    same = sketched.join(distinct.withColumnRenamed("id", "first"), "sketch").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+            some = pa.array([bool(w) for w in words], pa.bool_())
+            sets = [shingle_set(w, k) for w in words if w]
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(some), pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([band_keys(s).tobytes() for s in sets], pa.binary())], names=["id", "same", "bands"])
 
-    def bands(batches):
-        shifts, mask = np.array([0, BAND, 2 * BAND], np.uint64), np.uint64((1 << BAND) - 1)
+    def exploded(batches):
         for batch in batches:
-            words = np.frombuffer(b"".join(v.as_py() for v in batch.column(1)), np.uint64).reshape(batch.num_rows, WIDE_WORDS)
-            bits = ((words[:, :, None] >> shifts) & mask).astype(np.int64).reshape(-1)
-            n = 3 * WIDE_WORDS
             for at in range(0, batch.num_rows, 4096):
-                rows = np.arange(at, min(batch.num_rows, at + 4096))
-                value = [words[i, 0].tobytes() for i in rows.tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(n, dtype=np.int32), len(rows))), pa.array(bits[at * n : (at + len(rows)) * n]), pa.array(np.repeat(batch.column(0).to_numpy()[rows], n)), pa.array(np.repeat(np.array(value, object), n), pa.binary())], names=["choice", "bits", "id", "value"])
+                part = batch.slice(at, 4096)
+                keys = np.frombuffer(b"".join(v.as_py() for v in part.column(1)), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(part.column(0).to_numpy(), BANDS))], names=["key", "id"])
 
-    def neighbours(choice, bits, ids, values, own):
-        at = shard_neighbours(values, own, first)
-        return np.full(len(at), choice), np.full(len(at), bits), ids[at]
+    def whole(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([shingle_set(t.as_py().lower().split(), k).tobytes() for t in batch.column(2)], pa.binary())], names=["bits", "id", "value"])
 
-    def link(choice, bits, ids, values, own):
-        a, b = shard_links(values, own, radius)
+    def link(choice, bits, ids, sets, own):
+        a, b = alike_links(sets, similarity)
         return ids[a], ids[b]
 
-    meeting = by_shard(distinct.select("id", "sketch").mapInArrow(bands, "choice int, bits long, id long, value binary"), neighbours, "choice int, bits long, id long", shard)
-    close = staged(meeting.distinct(), "meeting")
-    links = by_shard(close.join(distinct.select("id", F.col("sketch").alias("value")), "id").select("choice", "bits", "id", "value"), link, "a long, b long", shard)
-    return components(links.union(same))
+    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    bands = staged(texts.mapInArrow(banded, "id long, same binary, bands binary"), "bands")
+    distinct = staged(bands.groupBy("same", "bands").agg(F.min("id").alias("id")), "distinct-sets")
+    same = bands.join(distinct.select("same", F.col("id").alias("first")), "same").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    keyed = distinct.select("id", "bands").mapInArrow(exploded, "key long, id long")
+    met = staged(keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("key", "first"), "met-bands")
+    grouped = components(keyed.join(small_or_shuffled(met, met.count()), "key").select(F.col("id").alias("a"), F.col("first").alias("b")))
+    groups = staged(grouped.select("node", "root").union(grouped.select("root", "root").distinct()).select(F.col("node").alias("id"), F.col("root").alias("bits")), "groups")
+    n_groups = groups.count()
+    members = texts.join(small_or_shuffled(groups, n_groups), "id").where(F.length("text") > 0).select("bits", "id", "text")
+    sets = staged(members.mapInArrow(whole, "bits long, id long, value binary").withColumn("choice", F.lit(0)), "sets")
+    return components(by_shard(sets, link, "a long, b long", shard, True).union(same))
