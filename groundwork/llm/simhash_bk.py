@@ -313,10 +313,15 @@ def similar_texts(docs: DataFrame, similarity: float = 0.8, k: int = 5, id_col:
 
     def banded(batches):
         for batch in batches:
-            words = [t.as_py().lower().split() for t in batch.column(1)]
-            some = pa.array([bool(w) for w in words], pa.bool_())
-            sets = [shingle_set(w, k) for w in words if w]
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(some), pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([band_keys(s).tobytes() for s in sets], pa.binary())], names=["id", "same", "bands"])
+            some, same, bands = [], [], []
+            for t in batch.column(1):  # one text's words at a time
+                words = t.as_py().lower().split()
+                some.append(bool(words))
+                if words:
+                    s = shingle_set(words, k)
+                    same.append(xxhash.xxh128_digest(s.tobytes()))
+                    bands.append(band_keys(s).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(some, pa.bool_())), pa.array(same, pa.binary()), pa.array(bands, pa.binary())], names=["id", "same", "bands"])
 
     def exploded(batches):
         for batch in batches:
