@@ -63,8 +63,8 @@ def _used(t: Tables):
 
 
 def _topk(t: Tables):
-    """The topics of each first clause of a document are asked for in one query per language."""
-    asked = t.documents.groupBy("lang").agg(F.min("doc_id").alias("doc_id")).join(t.documents.select("doc_id", "text"), "doc_id").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query"))
+    """Every document whose id is divisible by 20 is a query against all clauses; the comparison SQL still asks one document per language."""
+    asked = t.documents.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query"))
     return retrieve.keyword_topk(asked, t.clauses).select("query_id", "clause_id", "score", "rank")
 
 
