@@ -8,7 +8,8 @@ Below the empty context the unseen bytes are equally likely. A text's score is t
 mark: the sum over positions, each looked up once per distinct string in a batch.
 
 The trie is cut into shards by the last byte of the context, each of at most SHARD_STRINGS strings; a shard is
-broadcast, scores the positions whose context it has, and the scores add up. So memory is bounded whatever the corpus.
+broadcast, scores the positions whose context it has, and the scores add up. Contexts that
+end in one byte stay in one shard, and there are at most 256 shards, so the largest shard, on the driver and in each worker, grows with the corpus.
 
 The word-frequency score needs the corpus count of every word of every text. Parts of the corpus send each distinct word once, with
 its count in their training texts, get the totals back, and add up their documents; no row per word occurrence
