@@ -1,7 +1,8 @@
 """WARC archives by way of a chunked record table.
 
-A payload is streamed as rows (record, chunk number, bytes) of at most CHUNK bytes, so neither the writer nor the reader builds a whole
-record: the writer appends chunks to the open archive as they come, and both carry a SHA-1 from chunk to chunk. The digest
+A payload becomes rows (record, chunk number, bytes) of at most CHUNK bytes: the writer appends chunks to the open archive as they
+come, and writer and reader carry a SHA-1 from chunk to chunk. Still whole in memory are the array of a record's chunks before it becomes rows,
+and, in the reader, an archive, which is one row and at least as large as its largest record. The digest
 pass finds equal payloads (of at least min_bytes) by their digest, length and 64-bit hash: the record with the smallest page id is
 written as a response, the others as revisits of it without payload; smaller payloads are all responses. The writer checks every digest that it
 carried against the digest pass, the reader every response's payload against its header.
