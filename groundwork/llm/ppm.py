@@ -5,42 +5,74 @@ Each node's byte counts come from one aggregation of all training texts' (ORDER
 their sums. The escape is estimated by method D: a byte seen c times of T in a context with q distinct bytes has (2c - 1) / 2T,
 the escape q / 2T, and after an escape the bytes seen in the longer context are excluded from T and q of the shorter one.
 Below the empty context the unseen bytes are equally likely. A text's score is the log10 probability of its bytes and end
-mark: the sum over positions, each looked up once per distinct string in a batch.
+mark: the sum over positions.
 
-The trie is cut into shards by the last byte of the context, each of at most SHARD_STRINGS strings; a shard is
-broadcast, scores the positions whose context it has, and the scores add up. Contexts that
-end in one byte stay in one shard, and there are at most 256 shards, so the largest shard, on the driver and in each worker, grows with the corpus.
+Neither trie nor texts are ever in one place. The trie is cut into shards of about SHARD_STRINGS strings: ranges of the contexts read
+from their last byte backwards, so that all suffixes of a context lie in its own shard, but for the few that reach over the
+shard's two ends; of these (at most ORDER an end, of at most 256 bytes each) the shard gets the whole counts. The corpus is cut
+into parts of about PART_BYTES bytes; a part asks for each of its distinct strings once, at the shard that has their contexts, and
+gets their log-probabilities back. A shard with many askers is copied to cells of about CELL_STRINGS asked strings, so a task holds
+one shard and answers one part after the other. The driver sees one number per shard.
 
-The word-frequency score needs the corpus count of every word of every text. Parts of the corpus send each distinct word once, with
-its count in their training texts, get the totals back, and add up their documents; no row per word occurrence
-is shuffled.
+The word-frequency score needs the corpus count of every word of every text. Parts send each distinct word once, with its count in their
+training texts; the totals are joined back to the parts.
 
 Null texts count as empty: they have the end mark only. A null id is trained on (its CRC-32 is that of an empty text). Equal ids stay
-separate rows. Without training texts all bytes are equally likely, and the word-frequency score is 0 for every token.
+separate rows. Without training texts all bytes are equally likely, and the word-frequency score is 0 for every token. A long text is
+cut into pieces for counting and scoring, but is one row. An empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import crc_of_id, staged
+from groundwork.llm.common import crc_of_id, small_or_shuffled, staged
 
-ORDER, SHARD_STRINGS = 5, 6_000_000
+ORDER, SHARD_STRINGS, CELL_STRINGS = 5, 1_000_000, 4_000_000
 #: Bytes of text counted or scored at a time, distinct strings held while counting, and bytes of text of a part.
-BATCH_BYTES, HELD_STRINGS, PART_BYTES = 2_000_000, 1_500_000, 16_000_000
+BATCH_BYTES, HELD_STRINGS, PART_BYTES = 1_000_000, 1_000_000, 16_000_000
 _END = b"\xff"  # no UTF-8 text holds this byte
-
-
-def strings(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The (order + 1)-byte string that ends at each byte and end mark, as numbers; and where each text's begin."""
-    pad = _END * order
-    flat = np.frombuffer(b"".join([part for t in texts for part in (pad, t, _END)]), np.uint8)
-    sizes = np.array([len(t) + 1 for t in texts])
-    starts = np.concatenate([[0], np.cumsum(sizes + order)[:-1]])
+_WHITE = re.compile(rb"[ \t-\r]")
+
+
+def pieces(texts: pa.Array, order: int, most: int):
+    """Lists, of about `most` bytes in all, of (row, bytes): the order bytes before a piece of a text, and the piece; A-Z lower-cased, the end mark last."""
+    held, size = [], 0
+    for row, text in enumerate(texts):
+        marked = b"".join((_END * order, text.as_py().lower(), _END))
+        for at in range(order, len(marked), most):
+            held.append((row, marked[at - order : at + most]))
+            size += len(held[-1][1])
+            if size >= most:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def stretches(text: bytes, most: int):
+    """The text in stretches of about `most` bytes, none of which cuts a word."""
+    at = 0
+    while at < len(text):
+        end = at + most
+        if end < len(text):
+            white = _WHITE.search(text, end)
+            end = white.start() if white else len(text)
+        yield text[at:end]
+        at = end
+
+
+def strings(cut: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The (order + 1)-byte string that ends at each byte of pieces (with the order bytes before them), as numbers; and where each piece's begin."""
+    flat = np.frombuffer(b"".join(cut), np.uint8)
+    sizes = np.array([len(b) for b in cut])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     code = np.zeros(len(flat) - order, np.int64)
     for i in range(order + 1):
         code <<= 8
@@ -48,21 +80,7 @@ def strings(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     inside = np.ones(len(flat), bool)
     for j in range(order):
         inside[starts + j] = False
-    return code[inside[order:]], np.concatenate([[0], np.cumsum(sizes)[:-1]])
-
-
-def slices(texts: pa.Array, most: int):
-    """(first row, texts) of consecutive rows of about `most` bytes in all; texts with A-Z lower-cased."""
-    held, size, first = [], 0, 0
-    for i, t in enumerate(texts):
-        b = t.as_py().lower()
-        if held and size + len(b) > most:
-            yield first, held
-            held, size, first = [], 0, i
-        held.append(b)
-        size += len(b) + 1
-    if held:
-        yield first, held
+    return code[inside[order:]], np.concatenate([[0], np.cumsum(sizes - order)[:-1]])
 
 
 def merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,8 +94,8 @@ def count_strings(texts: DataFrame, order: int = ORDER) -> DataFrame:
     def run(batches):
         codes, counts, held = [], [], 0
         for batch in batches:
-            for _, part in slices(batch.column(0), BATCH_BYTES):
-                found = pc.value_counts(pa.array(strings(part, order)[0]))
+            for part in pieces(batch.column(0), order, BATCH_BYTES):
+                found = pc.value_counts(pa.array(strings([b for _, b in part], order)[0]))
                 codes.append(found.field(0).to_numpy())
                 counts.append(found.field(1).to_numpy())
                 held += len(found)
@@ -116,17 +134,24 @@ class Level:
 
 
 class Trie:
-    """The levels from the longest contexts to the empty one; roots are the counts of single bytes in the whole corpus."""
+    """A shard's levels, from the longest contexts to the empty one.
+
+    whole gives, by length, the strings and counts in the whole corpus of the contexts that reach over the shard's ends; the counts of
+    all other contexts are sums of the shard's own strings.
+    """
 
-    def __init__(self, codes: np.ndarray, n: np.ndarray, roots: tuple[np.ndarray, np.ndarray], order: int):
+    def __init__(self, codes: np.ndarray, n: np.ndarray, whole: dict[int, tuple[np.ndarray, np.ndarray]], order: int):
         self.order = order
         by = np.argsort(codes)
         codes, n = codes[by], n[by]
-        self.levels = []
-        for k in range(order, 0, -1):
+        self.levels = [Level(codes, n)]
+        for k in range(order - 1, -1, -1):
+            codes, n = merged([codes & ((1 << 8 * (k + 1)) - 1)], [n])
+            if k in whole:
+                more, n_more = whole[k]
+                own = ~np.isin(codes >> 8, more >> 8)
+                codes, n = merged([codes[own], more], [n[own], n_more])
             self.levels.append(Level(codes, n))
-            codes, n = merged([codes & ((1 << 8 * k) - 1)], [n]) if len(codes) else (codes, n)
-        self.levels.append(Level(*roots))
         for i in range(order):
             self.levels[i].leave_to(self.levels[i + 1], (1 << 8 * (order - i)) - 1)
 
@@ -154,121 +179,175 @@ class Trie:
         return out
 
 
-def tries(counts: DataFrame, order: int = ORDER, most: int = SHARD_STRINGS):
-    """(shards, shard, trie) for each shard of counts(code, n); a shard is the contexts whose last byte leaves `shard` divided by `shards`."""
-    shards = min(256, 1 + counts.count() // most)
-    one = counts.groupBy(F.expr("code & 255").alias("code")).agg(F.sum("n").alias("n")).orderBy("code").toArrow()  # at most 256 rows
-    roots = one["code"].to_numpy(), one["n"].to_numpy()
-    for shard in range(shards):
-        mine = counts if shards == 1 else counts.where(F.expr(f"(shiftright(code, 8) & 255) % {shards} = {shard}"))
-        rows = mine.toArrow()
-        yield shards, shard, Trie(rows["code"].to_numpy(), rows["n"].to_numpy(), roots, order)
+def turned(codes: np.ndarray, order: int) -> np.ndarray:
+    """The contexts of strings as numbers, last byte first: contexts that end alike stand together."""
+    key = np.zeros(len(codes), np.int64)
+    for i in range(1, order + 1):
+        key = key << 8 | (codes >> 8 * i) & 255
+    return key
 
 
-def scored_batches(batches, model: Trie, shards: int, shard: int):
-    """Batches of (doc_id, held_out, score, text) with a shard's part added to score."""
-    for batch in batches:
-        added = np.zeros(batch.num_rows)
-        for first, part in slices(batch.column(3), BATCH_BYTES):
-            codes, starts = strings(part, model.order)
-            kinds = pa.array(codes).dictionary_encode()
-            values = kinds.dictionary.to_numpy()
-            by = np.argsort(values)
-            found = np.empty(len(values))
-            found[by] = model.log10(values[by])
-            if shards > 1:
-                found[(values >> 8 & 255) % shards != shard] = 0
-            added[first : first + len(part)] = np.add.reduceat(found[kinds.indices.to_numpy()], starts)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(batch.column(2).to_numpy() + added), batch.column(3)], names=["doc_id", "held_out", "score", "text"])
+def turned_column(code: str, order: int) -> Column:
+    key = F.lit(0).cast("long")
+    for i in range(1, order + 1):
+        key = F.shiftleft(key, 8).bitwiseOR(F.shiftright(code, 8 * i).bitwiseAND(F.lit(255)))
+    return key
+
+
+def sharded(counts: DataFrame, order: int, most: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """counts(code, n) with their shard; the whole counts (shard, k, code, n) of contexts that reach over a shard's ends; the first key of each shard."""
+    spark, shards = counts.sparkSession, 1 + counts.count() // most
+    if shards == 1:
+        return counts.withColumn("shard", F.lit(0)), spark.createDataFrame([], "shard int, k int, code long, n long"), np.zeros(1, np.int64)
+    ranged = staged(counts.withColumn("key", turned_column("code", order)).repartitionByRange(shards, "key").withColumn("shard", F.spark_partition_id()), "shards")
+    found = sorted((r.low, r.shard) for r in ranged.groupBy("shard").agg(F.min("key").alias("low")).collect())  # a row per shard
+    lows, place = np.array([low for low, _ in found], np.int64), {shard: i for i, (_, shard) in enumerate(found)}
+    numbers = small_or_shuffled(spark.createDataFrame(list(place.items()), "shard int, place int"), len(place))
+    ends = {(k, int(low) >> 8 * (order - k), i + side) for i, low in enumerate(lows) for k in range(order) for side in (-1, 0) if i + side >= 0}
+    edges = spark.createDataFrame(sorted(ends), "k int, prefix long, shard int")  # at most 2 * order a shard
+    levels = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.shiftright("key", 8 * (order - k)).alias("prefix"), F.col("code").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("code")) for k in range(order))))
+    asked = small_or_shuffled(edges.select("k", "prefix").distinct(), len(ends))
+    sums = ranged.select(levels.alias("at"), "n").select("at.*", "n").join(asked, ["k", "prefix"]).groupBy("k", "prefix", "code").agg(F.sum("n").alias("n"))
+    whole = staged(sums.join(small_or_shuffled(edges, len(ends)), ["k", "prefix"]).select("shard", "k", "code", "n"), "shard-ends")
+    return ranged.join(numbers, "shard").select(F.col("place").alias("shard"), "code", "n"), whole, lows
+
+
+_PARTS = "kind string, part long, doc_id long, held_out boolean, text binary, word binary, n long, shard int, codes binary"
+_TYPES = {"part": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "text": pa.binary(), "word": pa.binary(), "n": pa.int64(), "shard": pa.int32(), "codes": pa.binary()}
 
 
-_PARTS = "kind string, part long, doc_id long, held_out boolean, score double, local binary, word binary, place int, n long"
+def part_rows(kind: str, k: int, **columns) -> pa.RecordBatch:
+    """k rows of one kind; columns that are not given are null."""
+    return pa.RecordBatch.from_arrays([pa.array([kind]).take(pa.array(np.zeros(k, np.int64))), *(columns.get(name, pa.nulls(k, t)) for name, t in _TYPES.items())], names=["kind", *_TYPES])
 
 
-def word_batches(batches):
-    """Batches of kind doc (a document's words as places in its part's list) and of kind word (the list, with training counts)."""
+def parts(batches, order: int, lows: np.ndarray):
+    """Rows of kind doc (a document and its part), word (a part's distinct word with its training count n) and ask (n distinct strings of a part that one shard answers)."""
     from pyspark import TaskContext
 
-    schema = pa.schema([("kind", pa.string()), ("part", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("local", pa.binary()), ("word", pa.binary()), ("place", pa.int32()), ("n", pa.int64())])
     part, size = TaskContext.get().partitionId() << 24, 0
-    places: dict[bytes, int] = {}
-    trained: list[np.ndarray] = []
-
-    def word_rows():
-        n = np.bincount(np.concatenate([np.zeros(0, np.int32), *trained]), minlength=len(places)).astype(np.int64)
-        words, step = list(places), 100_000
-        for at in range(0, len(words), step):
-            some = words[at : at + step]
-            k = len(some)
-            yield pa.RecordBatch.from_arrays([pa.array(["word"] * k), pa.array(np.full(k, part)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.binary()), pa.array(some, pa.binary()), pa.array(np.arange(at, at + k, dtype=np.int32)), pa.array(n[at : at + k])], schema=schema)
+    words: dict[bytes, int] = {}
+    codes: list[np.ndarray] = []
+
+    def closed():
+        every = np.unique(np.concatenate(codes))
+        shard = np.searchsorted(lows, turned(every, order), "right") - 1
+        for s in np.unique(shard).tolist():
+            mine = every[shard == s]
+            yield part_rows("ask", 1, part=pa.array([part]), n=pa.array([len(mine)]), shard=pa.array([max(s, 0)], pa.int32()), codes=pa.array([mine.tobytes()], pa.binary()))
+        for at in range(0, len(words), 100_000):
+            some = list(words)[at : at + 100_000]
+            yield part_rows("word", len(some), part=pa.array(np.full(len(some), part)), word=pa.array(some, pa.binary()), n=pa.array(list(map(words.__getitem__, some)), pa.int64()))
 
     for batch in batches:
-        for first, texts in slices(batch.column(3), BATCH_BYTES):
-            k = len(texts)
-            held = batch.column(1).slice(first, k)
-            local = []
-            for t, out in zip(texts, held.to_pylist(), strict=True):
-                words = t.split()
-                for w in set(words).difference(places):
-                    places[w] = len(places)
-                ids = np.fromiter(map(places.__getitem__, words), np.int32, len(words))
-                local.append(ids.tobytes())
-                size += len(t)
-                if not out:
-                    trained.append(ids)
-            yield pa.RecordBatch.from_arrays([pa.array(["doc"] * k), pa.array(np.full(k, part)), batch.column(0).slice(first, k), held, batch.column(2).slice(first, k), pa.array(local, pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())], schema=schema)
+        for at in range(0, batch.num_rows, 256):
+            rows = batch.slice(at, 256)
+            yield part_rows("doc", rows.num_rows, part=pa.array(np.full(rows.num_rows, part)), doc_id=rows.column(0), held_out=rows.column(1), text=rows.column(2))
+            for text, out in zip(rows.column(2), rows.column(1).to_pylist(), strict=True):
+                low, one = text.as_py().lower(), 0 if out else 1
+                size += len(low) + 1
+                for stretch in stretches(low, BATCH_BYTES):
+                    for w in stretch.split():
+                        words[w] = words.get(w, 0) + one
+            for cut in pieces(rows.column(2), order, BATCH_BYTES):
+                codes.append(pc.unique(pa.array(strings([b for _, b in cut], order)[0])).to_numpy())
+            if sum(map(len, codes)) > 2 * HELD_STRINGS:
+                codes[:] = [np.unique(np.concatenate(codes))]
             if size > PART_BYTES:
-                yield from word_rows()
+                yield from closed()
                 part, size = part + 1, 0
-                places.clear()
-                trained.clear()
-    if places:
-        yield from word_rows()
+                words.clear()
+                codes.clear()
+    if codes:
+        yield from closed()
 
 
-def score_and_cut(texts: DataFrame, trie: Trie, shards: int, shard: int) -> DataFrame:
-    """Rows of texts(doc_id, held_out, score, text: binary) with this shard's part added to score; after the last shard, cut into words.
+def packed(counts: DataFrame) -> DataFrame:
+    """counts(shard, k, code, n) as rows of many: shard, k, codes and ns (binary)."""
+
+    def run(batches):
+        for batch in batches:
+            shard, k, code, n = (batch.column(i).to_numpy() for i in range(4))
+            by = np.lexsort((code, k, shard))
+            shard, k, code, n = shard[by], k[by], code[by], n[by]
+            cuts = np.nonzero((np.diff(shard) != 0) | (np.diff(k) != 0))[0] + 1
+            rows = [(int(shard[i[0]]), int(k[i[0]]), code[i].tobytes(), n[i].tobytes()) for i in np.split(np.arange(len(shard)), cuts) if len(i)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.binary())], names=["shard", "k", "codes", "ns"])
+
+    return counts.select("shard", "k", "code", "n").mapInArrow(run, "shard int, k int, codes binary, ns binary")
 
-    Scoring and cutting share a worker, so a text crosses to Python once and no task holds two workers.
-    """
-    shared = texts.sparkSession.sparkContext.broadcast(trie)
-    if shard + 1 < shards:
-        return staged(texts.mapInArrow(lambda batches: scored_batches(batches, shared.value, shards, shard), texts.schema), "scored")
-    return staged(texts.mapInArrow(lambda batches: word_batches(scored_batches(batches, shared.value, shards, shard)), _PARTS), "words", "kind")
+
+def answers(counts: DataFrame, whole: DataFrame, asks: DataFrame, order: int) -> DataFrame:
+    """part, codes and logs (binary, in step) for asks(part, shard, codes, n): each cell has one shard's trie and answers one part after the other."""
+    sizes = staged(asks.groupBy("shard").agg(F.ceil(F.sum("n") / CELL_STRINGS).cast("int").alias("cells")), "shard-cells")
+    cells = small_or_shuffled(sizes, sizes.count())
+    strings_of = packed(counts.withColumn("k", F.lit(order)).unionByName(whole)).join(cells, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), F.lit(0).alias("step"), "k", F.lit(None).cast("long").alias("part"), "codes", "ns")
+    asking = asks.join(cells, "shard").select("shard", F.pmod(F.xxhash64("part"), "cells").cast("int").alias("cell"), F.lit(1).alias("step"), F.lit(0).alias("k"), "part", "codes", F.lit(None).cast("binary").alias("ns"))
+    dealt = strings_of.unionByName(asking).repartition("shard", "cell").sortWithinPartitions("shard", "cell", "step")
+
+    def run(batches):
+        cell, trie, own = None, None, []
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(5)]
+            for shard, at, step, k, part, codes, ns in zip(*columns, batch.column(5), batch.column(6), strict=True):
+                if (shard, at) != cell:
+                    cell, trie, own = (shard, at), None, []
+                got = np.frombuffer(codes.as_buffer(), np.int64)
+                if step == 0:
+                    own.append((k, got.copy(), np.frombuffer(ns.as_buffer(), np.int64).copy()))
+                    continue
+                if trie is None:
+                    none = [np.zeros(0, np.int64)]
+                    by_k = {j: ([c for i, c, _ in own if i == j] or none, [n for i, _, n in own if i == j] or none) for j in {order, *(i for i, _, _ in own)}}
+                    flat = {j: (np.concatenate(c), np.concatenate(n)) for j, (c, n) in by_k.items()}
+                    trie, own = Trie(*flat.pop(order), flat, order), []
+                yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([got.tobytes()], pa.binary()), pa.array([trie.log10(got).tobytes()], pa.binary())], names=["part", "codes", "logs"])
+
+    return dealt.mapInArrow(run, "part long, codes binary, logs binary")
 
 
 def scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
     """Learn from the rows of docs where held_out is false and score all: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), F.lit(0.0).alias("score"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    counts = staged(count_strings(texts.where("NOT held_out").select("text"), order), "strings")
-    cut = texts
-    for shards, shard, trie in tries(counts, order):
-        cut = score_and_cut(cut, trie, shards, shard)
-    rows = cut.where("kind = 'doc'").select("part", "doc_id", "held_out", "score", "local")
-    by_word = Window.partitionBy("word").orderBy("part")
-    whole = by_word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    replies = staged(cut.where("kind = 'word'").select("part", "place", F.sum("n").over(whole).alias("n"), (F.row_number().over(by_word) == 1).alias("lead")), "word-totals")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    counts, whole, lows = sharded(staged(count_strings(texts.where("NOT held_out").select("text"), order), "strings"), order, SHARD_STRINGS)
+    cut = staged(texts.mapInArrow(lambda batches: parts(batches, order, lows), _PARTS), "parts", "kind")
+    rows, words = cut.where("kind = 'doc'").select("part", "doc_id", "held_out", "text"), cut.where("kind = 'word'").select("part", "word", "n")
+    totals = staged(words.groupBy("word").agg(F.sum("n").alias("n")), "word-totals")
     ends = rows.where("NOT held_out").count()
-    totals = replies.where("lead AND n > 0").agg(F.count("*").alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
-    tokens, kinds = totals.tokens + ends, totals.kinds + (1 if ends else 0)
-    each = float(np.log10(tokens + kinds + 1))
-    end = float(np.log10(ends + 1))
+    told = totals.where("n > 0").agg(F.count("*").alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
+    tokens, kinds = told.tokens + ends, told.kinds + (1 if ends else 0)
+    each, end = float(np.log10(tokens + kinds + 1)), float(np.log10(ends + 1))
+    null = F.lit(None)
+    replies = answers(counts, whole, cut.where("kind = 'ask'").select("part", "shard", "codes", "n"), order).select("part", null.cast("binary").alias("word"), null.cast("long").alias("n"), "codes", "logs")
+    replies = replies.unionByName(words.select("part", "word").join(totals, "word").select("part", "word", "n", null.cast("binary").alias("codes"), null.cast("binary").alias("logs")))
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        n = np.zeros(right.num_rows, np.int64)
-        n[right["place"].to_numpy()] = right["n"].to_numpy()
-        log, known = np.log10(n + 1.0), n > 0
-        base, n_tokens, n_known = [], [], []
-        for local in left["local"]:
-            ids = np.frombuffer(local.as_py(), np.int32)
-            n_tokens.append(len(ids) + 1)
-            n_known.append(int(known[ids].sum()) + (ends > 0))
-            base.append(float(log[ids].sum()) + end - each * (len(ids) + 1))
+        said = right.filter(pc.is_valid(right["word"]))
+        known = dict(zip(said["word"].to_pylist(), np.log10(said["n"].to_numpy() + 1.0).tolist(), strict=True))
+        blobs = right.filter(pc.is_valid(right["codes"]))
+        codes, logs = (np.concatenate([np.zeros(0, kind), *(np.frombuffer(b.as_buffer(), kind) for b in blobs[name])]) for name, kind in (("codes", np.int64), ("logs", np.float64)))
+        by = np.argsort(codes)
+        codes, logs = codes[by], logs[by]
         k = left.num_rows
-        return pa.table({"doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array([tokens] * k, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": left["score"]})
+        score, base, n_tokens, n_known = np.zeros(k), [], [], []
+        texts = left["text"].combine_chunks() if k else pa.array([], pa.binary())
+        for some in pieces(texts, order, BATCH_BYTES):
+            found, starts = strings([b for _, b in some], order)
+            distinct = pa.array(found).dictionary_encode()
+            log = logs[np.searchsorted(codes, distinct.dictionary.to_numpy())]
+            np.add.at(score, [r for r, _ in some], np.add.reduceat(log[distinct.indices.to_numpy()], starts))
+        for text in texts:
+            n, n_in, total = 1, int(ends > 0), end
+            for stretch in stretches(text.as_py().lower(), BATCH_BYTES):
+                found = list(map(known.__getitem__, stretch.split()))
+                n, n_in, total = n + len(found), n_in + len(found) - found.count(0.0), total + sum(found)
+            n_tokens.append(n)
+            n_known.append(n_in)
+            base.append(total - each * n)
+        return pa.table({"doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array([tokens] * k, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(score)})
 
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return rows.groupBy("part").cogroup(replies.select("part", "place", "n").groupBy("part")).applyInArrow(answer, out)
+    return rows.groupBy("part").cogroup(replies.groupBy("part")).applyInArrow(answer, out)
 
 
 def held_out(id_col: str = "doc_id"):

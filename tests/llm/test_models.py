@@ -55,9 +55,10 @@ def test_ppm(spark, monkeypatch, train, shards):
     rows = [(i, t, (i % 4 == 1) or not train) for i, t in enumerate(texts)] + [(4, texts[4], not train), (None, "null", not train)]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, held boolean, score string").repartition(3)
     if shards:
-        real = ppm.tries
-        monkeypatch.setattr(ppm, "tries", lambda counts, order: real(counts, order, 40))
+        monkeypatch.setattr(ppm, "SHARD_STRINGS", 40)
+        monkeypatch.setattr(ppm, "CELL_STRINGS", 100)
         monkeypatch.setattr(ppm, "PART_BYTES", 100)
+        monkeypatch.setattr(ppm, "BATCH_BYTES", 30)
     contexts, words = plain_model([r[1:] for r in rows], ORDER)
     n, v = sum(words.values()), len(words)
     want = []
@@ -75,8 +76,7 @@ def test_probabilities_add_up(spark):
         for s, n in seen.items():
             codes.append(int.from_bytes(c + bytes([s]), "big"))
             counts.append(n)
-    one = sorted(contexts[0][b""].items())
-    trie = ppm.Trie(np.array(codes), np.array(counts), (np.array([s for s, _ in one]), np.array([n for _, n in one])), 2)
+    trie = ppm.Trie(np.array(codes), np.array(counts), {}, 2)
     for context in (b"ab", b"\xff\xff", b"zz", b"xa"):
         codes = np.array([int.from_bytes(context + bytes([s]), "big") for s in range(256)])
         assert 10 ** trie.log10(codes) @ np.ones(256) == pytest.approx(1)
