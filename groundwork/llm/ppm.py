@@ -15,7 +15,8 @@ gets their log-probabilities back. A shard with many askers is copied to cells o
 one shard and answers one part after the other. The driver sees one number per shard.
 
 The word-frequency score needs the corpus count of every word of every text. Parts send each distinct word once, with its count in their
-training texts; the totals are joined back to the parts.
+training texts; the totals of those that other parts have too are joined back to the parts. A part has no word twice, so no word can be
+hot among these rows.
 
 Null texts count as empty: they have the end mark only. A null id is trained on (its CRC-32 is that of an empty text). Equal ids stay
 separate rows. Without training texts all bytes are equally likely, and the word-frequency score is 0 for every token. A long text is
@@ -25,10 +26,13 @@ cut into pieces for counting and scoring, but is one row. An empty table gives n
 from __future__ import annotations
 
 import re
+from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +40,7 @@ from groundwork.llm.common import crc_of_id, small_or_shuffled, staged
 
 ORDER, SHARD_STRINGS, CELL_STRINGS = 5, 1_000_000, 4_000_000
 #: Bytes of text counted or scored at a time, distinct strings held while counting, and bytes of text of a part.
-BATCH_BYTES, HELD_STRINGS, PART_BYTES = 1_000_000, 1_000_000, 16_000_000
+BATCH_BYTES, HELD_STRINGS, PART_BYTES = 1_000_000, 1_000_000, 12_000_000
 _END = b"\xff"  # no UTF-8 text holds this byte
 _WHITE = re.compile(rb"[ \t-\r]")
 
@@ -212,8 +216,8 @@ def sharded(counts: DataFrame, order: int, most: int) -> tuple[DataFrame, DataFr
     return ranged.join(numbers, "shard").select(F.col("place").alias("shard"), "code", "n"), whole, lows
 
 
-_PARTS = "kind string, part long, doc_id long, held_out boolean, text binary, word binary, n long, shard int, codes binary"
-_TYPES = {"part": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "text": pa.binary(), "word": pa.binary(), "n": pa.int64(), "shard": pa.int32(), "codes": pa.binary()}
+_PARTS = "kind string, part long, block binary, word binary, n long, shard int, codes binary"
+_TYPES = {"part": pa.int64(), "block": pa.binary(), "word": pa.binary(), "n": pa.int64(), "shard": pa.int32(), "codes": pa.binary()}
 
 
 def part_rows(kind: str, k: int, **columns) -> pa.RecordBatch:
@@ -221,34 +225,59 @@ def part_rows(kind: str, k: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([kind]).take(pa.array(np.zeros(k, np.int64))), *(columns.get(name, pa.nulls(k, t)) for name, t in _TYPES.items())], names=["kind", *_TYPES])
 
 
+def blocked(rows: pa.RecordBatch) -> bytes:
+    """Rows as one compressed value, so that their texts are stored and shuffled small."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def coded(codes: np.ndarray) -> bytes:
+    """Sorted strings as compressed differences."""
+    return zstandard.ZstdCompressor(level=1).compress(np.diff(codes, prepend=np.int64(0)).tobytes())
+
+
+def decoded(blob: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.int64))
+
+
+def count_words(into: Counter, text: bytes, trained: bool) -> None:
+    """Add a text's words; those of a text that is not trained on only stand there."""
+    for stretch in stretches(text, BATCH_BYTES):
+        words = stretch.split()
+        if trained:
+            into.update(words)
+        else:
+            into.update(dict.fromkeys(set(words).difference(into), 0))
+
+
 def parts(batches, order: int, lows: np.ndarray):
-    """Rows of kind doc (a document and its part), word (a part's distinct word with its training count n) and ask (n distinct strings of a part that one shard answers)."""
+    """Rows of kind doc (a block of a part's documents), word (a part's distinct word with its training count n) and ask (n distinct strings of a part that one shard answers)."""
     from pyspark import TaskContext
 
     part, size = TaskContext.get().partitionId() << 24, 0
-    words: dict[bytes, int] = {}
+    words: Counter[bytes] = Counter()
     codes: list[np.ndarray] = []
 
     def closed():
         every = np.unique(np.concatenate(codes))
-        shard = np.searchsorted(lows, turned(every, order), "right") - 1
+        shard = np.maximum(np.searchsorted(lows, turned(every, order), "right") - 1, 0)
         for s in np.unique(shard).tolist():
             mine = every[shard == s]
-            yield part_rows("ask", 1, part=pa.array([part]), n=pa.array([len(mine)]), shard=pa.array([max(s, 0)], pa.int32()), codes=pa.array([mine.tobytes()], pa.binary()))
-        for at in range(0, len(words), 100_000):
-            some = list(words)[at : at + 100_000]
-            yield part_rows("word", len(some), part=pa.array(np.full(len(some), part)), word=pa.array(some, pa.binary()), n=pa.array(list(map(words.__getitem__, some)), pa.int64()))
+            yield part_rows("ask", 1, part=pa.array([part]), n=pa.array([len(mine)]), shard=pa.array([s], pa.int32()), codes=pa.array([coded(mine)], pa.binary()))
+        listed = iter(words.items())
+        while some := list(islice(listed, 50_000)):
+            yield part_rows("word", len(some), part=pa.array(np.full(len(some), part)), word=pa.array([w for w, _ in some], pa.binary()), n=pa.array([n for _, n in some], pa.int64()))
 
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             rows = batch.slice(at, 256)
-            yield part_rows("doc", rows.num_rows, part=pa.array(np.full(rows.num_rows, part)), doc_id=rows.column(0), held_out=rows.column(1), text=rows.column(2))
+            yield part_rows("doc", 1, part=pa.array([part]), block=pa.array([blocked(rows)], pa.binary()))
             for text, out in zip(rows.column(2), rows.column(1).to_pylist(), strict=True):
-                low, one = text.as_py().lower(), 0 if out else 1
+                low = text.as_py().lower()
                 size += len(low) + 1
-                for stretch in stretches(low, BATCH_BYTES):
-                    for w in stretch.split():
-                        words[w] = words.get(w, 0) + one
+                count_words(words, low, not out)
             for cut in pieces(rows.column(2), order, BATCH_BYTES):
                 codes.append(pc.unique(pa.array(strings([b for _, b in cut], order)[0])).to_numpy())
             if sum(map(len, codes)) > 2 * HELD_STRINGS:
@@ -262,6 +291,15 @@ def parts(batches, order: int, lows: np.ndarray):
         yield from closed()
 
 
+def word_totals(words: DataFrame) -> DataFrame:
+    """part, word and n (the word's count in the whole corpus) for words(part, word, n) that two parts or more have; a row without part and word
+    for each other one. lead marks one row of each distinct word."""
+    dealt = words.repartition("word")
+    totals = dealt.groupBy("word").agg(F.sum("n").alias("total"), F.min("part").alias("first"), F.max("part").alias("last"))
+    shared = F.col("first") < F.col("last")
+    return dealt.join(totals, "word").select(F.when(shared, F.col("part")).alias("part"), F.when(shared, F.col("word")).alias("word"), F.col("total").alias("n"), (F.col("part") == F.col("first")).alias("lead"))
+
+
 def packed(counts: DataFrame) -> DataFrame:
     """counts(shard, k, code, n) as rows of many: shard, k, codes and ns (binary)."""
 
@@ -271,7 +309,7 @@ def packed(counts: DataFrame) -> DataFrame:
             by = np.lexsort((code, k, shard))
             shard, k, code, n = shard[by], k[by], code[by], n[by]
             cuts = np.nonzero((np.diff(shard) != 0) | (np.diff(k) != 0))[0] + 1
-            rows = [(int(shard[i[0]]), int(k[i[0]]), code[i].tobytes(), n[i].tobytes()) for i in np.split(np.arange(len(shard)), cuts) if len(i)]
+            rows = [(int(shard[i[0]]), int(k[i[0]]), coded(code[i]), n[i].tobytes()) for i in np.split(np.arange(len(shard)), cuts) if len(i)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.binary())], names=["shard", "k", "codes", "ns"])
 
     return counts.select("shard", "k", "code", "n").mapInArrow(run, "shard int, k int, codes binary, ns binary")
@@ -292,16 +330,16 @@ def answers(counts: DataFrame, whole: DataFrame, asks: DataFrame, order: int) ->
             for shard, at, step, k, part, codes, ns in zip(*columns, batch.column(5), batch.column(6), strict=True):
                 if (shard, at) != cell:
                     cell, trie, own = (shard, at), None, []
-                got = np.frombuffer(codes.as_buffer(), np.int64)
+                got = decoded(codes.as_buffer())
                 if step == 0:
-                    own.append((k, got.copy(), np.frombuffer(ns.as_buffer(), np.int64).copy()))
+                    own.append((k, got, np.frombuffer(ns.as_py(), np.int64)))
                     continue
                 if trie is None:
                     none = [np.zeros(0, np.int64)]
                     by_k = {j: ([c for i, c, _ in own if i == j] or none, [n for i, _, n in own if i == j] or none) for j in {order, *(i for i, _, _ in own)}}
                     flat = {j: (np.concatenate(c), np.concatenate(n)) for j, (c, n) in by_k.items()}
                     trie, own = Trie(*flat.pop(order), flat, order), []
-                yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([got.tobytes()], pa.binary()), pa.array([trie.log10(got).tobytes()], pa.binary())], names=["part", "codes", "logs"])
+                yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([codes.as_py()], pa.binary()), pa.array([trie.log10(got).tobytes()], pa.binary())], names=["part", "codes", "logs"])
 
     return dealt.mapInArrow(run, "part long, codes binary, logs binary")
 
@@ -311,43 +349,54 @@ def scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     counts, whole, lows = sharded(staged(count_strings(texts.where("NOT held_out").select("text"), order), "strings"), order, SHARD_STRINGS)
     cut = staged(texts.mapInArrow(lambda batches: parts(batches, order, lows), _PARTS), "parts", "kind")
-    rows, words = cut.where("kind = 'doc'").select("part", "doc_id", "held_out", "text"), cut.where("kind = 'word'").select("part", "word", "n")
-    totals = staged(words.groupBy("word").agg(F.sum("n").alias("n")), "word-totals")
-    ends = rows.where("NOT held_out").count()
-    told = totals.where("n > 0").agg(F.count("*").alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
+    replied = staged(word_totals(cut.where("kind = 'word'").select("part", "word", "n")), "word-totals")
+    ends = texts.where("NOT held_out").count()
+    told = replied.where("lead AND n > 0").agg(F.count("*").alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
     tokens, kinds = told.tokens + ends, told.kinds + (1 if ends else 0)
     each, end = float(np.log10(tokens + kinds + 1)), float(np.log10(ends + 1))
     null = F.lit(None)
-    replies = answers(counts, whole, cut.where("kind = 'ask'").select("part", "shard", "codes", "n"), order).select("part", null.cast("binary").alias("word"), null.cast("long").alias("n"), "codes", "logs")
-    replies = replies.unionByName(words.select("part", "word").join(totals, "word").select("part", "word", "n", null.cast("binary").alias("codes"), null.cast("binary").alias("logs")))
+    logs = answers(counts, whole, cut.where("kind = 'ask'").select("part", "shard", "codes", "n"), order).select("part", null.cast("binary").alias("word"), null.cast("long").alias("n"), "codes", "logs")
+    replies = logs.unionByName(replied.where("word IS NOT NULL").select("part", "word", "n", null.cast("binary").alias("codes"), null.cast("binary").alias("logs")))
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        said = right.filter(pc.is_valid(right["word"]))
-        known = dict(zip(said["word"].to_pylist(), np.log10(said["n"].to_numpy() + 1.0).tolist(), strict=True))
+        found = [pa.ipc.open_stream(b.as_buffer()).read_all() for b in left["block"]]
+        docs = pa.concat_tables(found).combine_chunks().to_batches() if found else []
         blobs = right.filter(pc.is_valid(right["codes"]))
-        codes, logs = (np.concatenate([np.zeros(0, kind), *(np.frombuffer(b.as_buffer(), kind) for b in blobs[name])]) for name, kind in (("codes", np.int64), ("logs", np.float64)))
+        codes = np.concatenate([np.zeros(0, np.int64), *(decoded(b.as_buffer()) for b in blobs["codes"])])
+        log = np.concatenate([np.zeros(0), *(np.frombuffer(b.as_buffer(), np.float64) for b in blobs["logs"])])
         by = np.argsort(codes)
-        codes, logs = codes[by], logs[by]
-        k = left.num_rows
-        score, base, n_tokens, n_known = np.zeros(k), [], [], []
-        texts = left["text"].combine_chunks() if k else pa.array([], pa.binary())
-        for some in pieces(texts, order, BATCH_BYTES):
-            found, starts = strings([b for _, b in some], order)
-            distinct = pa.array(found).dictionary_encode()
-            log = logs[np.searchsorted(codes, distinct.dictionary.to_numpy())]
-            np.add.at(score, [r for r, _ in some], np.add.reduceat(log[distinct.indices.to_numpy()], starts))
-        for text in texts:
-            n, n_in, total = 1, int(ends > 0), end
-            for stretch in stretches(text.as_py().lower(), BATCH_BYTES):
-                found = list(map(known.__getitem__, stretch.split()))
-                n, n_in, total = n + len(found), n_in + len(found) - found.count(0.0), total + sum(found)
-            n_tokens.append(n)
-            n_known.append(n_in)
-            base.append(total - each * n)
-        return pa.table({"doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array([tokens] * k, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(score)})
+        codes, log = codes[by], log[by]
+        words: Counter[bytes] = Counter()
+        for rows in docs:
+            for text, out in zip(rows.column(2), rows.column(1).to_pylist(), strict=True):
+                count_words(words, text.as_py().lower(), not out)
+        said = right.filter(pc.is_valid(right["word"]))
+        words.update({w: n - words[w] for w, n in zip(said["word"].to_pylist(), said["n"].to_pylist(), strict=True)})
+        known = dict(zip(words, np.log10(np.fromiter(words.values(), np.int64, len(words)) + 1.0).tolist(), strict=True))
+        words.clear()
+        results = []
+        for rows in docs:
+            k = rows.num_rows
+            score, base, n_tokens, n_known = np.zeros(k), [], [], []
+            for some in pieces(rows.column(2), order, BATCH_BYTES):
+                each_byte, starts = strings([b for _, b in some], order)
+                distinct = pa.array(each_byte).dictionary_encode()
+                logs = log[np.searchsorted(codes, distinct.dictionary.to_numpy())]
+                np.add.at(score, [r for r, _ in some], np.add.reduceat(logs[distinct.indices.to_numpy()], starts))
+            for text in rows.column(2):
+                n, n_in, total = 1, int(ends > 0), end
+                for stretch in stretches(text.as_py().lower(), BATCH_BYTES):
+                    counted = list(map(known.__getitem__, stretch.split()))
+                    n, n_in, total = n + len(counted), n_in + len(counted) - counted.count(0.0), total + sum(counted)
+                n_tokens.append(n)
+                n_known.append(n_in)
+                base.append(total - each * n)
+            results.append(pa.table({"doc_id": rows.column(0), "held_out": rows.column(1), "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array([tokens] * k, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(score)}))
+        return pa.concat_tables(results)
 
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return rows.groupBy("part").cogroup(replies.groupBy("part")).applyInArrow(answer, out)
+    blocks = cut.where("kind = 'doc'").select("part", "block")
+    return blocks.groupBy("part").cogroup(replies.groupBy("part")).applyInArrow(answer, out)
 
 
 def held_out(id_col: str = "doc_id"):
