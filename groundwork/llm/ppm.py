@@ -88,8 +88,17 @@ def strings(cut: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    kinds, inverse = np.unique(np.concatenate(codes), return_inverse=True)
-    return kinds, np.bincount(inverse, np.concatenate(counts), len(kinds)).astype(np.int64)
+    """Sorted distinct codes and the sums of their counts."""
+    every = np.concatenate(codes)
+    by = np.argsort(every)
+    every = every[by]
+    first = np.nonzero(np.concatenate([[True], every[1:] != every[:-1]])[: len(every)])[0]
+    return every[first], np.add.reduceat(np.concatenate(counts)[by], first) if len(first) else np.zeros(0, np.int64)
+
+
+def distinct_of(codes: list[np.ndarray]) -> np.ndarray:
+    every = np.sort(np.concatenate(codes))
+    return every[np.concatenate([[True], every[1:] != every[:-1]])[: len(every)]]
 
 
 def count_strings(texts: DataFrame, order: int = ORDER) -> DataFrame:
@@ -99,10 +108,11 @@ def count_strings(texts: DataFrame, order: int = ORDER) -> DataFrame:
         codes, counts, held = [], [], 0
         for batch in batches:
             for part in pieces(batch.column(0), order, BATCH_BYTES):
-                found = pc.value_counts(pa.array(strings([b for _, b in part], order)[0]))
-                codes.append(found.field(0).to_numpy())
-                counts.append(found.field(1).to_numpy())
-                held += len(found)
+                every = np.sort(strings([b for _, b in part], order)[0])
+                first = np.nonzero(np.concatenate([[True], every[1:] != every[:-1]]))[0]
+                codes.append(every[first])
+                counts.append(np.diff(first, append=len(every)))
+                held += len(first)
                 if held > HELD_STRINGS:
                     kinds, n = merged(codes, counts)
                     if len(kinds) > HELD_STRINGS // 2:
@@ -198,22 +208,19 @@ def turned_column(code: str, order: int) -> Column:
     return key
 
 
-def sharded(counts: DataFrame, order: int, most: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
-    """counts(code, n) with their shard; the whole counts (shard, k, code, n) of contexts that reach over a shard's ends; the first key of each shard."""
-    spark, shards = counts.sparkSession, 1 + counts.count() // most
-    if shards == 1:
-        return counts.withColumn("shard", F.lit(0)), spark.createDataFrame([], "shard int, k int, code long, n long"), np.zeros(1, np.int64)
-    ranged = staged(counts.withColumn("key", turned_column("code", order)).repartitionByRange(shards, "key").withColumn("shard", F.spark_partition_id()), "shards")
-    found = sorted((r.low, r.shard) for r in ranged.groupBy("shard").agg(F.min("key").alias("low")).collect())  # a row per shard
-    lows, place = np.array([low for low, _ in found], np.int64), {shard: i for i, (_, shard) in enumerate(found)}
-    numbers = small_or_shuffled(spark.createDataFrame(list(place.items()), "shard int, place int"), len(place))
-    ends = {(k, int(low) >> 8 * (order - k), i + side) for i, low in enumerate(lows) for k in range(order) for side in (-1, 0) if i + side >= 0}
+def sharded(counts: DataFrame, order: int, most: int) -> tuple[DataFrame, DataFrame, np.ndarray, np.ndarray]:
+    """counts(code, n) with their shard; the whole counts (shard, k, code, n) of contexts that reach over a shard's ends; the shards' first keys, ascending, and numbers."""
+    spark = counts.sparkSession
+    ranged = staged(counts.withColumn("key", turned_column("code", order)).repartitionByRange(1 + counts.count() // most, "key").withColumn("shard", F.spark_partition_id()), "shards")
+    found = sorted((r.low, r.shard) for r in ranged.groupBy("shard").agg(F.min("key").alias("low")).collect()) or [(0, 0)]  # a row per shard
+    lows, numbers = (np.array(x, np.int64) for x in zip(*found, strict=True))
+    ends = {(k, int(low) >> 8 * (order - k), int(numbers[i + side])) for i, low in enumerate(lows) for k in range(order) for side in (-1, 0) if i + side >= 0}
     edges = spark.createDataFrame(sorted(ends), "k int, prefix long, shard int")  # at most 2 * order a shard
     levels = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.shiftright("key", 8 * (order - k)).alias("prefix"), F.col("code").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("code")) for k in range(order))))
     asked = small_or_shuffled(edges.select("k", "prefix").distinct(), len(ends))
     sums = ranged.select(levels.alias("at"), "n").select("at.*", "n").join(asked, ["k", "prefix"]).groupBy("k", "prefix", "code").agg(F.sum("n").alias("n"))
     whole = staged(sums.join(small_or_shuffled(edges, len(ends)), ["k", "prefix"]).select("shard", "k", "code", "n"), "shard-ends")
-    return ranged.join(numbers, "shard").select(F.col("place").alias("shard"), "code", "n"), whole, lows
+    return ranged.select("shard", "code", "n"), whole, lows, numbers
 
 
 _PARTS = "kind string, part long, block binary, word binary, n long, shard int, codes binary"
@@ -249,10 +256,12 @@ def count_words(into: Counter, text: bytes, trained: bool) -> None:
         if trained:
             into.update(words)
         else:
-            into.update(dict.fromkeys(set(words).difference(into), 0))
+            for w in set(words):
+                if w not in into:
+                    into[w] = 0
 
 
-def parts(batches, order: int, lows: np.ndarray):
+def parts(batches, order: int, lows: np.ndarray, numbers: np.ndarray):
     """Rows of kind doc (a block of a part's documents), word (a part's distinct word with its training count n) and ask (n distinct strings of a part that one shard answers)."""
     from pyspark import TaskContext
 
@@ -261,8 +270,8 @@ def parts(batches, order: int, lows: np.ndarray):
     codes: list[np.ndarray] = []
 
     def closed():
-        every = np.unique(np.concatenate(codes))
-        shard = np.maximum(np.searchsorted(lows, turned(every, order), "right") - 1, 0)
+        every = distinct_of(codes)
+        shard = numbers[np.maximum(np.searchsorted(lows, turned(every, order), "right") - 1, 0)]
         for s in np.unique(shard).tolist():
             mine = every[shard == s]
             yield part_rows("ask", 1, part=pa.array([part]), n=pa.array([len(mine)]), shard=pa.array([s], pa.int32()), codes=pa.array([coded(mine)], pa.binary()))
@@ -279,9 +288,9 @@ def parts(batches, order: int, lows: np.ndarray):
                 size += len(low) + 1
                 count_words(words, low, not out)
             for cut in pieces(rows.column(2), order, BATCH_BYTES):
-                codes.append(pc.unique(pa.array(strings([b for _, b in cut], order)[0])).to_numpy())
+                codes.append(distinct_of([strings([b for _, b in cut], order)[0]]))
             if sum(map(len, codes)) > 2 * HELD_STRINGS:
-                codes[:] = [np.unique(np.concatenate(codes))]
+                codes[:] = [distinct_of(codes)]
             if size > PART_BYTES:
                 yield from closed()
                 part, size = part + 1, 0
@@ -347,8 +356,8 @@ def answers(counts: DataFrame, whole: DataFrame, asks: DataFrame, order: int) ->
 def scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
     """Learn from the rows of docs where held_out is false and score all: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    counts, whole, lows = sharded(staged(count_strings(texts.where("NOT held_out").select("text"), order), "strings"), order, SHARD_STRINGS)
-    cut = staged(texts.mapInArrow(lambda batches: parts(batches, order, lows), _PARTS), "parts", "kind")
+    counts, whole, lows, numbers = sharded(staged(count_strings(texts.where("NOT held_out").select("text"), order), "strings"), order, SHARD_STRINGS)
+    cut = staged(texts.mapInArrow(lambda batches: parts(batches, order, lows, numbers), _PARTS), "parts", "kind")
     replied = staged(word_totals(cut.where("kind = 'word'").select("part", "word", "n")), "word-totals")
     ends = texts.where("NOT held_out").count()
     told = replied.where("lead AND n > 0").agg(F.count("*").alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
