@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 
 from groundwork.llm.common import crc_of_id, small_or_shuffled, staged
 
-ORDER, SHARD_STRINGS, CELL_STRINGS = 5, 1_000_000, 4_000_000
+ORDER, SHARD_STRINGS, CELL_STRINGS = 5, 500_000, 2_000_000
 #: Bytes of text counted or scored at a time, distinct strings held while counting, and bytes of text of a part.
-BATCH_BYTES, HELD_STRINGS, PART_BYTES = 1_000_000, 1_000_000, 12_000_000
+BATCH_BYTES, HELD_STRINGS, PART_BYTES = 1_000_000, 1_000_000, 8_000_000
 _END = b"\xff"  # no UTF-8 text holds this byte
 _WHITE = re.compile(rb"[ \t-\r]")
 
@@ -240,13 +240,21 @@ def blocked(rows: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def compressed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def plain(blob) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(blob)
+
+
 def coded(codes: np.ndarray) -> bytes:
     """Sorted strings as compressed differences."""
-    return zstandard.ZstdCompressor(level=1).compress(np.diff(codes, prepend=np.int64(0)).tobytes())
+    return compressed(np.diff(codes, prepend=np.int64(0)).tobytes())
 
 
-def decoded(blob: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.int64))
+def decoded(blob) -> np.ndarray:
+    return np.cumsum(np.frombuffer(plain(blob), np.int64))
 
 
 def count_words(into: Counter, text: bytes, trained: bool) -> None:
@@ -301,12 +309,26 @@ def parts(batches, order: int, lows: np.ndarray, numbers: np.ndarray):
 
 
 def word_totals(words: DataFrame) -> DataFrame:
-    """part, word and n (the word's count in the whole corpus) for words(part, word, n) that two parts or more have; a row without part and word
-    for each other one. lead marks one row of each distinct word."""
+    """Replies to words(part, word, n): rows of part, words and ns (binary; many words of the part, and their counts in the whole corpus) for words that two
+    parts or more have; each distinct word is counted once in the sums of kinds (1 if it was trained on) and tokens (its count)."""
     dealt = words.repartition("word")
     totals = dealt.groupBy("word").agg(F.sum("n").alias("total"), F.min("part").alias("first"), F.max("part").alias("last"))
-    shared = F.col("first") < F.col("last")
-    return dealt.join(totals, "word").select(F.when(shared, F.col("part")).alias("part"), F.when(shared, F.col("word")).alias("word"), F.col("total").alias("n"), (F.col("part") == F.col("first")).alias("lead"))
+    joined = dealt.join(totals, "word").select("part", "word", "total", (F.col("part") == F.col("first")).alias("lead"), (F.col("first") < F.col("last")).alias("shared"))
+
+    def run(batches):
+        for batch in batches:
+            part, total, lead = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3))
+            cuts = np.concatenate([[0], np.nonzero(np.diff(part))[0] + 1, [len(part)]]).tolist()
+            rows = []
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                some = batch.slice(lo, hi - lo)
+                once = total[lo:hi][lead[lo:hi]]
+                told = some.filter(some.column(4))
+                rows.append((int(part[lo]), compressed(b" ".join(told.column(1).to_pylist())), compressed(told.column(2).to_numpy().tobytes()), int((once > 0).sum()), int(once.sum())))
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["part", "words", "ns", "kinds", "tokens"])
+
+    return joined.sortWithinPartitions("part").mapInArrow(run, "part long, words binary, ns binary, kinds long, tokens long")
 
 
 def packed(counts: DataFrame) -> DataFrame:
@@ -360,12 +382,12 @@ def scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
     cut = staged(texts.mapInArrow(lambda batches: parts(batches, order, lows, numbers), _PARTS), "parts", "kind")
     replied = staged(word_totals(cut.where("kind = 'word'").select("part", "word", "n")), "word-totals")
     ends = texts.where("NOT held_out").count()
-    told = replied.where("lead AND n > 0").agg(F.count("*").alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
+    told = replied.agg(F.coalesce(F.sum("kinds"), F.lit(0)).alias("kinds"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
     tokens, kinds = told.tokens + ends, told.kinds + (1 if ends else 0)
     each, end = float(np.log10(tokens + kinds + 1)), float(np.log10(ends + 1))
-    null = F.lit(None)
-    logs = answers(counts, whole, cut.where("kind = 'ask'").select("part", "shard", "codes", "n"), order).select("part", null.cast("binary").alias("word"), null.cast("long").alias("n"), "codes", "logs")
-    replies = logs.unionByName(replied.where("word IS NOT NULL").select("part", "word", "n", null.cast("binary").alias("codes"), null.cast("binary").alias("logs")))
+    null = F.lit(None).cast("binary")
+    logs = answers(counts, whole, cut.where("kind = 'ask'").select("part", "shard", "codes", "n"), order)
+    replies = logs.select("part", null.alias("words"), null.alias("ns"), "codes", "logs").union(replied.select("part", "words", "ns", null, null))
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         found = [pa.ipc.open_stream(b.as_buffer()).read_all() for b in left["block"]]
@@ -379,8 +401,9 @@ def scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
         for rows in docs:
             for text, out in zip(rows.column(2), rows.column(1).to_pylist(), strict=True):
                 count_words(words, text.as_py().lower(), not out)
-        said = right.filter(pc.is_valid(right["word"]))
-        words.update({w: n - words[w] for w, n in zip(said["word"].to_pylist(), said["n"].to_pylist(), strict=True)})
+        said = right.filter(pc.is_valid(right["words"]))
+        for some, ns in zip(said["words"], said["ns"], strict=True):
+            words.update({w: n - words[w] for w, n in zip(plain(some.as_buffer()).split(), np.frombuffer(plain(ns.as_buffer()), np.int64).tolist(), strict=True)})
         known = dict(zip(words, np.log10(np.fromiter(words.values(), np.int64, len(words)) + 1.0).tolist(), strict=True))
         words.clear()
         results = []
