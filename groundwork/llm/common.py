@@ -26,6 +26,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def store_of(folder: str):
+    """The file system of a shared folder and the folder's path in it, for tasks that read or write files there."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder) if ":" in folder.split("/")[0] else (fs.LocalFileSystem(), folder)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends here, and lost executors lose nothing."""
     path = new_path(df.sparkSession, name)

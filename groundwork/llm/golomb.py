@@ -6,12 +6,12 @@ Texts are equal when they are identical after white space (space and the charact
    sorted distinct hashes are cut by their owner (the hash's leading bits), and each cut goes to its owner as one
    Golomb-Rice coded blob. A hash that a part holds twice is marked in a bitmap beside the blob.
 2. Each owner decodes its blobs, finds the hashes that stand in two parts or are marked, and returns one bitmap a part.
-3. Parts decode their own blobs against the bitmaps: these hashes are suspects.
+3. Each part reads its own bitmaps (and no others) from the shared folder and keeps its own rows that they mark: the suspects.
 4. Only suspects are shuffled, for the verification by bytes: they are grouped by hash and whole normalised text, with
    partial aggregation before the shuffle, so a group that holds a third of all rows costs one row a task.
 
-All exchanges carry one row per part and owner or one per distinct text and task; no group of rows is gathered.
-Null texts count as empty, and all empty texts are equal. Equal rows (same id, same text) are rows of one group.
+All exchanges carry one row per part and owner or one per distinct text and task; no group of rows is gathered, and nothing is broadcast
+but groups of copies of a checked number. Null texts count as empty, and all empty texts are equal. Equal rows (same id, same text) are rows of one group.
 Null ids stand after all others when ties are settled. An empty table gives no rows.
 """
 
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import small_or_shuffled, staged
+from groundwork.llm.common import new_path, small_or_shuffled, staged, store_of, unused
 
 #: Rows of a part, and of hashes that one owner gets on average.
 PART_ROWS, OWNER_HASHES = 200_000, 1_000_000
@@ -60,10 +60,14 @@ def golomb_decode(k: int, code: bytes) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.uint64)
 
 
-def fingerprints(docs: DataFrame, owner_bits: int, id_col: str, text_col: str) -> DataFrame:
-    """One scan: a row per document (kind doc), and a row per part and owner (kind code)."""
-    schema = "kind string, doc_id long, hash long, n_chars long, text_sha256 string, part long, owner int, k int, code binary, twice binary"
-    arrow = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("n_chars", pa.int64()), ("text_sha256", pa.string()), ("part", pa.int64()), ("owner", pa.int32()), ("k", pa.int32()), ("code", pa.binary()), ("twice", pa.binary())])
+_ROWS = {"doc_id": pa.int64(), "row": pa.int64(), "hash": pa.int64(), "n_chars": pa.int64(), "text_sha256": pa.string(), "plain": pa.binary(), "part": pa.int64()}
+_CODES = {"owner": pa.int32(), "k": pa.int32(), "code": pa.binary(), "twice": pa.binary()}
+
+
+def fingerprints(docs: DataFrame, owner_bits: int, hash_bits: int = 64) -> DataFrame:
+    """One scan of docs(doc_id, row, n_chars, text): a row per document (kind doc, with its normalised text) and a row per part and owner (kind code)."""
+    schema = "kind string, doc_id long, row long, hash long, n_chars long, text_sha256 string, plain binary, part long, owner int, k int, code binary, twice binary"
+    arrow = pa.schema([("kind", pa.string()), *_ROWS.items(), *_CODES.items()])
 
     def run(batches):
         from pyspark import TaskContext
@@ -79,28 +83,35 @@ def fingerprints(docs: DataFrame, owner_bits: int, id_col: str, text_col: str) -
                 yield {"kind": "code", "part": part, "owner": owner, "k": k, "code": code, "twice": np.packbits(counts[mine] > 1).tobytes()}
 
         for batch in batches:
-            digests, hashes = [], np.empty(batch.num_rows, np.int64)
-            for i, text in enumerate(batch.column(1)):
-                d = hashlib.sha256(text.as_py().translate(None, WHITE))
-                digests.append(d.hexdigest())
-                hashes[i] = int.from_bytes(d.digest()[:8], "big", signed=True)
-            n = batch.num_rows
-            none = [pa.nulls(n, t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())]
-            yield pa.RecordBatch.from_arrays([pa.array(["doc"] * n, pa.string()), batch.column(0), pa.array(hashes), batch.column(2), pa.array(digests, pa.string()), *none], schema=arrow)
-            held.append(hashes)
-            n_held += n
-            if n_held >= PART_ROWS:
-                yield pa.RecordBatch.from_pylist(list(exchange()), schema=arrow)
-                part, held, n_held = part + 1, [], 0
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
+                n, plain, digests, hashes = some.num_rows, [], [], np.empty(some.num_rows, np.int64)
+                for i, text in enumerate(some.column(3)):
+                    plain.append(text.as_py().translate(None, WHITE))
+                    d = hashlib.sha256(plain[-1])
+                    digests.append(d.hexdigest())
+                    hashes[i] = int.from_bytes(d.digest()[:8], "big", signed=True) >> (64 - hash_bits) << (64 - hash_bits)
+                yield pa.RecordBatch.from_arrays([pa.array(["doc"] * n, pa.string()), some.column(0), some.column(1), pa.array(hashes), some.column(2), pa.array(digests, pa.string()), pa.array(plain, pa.binary()), pa.array(np.full(n, part)), *(pa.nulls(n, t) for t in _CODES.values())], schema=arrow)
+                held.append(hashes)
+                n_held += n
+                if n_held >= PART_ROWS:
+                    yield pa.RecordBatch.from_pylist(list(exchange()), schema=arrow)
+                    part, held, n_held = part + 1, [], 0
         if n_held:
             yield pa.RecordBatch.from_pylist(list(exchange()), schema=arrow)
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.cast("binary").alias("text"), F.char_length(text).cast("long").alias("n_chars")).mapInArrow(run, schema)
+    return docs.select("doc_id", "row", "n_chars", "text").mapInArrow(run, schema)
 
 
-def suspects(codes: DataFrame) -> DataFrame:
-    """Hashes that stand for two rows or more, from the parts' codes (part, owner, k, code, twice)."""
+def marked(k: int, code: bytes, bitmap: bytes) -> np.ndarray:
+    """The hashes of a blob that its bitmap marks."""
+    values = golomb_decode(k, code)
+    return values[np.unpackbits(np.frombuffer(bitmap, np.uint8), count=len(values)).astype(bool)]
+
+
+def bitmaps(codes: DataFrame) -> str:
+    """The owners' answers to the parts' codes(part, owner, k, code, twice), as a folder of one folder per part: owner, k, code and common, the bitmap of
+    the hashes that stand for two rows or more."""
 
     def owner(table: pa.Table) -> pa.Table:
         parts = [golomb_decode(k, c) for k, c in zip(table["k"].to_pylist(), table["code"].to_pylist(), strict=True)]
@@ -110,57 +121,64 @@ def suspects(codes: DataFrame) -> DataFrame:
         maps = [np.packbits(np.isin(v, common, assume_unique=True)).tobytes() for v in parts]
         return pa.table({"part": table["part"], "owner": table["owner"], "common": pa.array(maps, pa.binary())})
 
-    def source(batches):
+    path = new_path(codes.sparkSession, "bitmaps")
+    told = codes.select("part", "owner", "k", "code", "twice").groupBy("owner").applyInArrow(owner, "part long, owner int, common binary")
+    codes.select("part", "owner", "k", "code").join(told, ["part", "owner"]).repartition("part").write.partitionBy("part").parquet(path)
+    return path
+
+
+def suspects(rows: DataFrame, folder: str) -> DataFrame:
+    """The rows(part, hash, plain, n_chars, doc_id, row) whose part's bitmaps in the folder mark their hash."""
+
+    def run(batches):
+        import pyarrow.dataset as ds
+
+        store, root = store_of(folder)
+        now, common = None, np.zeros(0, np.int64)
         for batch in batches:
-            found = [golomb_decode(k, c)[np.unpackbits(np.frombuffer(m, np.uint8)).astype(bool)[: np.frombuffer(c, np.int64, 1)[0]]] for k, c, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["hash"])
+            part, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            keep = np.zeros(batch.num_rows, bool)
+            for p in np.unique(part).tolist():
+                if p != now:
+                    blobs = ds.dataset(f"{root}/part={p}", filesystem=store, format="parquet").to_table(columns=["k", "code", "common"]).to_pylist()
+                    now, common = p, np.concatenate([marked(b["k"], b["code"], b["common"]) for b in blobs]).view(np.int64)
+                mine = part == p
+                keep[mine] = np.isin(hashes[mine], common)
+            yield batch.filter(pa.array(keep))
 
-    bitmaps = codes.select("part", "owner", "k", "code", "twice").groupBy("owner").applyInArrow(owner, "part long, owner int, common binary")
-    return codes.join(bitmaps, ["part", "owner"]).select("k", "code", "common").mapInArrow(source, "hash long").distinct()
+    told = rows.select("part", "hash", "plain", "n_chars", "doc_id", "row")
+    return told.mapInArrow(run, told.schema)
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None, hash_bits: int = 64) -> DataFrame:
     """One row per row of docs: doc_id, keep_id (the row that stays: most code points, then the smallest id), group_size, kept, text_sha256.
 
-    Of rows that share both id and text, each is marked kept if its id is the keep_id.
+    Of rows that share both id and text, each is marked kept if its id is the keep_id. With row_col, a distinct number for each row, there are row and
+    stays too: of rows that share id and text, only that of the smallest number stays. Hashes of fewer bits change the work, not the rows.
     """
-    n = docs.count()
-    owner_bits = max(0, min(20, (n // OWNER_HASHES).bit_length()))
-    exchanged = staged(fingerprints(docs, owner_bits, id_col, text_col), "fingerprints", "kind")
-    rows = exchanged.where("kind = 'doc'").select("doc_id", "hash", "n_chars", "text_sha256")
-    twice = staged(suspects(exchanged.where("kind = 'code'")), "suspects")
-    n_twice = twice.count()
     text = F.coalesce(F.col(text_col), F.lit(""))
-    plain = F.translate(text, WHITE.decode(), "")
-    hashed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.char_length(text).alias("n_chars"), plain.alias("plain")).withColumn("hash", F.conv(F.substring(F.sha2("plain", 256), 1, 16), 16, -10).cast("long"))
+    told = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("row"), F.char_length(text).cast("long").alias("n_chars"), text.cast("binary").alias("text"))
+    owner_bits = max(0, min(20, (docs.count() // OWNER_HASHES).bit_length()))
+    exchanged = staged(fingerprints(told, owner_bits, hash_bits), "fingerprints", "kind")
+    rows = exchanged.where("kind = 'doc'")
     verified = (
-        hashed.join(small_or_shuffled(twice, n_twice), "hash", "left_semi")
+        suspects(rows, bitmaps(exchanged.where("kind = 'code'")))
         .groupBy("hash", "plain")
-        .agg(F.count("*").alias("group_size"), F.max(F.struct("n_chars", (-F.col("doc_id")).alias("first"))).alias("best"))
+        .agg(F.count("*").alias("group_size"), F.max(F.struct("n_chars", (-F.col("doc_id")).alias("first"), (-F.col("row")).alias("at"))).alias("best"))
         .where("group_size > 1")
-        .select("hash", F.sha2("plain", 256).alias("text_sha256"), "group_size", (-F.col("best.first")).alias("keep_id"))
+        .select("hash", F.sha2("plain", 256).alias("text_sha256"), "group_size", (-F.col("best.first")).alias("keep_id"), (-F.col("best.at")).alias("keep_row"))
     )
     groups = staged(verified, "copies")
-    return (
-        rows.join(small_or_shuffled(groups, groups.count()), ["hash", "text_sha256"], "left")
-        .select("doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"), "text_sha256")
-        .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
-    )
+    alone = F.col("group_size").isNull()
+    found = rows.select("doc_id", "row", "hash", "text_sha256").join(small_or_shuffled(groups, groups.count()), ["hash", "text_sha256"], "left")
+    keep_id = F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id"))
+    out = [F.col("doc_id"), keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"), F.col("doc_id").eqNullSafe(keep_id).alias("kept"), F.col("text_sha256")]
+    return found.select(*out, *([F.col("row"), (alone | (F.col("row") == F.col("keep_row"))).alias("stays")] if row_col else []))
 
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns; of rows that share id and text, one stays."""
-    told = staged(exact_duplicates(docs, id_col, text_col), "duplicates")
-    gone = told.where("NOT kept").select("doc_id", "text_sha256").distinct()
-    repeated = told.where("kept AND group_size > 1").groupBy("doc_id", "text_sha256").count().where("count > 1").select("doc_id", "text_sha256")
-    keyed = docs.withColumns({"__id": F.col(id_col).cast("long"), "__sha": F.sha2(F.translate(F.coalesce(F.col(text_col), F.lit("")), WHITE.decode(), ""), 256)})
-
-    def matching(df: DataFrame, other: DataFrame, how: str) -> DataFrame:
-        side = small_or_shuffled(other.select(F.col("doc_id").alias("__o"), F.col("text_sha256").alias("__s")), other.count())
-        return df.join(side, F.col("__id").eqNullSafe(F.col("__o")) & (F.col("__sha") == F.col("__s")), how)
-
-    stay = matching(keyed, staged(gone, "gone"), "left_anti")
-    twice = staged(repeated, "repeated")
-    if twice.take(1):
-        stay = matching(stay, twice, "left_anti").unionByName(matching(stay, twice, "left_semi").dropDuplicates(["__id", "__sha"]))
-    return stay.select(*docs.columns)
+    row = unused(docs, "row")
+    keyed = staged(docs.withColumn(row, F.monotonically_increasing_id()), "documents-by-row")
+    gone = staged(exact_duplicates(keyed, id_col, text_col, row).where("NOT stays").select(F.col("row").alias(row)), "gone")
+    return keyed.join(small_or_shuffled(gone, gone.count()), row, "left_anti").select(*docs.columns)

@@ -10,7 +10,8 @@ first character of <s>, </s>, [INST and [/INST, so a text can never open or clos
 
 Null texts count as empty; null roles count as the empty role. A message whose parent is missing is a root. Messages in a cycle have no
 root and give no path. Of messages that repeat an id within a tree, all rows are joined as they stand in the conversation
-interface below, where turns are numbered by (turn, role, text) and ties keep every row. An empty table gives no rows.
+interface below, where turns are numbered by (turn, role, text) and ties keep every row. An empty table gives no rows. A conversation is
+one value, as its formatted text is, so it stands whole in one task.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ from groundwork.llm.common import staged
 #: A turn is OPEN role BODY text CLOSE.
 OPEN, BODY, CLOSE = "[INST:", "]", "</s>"
 _CONTROL = re.compile(r"\\|<(?=/?s>)|\[(?=/?INST)|\]")
-_TURN = re.compile(r"\[INST:((?:[^\\\]]|\\.)*)\]((?:[^\\<]|\\.|<(?!/s>))*)</s>", re.DOTALL)
 
 
 def escape(text: str) -> str:
@@ -50,15 +50,28 @@ def format_turns(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int
     return "".join(out), spans
 
 
+def unescaped_at(formatted: str, mark: str, at: int) -> int:
+    """Where the first `mark` from `at` on stands that no backslash escapes."""
+    while (found := formatted.find(mark, at)) >= 0:
+        before = found
+        while before > at and formatted[before - 1] == "\\":
+            before -= 1
+        if (found - before) % 2 == 0:
+            return found
+        at = found + 1
+    raise ValueError(f"no {mark} from {at} on")
+
+
 def read_turns(formatted: str) -> list[tuple[str, str]]:
     """The turns of a formatted conversation."""
     turns, at = [], 0
     while at < len(formatted):
-        m = _TURN.match(formatted, at)
-        if not m:
+        if not formatted.startswith(OPEN, at):
             raise ValueError(f"no turn at {at}")
-        turns.append((unescape(m[1]), unescape(m[2])))
-        at = m.end()
+        body = unescaped_at(formatted, BODY, at + len(OPEN))
+        close = unescaped_at(formatted, CLOSE, body + len(BODY))
+        turns.append((unescape(formatted[at + len(OPEN) : body]), unescape(formatted[body + len(BODY) : close])))
+        at = close + len(CLOSE)
     return turns
 
 

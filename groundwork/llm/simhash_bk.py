@@ -17,7 +17,7 @@ linked like any other. Equal ids stay separate rows; a null id never becomes a c
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,8 @@ from groundwork.llm.common import small_or_shuffled, staged
 from groundwork.llm.components import components
 
 SHARD, LEAF = 4096, 64
+#: Bytes of values that a piece of a shard has on average, whatever their number.
+PIECE_BYTES = 4_000_000
 
 
 #: Sets of similarity s share one of BANDS bands of ROWS least hashes, but for a chance of (1 - s ** ROWS) ** BANDS.
@@ -39,9 +41,15 @@ _FOLD = np.uint64(0x9E3779B97F4A7C15)
 
 def shingle_set(words: list[bytes], k: int) -> np.ndarray:
     """The sorted distinct 64-bit hashes of a text's k-word shingles; a text of fewer words is one shingle."""
-    shingles = set(map(b" ".join, zip(*(words[i:] for i in range(k)), strict=False))) or {b" ".join(words)}
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(s, 42) for s in shingles), np.uint64, len(shingles)))
+    return np.unique(shingle_hashes(words, k, 42))
+
+
+def shingle_hashes(words: list[bytes], k: int, seed: int) -> np.ndarray:
+    """The 64-bit hashes of the k-word shingles, repeats included; fewer words are one shingle. Shingles are made one at a time."""
+    if len(words) < k:
+        words, k = [b" ".join(words)], 1
+    shingles = map(b" ".join, zip(*(islice(words, i, None) for i in range(k)), strict=False))
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), np.uint64, len(words) - k + 1)
 
 
 def band_keys(hashes: np.ndarray) -> np.ndarray:
@@ -61,10 +69,10 @@ def simhash(words: list[bytes], k: int, seed: int = 42) -> int:
     """The fingerprint of a word sequence as a signed 64-bit number; shingles of k words, repeats included."""
     if not words:
         return 0
-    shingles = list(map(b" ".join, zip(*(words[i:] for i in range(k)), strict=False))) or [b" ".join(words)]
-    digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(s, seed) for s in shingles), np.uint64, len(shingles))
-    ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    h = shingle_hashes(words, k, seed)
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(h), 65_536):
+        ones += np.unpackbits(h[at : at + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view(np.int64)[0])
 
 
@@ -73,7 +81,7 @@ def fingerprints(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col:
 
     def run(batches):
         for batch in batches:
-            found = [simhash(t.as_py().lower().split(), k) for t in batch.column(1)]
+            found = [simhash(t.as_py().lower().split(), k) for t in batch.column(1)]  # one text's words at a time
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fingerprint"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).mapInArrow(run, "doc_id long, fingerprint long")
@@ -223,7 +231,8 @@ def by_shard(keyed: DataFrame, work, schema: str, shard: int = SHARD, ragged: bo
     work(choice, bits, ids, values, own) gets a whole shard, or two pieces of a large one with own marking the first, and returns columns
     for schema (ints and longs).
     """
-    large = staged(keyed.groupBy("choice", "bits").count().where(F.col("count") > shard).select("choice", "bits", F.ceil(F.col("count") / shard).cast("int").alias("pieces")), "large-shards")
+    size = F.greatest(F.ceil(F.count("*") / shard), F.ceil(F.sum(F.octet_length("value")) / PIECE_BYTES)).cast("int")
+    large = staged(keyed.groupBy("choice", "bits").agg(size.alias("pieces")).where("pieces > 1"), "large-shards")
     n_large = large.count()
     sized = keyed.join(small_or_shuffled(large, n_large), ["choice", "bits"], "left") if n_large else keyed.withColumn("pieces", F.lit(1))
     pieces = F.coalesce("pieces", F.lit(1))
@@ -348,5 +357,37 @@ def similar_texts(docs: DataFrame, similarity: float = 0.8, k: int = 5, id_col:
     groups = staged(grouped.select("node", "root").union(grouped.select("root", "root").distinct()).select(F.col("node").alias("id"), F.col("root").alias("bits")), "groups")
     n_groups = groups.count()
     members = texts.join(small_or_shuffled(groups, n_groups), "id").where(F.length("text") > 0).select("bits", "id", "text")
-    sets = staged(members.mapInArrow(whole, "bits long, id long, value binary").withColumn("choice", F.lit(0)), "sets")
-    return components(by_shard(sets, link, "a long, b long", shard, True).union(same))
+    sets = staged(members.mapInArrow(whole, "bits long, id long, value binary"), "sets")
+    return components(alike_in_groups(sets, link, shard).union(same))
+
+
+def alike_in_groups(sets: DataFrame, link, shard: int) -> DataFrame:
+    """Links a, b of the groups of sets(bits, id, value), bits being the least id of a group, so that all that link() finds alike are connected.
+
+    A large group is cut into pieces. First each piece is linked in itself and with the group's first set; a group of near copies falls together here,
+    each set having been sent once. Then only sets outside the group's largest cluster (the rest) still have to meet those of other pieces:
+    each piece meets each piece of the rest. Sets of the cluster never meet again, so the work on near copies is linear; only a
+    group of many sets that share bands and yet are not alike makes as many meetings as there are pairs of pieces.
+    """
+    weight = F.greatest(F.ceil(F.count("*") / shard), F.ceil(F.sum(F.octet_length("value")) / PIECE_BYTES)).cast("int")
+    large = staged(sets.groupBy("bits").agg(weight.alias("pieces")).where("pieces > 1"), "large-groups")
+    n_large = large.count()
+    cut = sets.join(small_or_shuffled(large, n_large), "bits", "left").withColumn("piece", F.pmod(F.xxhash64("id"), F.coalesce("pieces", F.lit(1))).cast("int"))
+    firsts = cut.where("id = bits AND pieces > 1").withColumn("choice", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).where("choice <> piece")
+    columns = ["choice", "bits", "id", "value"]
+    schema, roomy = "a long, b long", 3 * shard
+    found = staged(by_shard(cut.withColumn("choice", F.col("piece")).select(columns).union(firsts.select(columns)), link, schema, roomy, True), "links-in-pieces")
+    if not n_large:
+        return found
+    roots = components(found)
+    placed = cut.where("pieces > 1").join(roots, F.col("id") == F.col("node"), "left").select("bits", "id", "pieces", "piece", F.coalesce("root", "id").alias("root"), F.octet_length("value").alias("size"))
+    sizes = staged(placed.groupBy("bits", "pieces", "root").agg(F.count("*").alias("n"), F.sum("size").alias("size")), "clusters")
+    main = sizes.groupBy("bits").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("pieces").alias("pieces"))
+    rest_pieces = F.greatest(F.ceil(F.sum("n") / shard), F.ceil(F.sum("size") / PIECE_BYTES)).cast("int")
+    rest = sizes.join(main.select("bits", "main"), "bits").where("root <> main").groupBy("bits").agg(rest_pieces.alias("rests")).join(main, "bits")
+    rest = staged(rest.select("bits", "main", "rests"), "rests")
+    n_rest = rest.count()
+    told = cut.where("pieces > 1").join(small_or_shuffled(rest, n_rest), "bits").join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")).withColumn("own_rest", F.pmod(F.xxhash64("id", F.lit(1)), "rests").cast("int"))
+    as_piece = told.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("rests") - 1))).withColumn("choice", F.col("piece") * F.col("rests") + F.col("other"))
+    as_rest = told.where("root <> main").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).where("other <> piece").withColumn("choice", F.col("other") * F.col("rests") + F.col("own_rest"))
+    return found.union(by_shard(as_piece.select(columns).union(as_rest.select(columns)), link, schema, roomy, True))

@@ -1,8 +1,8 @@
 """WARC archives by way of a chunked record table.
 
 A payload becomes rows (record, chunk number, bytes) of at most CHUNK bytes: the writer appends chunks to the open archive as they
-come, and writer and reader carry a SHA-1 from chunk to chunk. Still whole in memory are the array of a record's chunks before it becomes rows,
-and, in the reader, an archive, which is one row and at least as large as its largest record. The digest
+come, the reader reads the archive as a stream, and both carry a SHA-1 from chunk to chunk: a task holds one payload as the table gives it
+(one value) and one chunk besides; no record and no archive is ever put together. The digest
 pass finds equal payloads (of at least min_bytes) by their digest, length and 64-bit hash: the record with the smallest page id is
 written as a response, the others as revisits of it without payload; smaller payloads are all responses. The writer checks every digest that it
 carried against the digest pass, the reader every response's payload against its header.
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import new_path, small_or_shuffled, staged
+from groundwork.llm.common import new_path, small_or_shuffled, staged, store_of
 
 CHUNK, ARCHIVE_BYTES = 65_536, 8_000_000
 _URN = "urn:x-page:"
@@ -49,8 +49,8 @@ def chunk_table(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     told = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload(html_col).alias("body")).select("page_id", "url", "body", F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("n_bytes"), F.xxhash64(body).alias("check"))
     linked = told.join(small_or_shuffled(groups, groups.count()), ["digest", "n_bytes", "check"], "left").withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")))
     chunks = F.when(F.col("refers_to").isNotNull(), F.lit(1)).otherwise(F.greatest(F.lit(1), F.ceil(F.col("n_bytes") / chunk))).cast("int")
-    rows = linked.withColumn("chunks", chunks).withColumn("cut", F.explode(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda i: F.struct(i.alias("chunk_no"), F.when(F.col("refers_to").isNull(), F.substring(body, i * chunk + 1, F.lit(chunk))).alias("data")))))
-    return rows.select("page_id", "url", "n_bytes", "digest", "refers_to", "chunks", "cut.chunk_no", "cut.data")
+    rows = linked.withColumn("chunks", chunks).withColumn("chunk_no", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return rows.select("page_id", "url", "n_bytes", "digest", "refers_to", "chunks", "chunk_no", F.when(F.col("refers_to").isNull(), F.substring(body, F.col("chunk_no") * chunk + 1, F.lit(chunk))).alias("data"))
 
 
 def base32_of(hex_digest: str) -> str:
@@ -69,13 +69,6 @@ def _header(kind: str, page_id: int | None, url: str | None, digest: str, n_byte
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + http
 
 
-def store_of(folder: str):
-    """The file system of a folder and the folder's path in it."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(folder) if ":" in folder.split("/")[0] else (fs.LocalFileSystem(), folder)
-
-
 def write_archives(table: DataFrame, folder: str | None = None, archive_bytes: int = ARCHIVE_BYTES) -> tuple[str, DataFrame]:
     """Write a chunk table as archives; returns the folder and the committed manifest: file, records, bytes."""
     folder = folder or new_path(table.sparkSession, "warc")
@@ -122,28 +115,44 @@ def write_archives(table: DataFrame, folder: str | None = None, archive_bytes: i
     return folder, staged(table.mapInArrow(run, "file string, records long, bytes long"), "warc-manifest")
 
 
-def records_of(data: memoryview, chunk: int = CHUNK):
-    """(headers, payload's start and end) of each record of an archive."""
-    at = 0
-    while at < len(data):
-        end = at
-        window = 4096
-        while True:
-            piece = bytes(data[at : at + window])
-            end = piece.find(b"\r\n\r\n")
-            if end >= 0 or at + window >= len(data):
-                break
-            window *= 2
-        if not piece.startswith(b"WARC/1.1\r\n") or end < 0:
-            raise ValueError(f"no record at {at}")
-        headers = dict(line.split(": ", 1) for line in piece[:end].decode().split("\r\n")[1:])
-        start = at + end + 4
-        stop = start + int(headers["Content-Length"])
-        body = start + bytes(data[start : min(stop, start + 4096)]).index(b"\r\n\r\n") + 4
-        yield headers, body, stop
-        if bytes(data[stop : stop + 4]) != b"\r\n\r\n":
-            raise ValueError(f"record at {at} has no end")
-        at = stop + 4
+def records_of(stream, chunk: int = CHUNK):
+    """(headers, payload as an iterator of chunks) of each record of an archive read from a stream; a payload is to be read before the next record."""
+    held = b""
+
+    def until_blank_line() -> bytes | None:
+        nonlocal held
+        while (end := held.find(b"\r\n\r\n")) < 0:
+            more = stream.read(chunk)
+            if not more:
+                return None
+            held += more
+        head, held = held[:end], held[end + 4 :]
+        return head
+
+    def payload_of(left: int):
+        nonlocal held
+        while left:
+            if not held:
+                held = stream.read(chunk)
+                if not held:
+                    raise ValueError("an archive ends inside a record")
+            part, held = held[:left], held[left:]
+            left -= len(part)
+            yield part
+
+    while (head := until_blank_line()) is not None:
+        if not head.startswith(b"WARC/1.1\r\n"):
+            raise ValueError("no record where one should begin")
+        headers = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+        http = until_blank_line()
+        body = payload_of(int(headers["Content-Length"]) - len(http) - 4)
+        yield headers, body
+        for _ in body:  # what has not been read
+            pass
+        if until_blank_line() != b"":
+            raise ValueError("a record has no end")
+    if held:
+        raise ValueError("an archive ends inside a record")
 
 
 def read_archives(spark: SparkSession, folder: str, manifest: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -151,23 +160,25 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame, chunk:
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     if not manifest.take(1):
         return spark.createDataFrame([], schema)
-    files = spark.read.format("binaryFile").load(f"{folder}/*.warc").select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    listed = files.join(manifest.select("file"), "file", "left_semi").select("content")
+    names = manifest.select("file").repartition("file")
 
     def run(batches):
+        store, root = store_of(folder)
         number = lambda urn: int(x) if (x := urn[1 + len(_URN) : -1]) else None
         for batch in batches:
-            for content in batch.column(0):
-                data, rows = memoryview(content.as_buffer()), []
-                for h, start, stop in records_of(data):
-                    digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if h["WARC-Type"] == "response":
-                        sha = hashlib.sha1()
-                        for at in range(start, stop, chunk):
-                            sha.update(data[at : min(stop, at + chunk)])
-                        if base64.b32encode(sha.digest()).decode() != digest or stop - start != int(h["X-Payload-Length"]):
-                            raise ValueError(f"{h['WARC-Record-ID']}: the payload is not what its header says")
-                    rows.append({"page_id": number(h["WARC-Record-ID"]), "payload_bytes": int(h["X-Payload-Length"]), "payload_digest": digest, "record_type": h["WARC-Type"], "refers_to": number(h["WARC-Refers-To"]) if "WARC-Refers-To" in h else None})
+            for name in batch.column(0).to_pylist():
+                rows = []
+                with store.open_input_stream(f"{root}/{name}") as stream:
+                    for h, body in records_of(stream, chunk):
+                        digest, n_bytes = h["WARC-Payload-Digest"].removeprefix("sha1:"), int(h["X-Payload-Length"])
+                        if h["WARC-Type"] == "response":
+                            sha, n = hashlib.sha1(), 0
+                            for part in body:
+                                sha.update(part)
+                                n += len(part)
+                            if base64.b32encode(sha.digest()).decode() != digest or n != n_bytes:
+                                raise ValueError(f"{h['WARC-Record-ID']}: the payload is not what its header says")
+                        rows.append({"page_id": number(h["WARC-Record-ID"]), "payload_bytes": n_bytes, "payload_digest": digest, "record_type": h["WARC-Type"], "refers_to": number(h["WARC-Refers-To"]) if "WARC-Refers-To" in h else None})
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]))
 
-    return listed.mapInArrow(run, schema)
+    return names.mapInArrow(run, schema)

@@ -48,8 +48,19 @@ def test_golomb_code():
 
 
 def test_collisions_of_hashes_are_verified_by_text(spark):
-    df = spark.createDataFrame([(i, f"t{i}") for i in range(50)], "doc_id long, text string")
-    assert all(r.kept and r.group_size == 1 for r in golomb.exact_duplicates(df).collect())
+    rows = [(i, f"t{i % 40}") for i in range(60)] + [(None, "t1"), (3, "t3")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = golomb.exact_duplicates(df, hash_bits=2).collect()  # 40 texts on 4 hashes
+    assert sorted(str((r.doc_id, r.keep_id, r.group_size, r.kept)) for r in got) == by_text(rows)
+
+
+def test_rows_that_stay_with_clashing_columns(spark):
+    rows = [(1, "a b", 7, "x"), (1, "ab", 8, "y"), (1, "ab", 9, "z"), (None, "ab", 1, "n"), (2, "c", 2, "c"), (2, "d", 3, "d"), (None, None, 4, "e"), (None, "", 5, "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row long, __sha string")
+    left = golomb.without_duplicates(df)
+    assert left.columns == df.columns
+    assert sorted(r.row for r in left.collect()) in ([2, 3, 4, 7], [2, 3, 5, 7])  # equal empty rows without ids: either stays
+    assert golomb.without_duplicates(df.limit(0)).count() == 0
 
 
 def roots(n, links):
@@ -67,7 +78,11 @@ def roots(n, links):
 
 
 @pytest.mark.parametrize("kind", ["chain", "star", "random"])
-def test_components(spark, kind):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_components(spark, monkeypatch, kind, broadcast):
+    if not broadcast:
+        real = components.with_minimum
+        monkeypatch.setattr(components, "with_minimum", lambda links, minima, n: real(links, minima, n, 0))
     rng = random.Random(1)
     links = {"chain": [(i, i + 1) for i in range(60)], "star": [(60, i) for i in range(60)], "random": [(rng.randrange(61), rng.randrange(61)) for _ in range(40)]}[kind]
     want = {i: r for i, r in enumerate(roots(61, links)) if r != i}
@@ -97,6 +112,12 @@ def test_simhash(spark, monkeypatch, shard):
     assert simhash_bk.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_simhash_of_long_texts():
+    rng = random.Random(1)
+    text = " ".join(rng.choice("abcdefgh") + str(i % 977) for i in range(70_000))
+    assert simhash_bk.simhash(text.encode().split(), 3) & (1 << 64) - 1 == plain_fingerprint(text)
+
+
 def test_bk_tree_finds_all():
     rng = np.random.default_rng(3)
     centre = rng.integers(0, 1 << 63, 3, dtype=np.uint64)

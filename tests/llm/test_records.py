@@ -27,6 +27,16 @@ def test_archives(spark, min_bytes, chunk):
     assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
 
 
+def test_a_broken_archive():
+    import io
+
+    with pytest.raises(ValueError, match="no record"):
+        list(warc_chunks.records_of(io.BytesIO(b"junk\r\n\r\n")))
+    head = b"WARC/1.1\r\nContent-Length: 30\r\n\r\nHTTP/1.1 200 OK\r\n\r\n"
+    with pytest.raises(ValueError, match="ends inside"):
+        list(warc_chunks.records_of(io.BytesIO(head + b"short")))
+
+
 def test_no_pages(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc_chunks.read_archives(spark, *warc_chunks.write_archives(warc_chunks.chunk_table(df))).count() == 0
@@ -43,6 +53,22 @@ def test_template_is_reversible(turns):
     assert [reply_trees.unescape(formatted[a:b]) for a, b in spans] == [t for r, t in turns if r == "assistant"]
 
 
+def test_a_very_long_turn():
+    text = ("a]" * 300_000) + "\\" * 300_001 + "</s>" * 100_000
+    turns = [("user", text), ("assistant", "ok"), ("]", "")]
+    assert reply_trees.read_turns(reply_trees.format_turns(turns)[0]) == turns
+    with pytest.raises(ValueError, match="no turn"):
+        reply_trees.read_turns("x")
+    with pytest.raises(ValueError, match="no </s>"):
+        reply_trees.read_turns("[INST:user]never closed")
+
+
+def test_no_conversations(spark):
+    messages = reply_trees.conversations_as_trees(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))
+    turns = reply_trees.chosen_messages(messages).join(messages.select("tree", "node", "role", "text"), ["tree", "node"])
+    assert reply_trees.read_back(reply_trees.format_paths(turns, ("tree", "leaf")), ("tree",)).count() == 0
+
+
 def test_paths_and_ranks(spark):
     rng = random.Random(2)
     rows, parent = [], {}
