@@ -5,6 +5,8 @@ words that sort before a word is carried along its path and indexes a table of i
 read-only file that every Python worker memory-maps. Pieces that it does not hold are merged exactly, pair by pair in
 rank order. The lexicon changes only the work, never the ids, so its size is a parameter.
 
+Decoding takes the ids alone: each id's token, joined by spaces, as the vocabularies known here have no decoder of their own.
+
 Null texts count as empty: 0 tokens and empty strings. Equal ids stay separate rows; an empty table gives no rows.
 """
 
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundwork.llm.bpe_words import byte_letters, chunks, vocabulary
-from groundwork.llm.common import held, staged
+from groundwork.llm.common import held, staged, unused
 
 #: The rank of pairs that do not merge.
 NONE = 1 << 60
@@ -304,16 +306,16 @@ class Codec:
         if self.vocab.decoder is not None:
             raise ValueError("only vocabularies whose decoder joins tokens by spaces are known here")
         self.lexicon = Lexicon(lexicon_path) if lexicon_path else None
-        tokens = self.vocab.tokens
-        self.tokens, self.names = tokens, {i: str(i) for i in tokens}
-        self.by_chunk: dict[str, tuple[int, str, str] | None] = {}
-        self.by_piece: dict[str, tuple[int, str, str]] = {}
+        self.names = {i: str(i) for i in self.vocab.tokens}
+        self.tokens = {self.names[i]: t for i, t in self.vocab.tokens.items()}
+        self.by_chunk: dict[str, tuple[int, str] | None] = {}
+        self.by_piece: dict[str, tuple[int, str]] = {}
 
-    def _shown(self, ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(self.names.__getitem__, ids)), " ".join(map(self.tokens.__getitem__, ids))
+    def _shown(self, ids: list[int]) -> tuple[int, str]:
+        return len(ids), " ".join(map(self.names.__getitem__, ids))
 
     def learn(self, unseen: set[str]) -> None:
-        """Outputs of chunks: count, ids as text, tokens as text."""
+        """Outputs of chunks: count, ids as text."""
         if len(self.by_chunk) > self.most:
             self.by_chunk.clear()
         if len(self.by_piece) > self.most:
@@ -333,17 +335,23 @@ class Codec:
             elif len(ps) == 1:
                 self.by_chunk[c] = known(ps[0])
             elif ps:
-                n, ids, tokens = zip(*map(known, ps), strict=True)
-                self.by_chunk[c] = sum(n), " ".join(ids), " ".join(tokens)
+                n, ids = zip(*map(known, ps), strict=True)
+                self.by_chunk[c] = sum(n), " ".join(ids)
             else:
                 self.by_chunk[c] = None
 
-    def encode(self, text: str) -> list[tuple[int, str, str]]:
-        return [x for x in map(self.by_chunk.__getitem__, chunks(text)) if x]
+    def encode(self, text: str) -> tuple[int, str]:
+        """Count and ids of a text whose chunks are learned."""
+        found = [x for x in map(self.by_chunk.__getitem__, chunks(text)) if x]
+        return sum([x[0] for x in found]), " ".join([x[1] for x in found])
+
+    def decode(self, ids: str) -> str:
+        """The text of ids given as decimal text."""
+        return " ".join(map(self.tokens.__getitem__, ids.split()))
 
 
 def encode(docs: DataFrame, tokenizer_path: str, lexicon: str | None = None, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """keep columns, n_tokens (long), ids (decimal, one space between) and decoded (what the tokenizer's decode gives for them)."""
+    """keep columns, n_tokens (long), ids (decimal, one space between) and decoded (the ids decoded again, as the tokenizer's decode does)."""
     out = docs.select(*keep).withColumns({"n_tokens": F.lit(0).cast("long"), "ids": F.lit(""), "decoded": F.lit("")}).schema
     names = [*keep, "n_tokens", "ids", "decoded"]
 
@@ -359,15 +367,11 @@ def encode(docs: DataFrame, tokenizer_path: str, lexicon: str | None = None, kee
                 if len(codec.by_chunk) > codec.most:
                     codec.by_chunk.clear()
                 codec.learn(words)
-                counts, ids, decoded = [], [], []
-                for t in texts:
-                    found = codec.encode(t)
-                    counts.append(sum(x[0] for x in found))
-                    ids.append(" ".join([x[1] for x in found]))
-                    decoded.append(" ".join([x[2] for x in found]))
+                counts, ids = zip(*map(codec.encode, texts), strict=True) if texts else ((), ())
+                decoded = list(map(codec.decode, ids))
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=names)
 
-    return docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text")).mapInArrow(run, out)
+    return docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias(unused(docs, "text_to_encode"))).mapInArrow(run, out)
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, keep: tuple[str, ...] = ("doc_id",), ids_col: str = "ids") -> DataFrame:
@@ -380,5 +384,5 @@ def decode(encoded: DataFrame, tokenizer_path: str, keep: tuple[str, ...] = ("do
             texts = [" ".join(map(tokens.__getitem__, (t or "").split())) for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(texts, pa.string())], names=[*keep, "decoded"])
 
-    return encoded.select(*keep, F.col(ids_col).alias("__ids")).mapInArrow(run, out)
+    return encoded.select(*keep, F.col(ids_col).alias(unused(encoded, "ids_to_decode"))).mapInArrow(run, out)
 

@@ -3,7 +3,7 @@
 A text is its words; a word is itself and its character n-grams (of the word between < and >), each hashed to one of BUCKETS
 learned vectors. A word that repeats the word before it adds one more feature, the same for all words. The vectors are averaged over the text and a softmax layer gives the class. Training is stochastic
 gradient descent in numpy, on at most TRAIN_DOCS labelled rows (the bound is that parameter; the rows are those with the
-smallest hashes of their ids). As the output is linear in the average, scoring sends one number per bucket to
+smallest hashes of their ids; of rows that repeat an id, that of the first text), each at most BUCKETS + 1 numbers. As the output is linear in the average, scoring sends one number per bucket to
 the executors and adds up numbers per distinct word.
 
 Null texts count as empty; a text without words gets the score of the output layer's bias. Null ids are scored, and
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import crc_of_id, held
+from groundwork.llm.common import crc_of_id, held, unused
 
 BUCKETS, SIZE, GRAMS = 1 << 18, 16, (3, 4, 5)
 #: The feature of a repeated word; the hashed features have the buckets before it.
@@ -102,7 +102,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
             found = [bag(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float32()))], names=["label", "buckets", "shares"])
 
-    texts = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample), id_col)
+    texts = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample), id_col).groupBy(id_col, "label").agg(F.min("text").alias("text"))
     rows = texts.select("label", "text").mapInArrow(run, "label int, buckets array<long>, shares array<float>").toArrow()
     bags = [(b.values.to_numpy(), s.values.to_numpy()) for b, s in zip(rows["buckets"], rows["shares"], strict=True)]
     order = sorted(range(len(bags)), key=lambda i: (len(bags[i][0]), bags[i][0][:8].tolist(), bags[i][1][:8].tolist()))
@@ -138,12 +138,12 @@ class Scorer:
         return (1 / (1 + np.exp(-np.clip(z, -500, 500)))).tolist()
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """keep columns of docs and score (double, 0 to 1: class 1 likelier) for every row."""
+def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", name: str = "score") -> DataFrame:
+    """keep columns of docs and `name` (double, 0 to 1: class 1 likelier; not one of keep) for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one number a bucket: 1 MB
     mark = hash((model[0].tobytes(), model[1]))
-    out = docs.select(*keep).withColumn("score", F.lit(0.0)).schema
-    kept = docs.select(*keep) if text_col in keep else docs.select(*keep, F.col(text_col).alias("__text"))
+    out = docs.select(*keep).withColumn(name, F.lit(0.0)).schema
+    kept = docs.select(*keep) if text_col in keep else docs.select(*keep, F.col(text_col).alias(unused(docs, "text_to_score")))
     at_text = kept.columns.index(text_col) if text_col in keep else len(keep)
 
     def run(batches):
@@ -152,7 +152,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 found = scorer.scores([t or "" for t in part.column(at_text).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), pa.array(found, pa.float64())], names=[*keep, "score"])
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), pa.array(found, pa.float64())], names=[*keep, name])
 
     return kept.mapInArrow(run, out)
 

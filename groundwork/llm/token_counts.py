@@ -1,7 +1,7 @@
 """Token counts: batch encoding in Arrow functions that return lengths only.
 
-Texts are cut at safe boundaries, so that a very long text is never one encoding call and a piece that
-repeats is encoded once per worker. A boundary is safe before a single ASCII space with a character other
+Texts are cut at safe boundaries, so that a very long text is many encoding calls and a piece that repeats is encoded once per
+worker; only a run without any such boundary is one call, however long, as merges may reach over all of it. A boundary is safe before a single ASCII space with a character other
 than white space on either side: the byte-level split pattern starts a new piece there whatever surrounds it,
 and no special string of such a vocabulary holds a space. Vocabularies for which this is not known to hold
 (another pre-tokenizer, a normalizer, special strings with spaces or stripping) are encoded text by text.
@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import byte_batches, held
+from groundwork.llm.common import byte_batches, held, unused
 
 _TWO_SPACES = re.compile(r"\s\s")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
@@ -90,7 +90,7 @@ class PieceCounter:
 
 def token_counts(df: DataFrame, tokenizer_path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), group_bytes: int = 8_000_000) -> DataFrame:
     """keep columns, n_bytes (UTF-8) and n_tokens (both long) for every row of df; other columns of df are not read."""
-    kept = df.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    kept = df.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias(unused(df, "text_to_count")))
     out = df.select(*keep).withColumns({"n_bytes": F.lit(0).cast("long"), "n_tokens": F.lit(0).cast("long")}).schema
     names = list(keep)
 

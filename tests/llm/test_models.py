@@ -114,6 +114,49 @@ def test_classifier(spark):
     assert np.allclose(again[0], model[0])
 
 
+def plain_average(text, table, bias):
+    """The score by its definition: the average, over all features of all words, of one number a bucket."""
+    words, values = (text or "").split(), []
+    for i, w in enumerate(words):
+        values.append(table[zlib.crc32(w.encode()) % subword_classifier.BUCKETS])
+        marked = f"<{w}>"
+        for n in subword_classifier.GRAMS:
+            for at in range(len(marked) - n + 1):
+                h = n
+                for c in marked[at : at + n]:
+                    h = (h * 0x9E3779B97F4A7C15 + ord(c)) % (1 << 64)
+                values.append(table[(h >> 17) % subword_classifier.BUCKETS])
+        if i and w == words[i - 1]:
+            values.append(table[subword_classifier.REPEAT])
+    return 1 / (1 + math.exp(-(math.fsum(map(float, values)) / len(values) if values else 0.0) - bias))
+
+
+def test_scores_are_averages_of_the_embedding(spark):
+    rng = np.random.default_rng(4)
+    table, bias = rng.normal(0, 40, subword_classifier.BUCKETS + 1).astype(np.float32), 0.3
+    texts = [None, "", " ", "a", "a a a", "naïve 日本語 😀😀 x", "the the cat sat sat", "w" * 3000, "tab\tnew\nline", *(t for _, t, _ in corpus(30))]
+    docs = spark.createDataFrame([(i, t, 0.5) for i, t in enumerate(texts)] + [(None, "a", 0.5)], "doc_id long, text string, score double").repartition(3)
+    got = {r.doc_id: r.mine for r in subword_classifier.score(docs, (table, bias), ("doc_id", "score"), name="mine").collect()}
+    assert got == pytest.approx({i: plain_average(t, table, bias) for i, t in enumerate(texts)} | {None: plain_average("a", table, bias)})
+    assert subword_classifier.score(docs.limit(0), (table, bias)).count() == 0
+
+
+def test_training_lowers_the_loss_by_gradients():
+    rows = list(corpus(120))
+    bags, labels = [subword_classifier.bag(t) for _, t, _ in rows], np.array([q for _, _, q in rows])
+    table, bias = subword_classifier.train(bags, labels)
+    said = np.array([w @ table[ids] for ids, w in bags]) + bias
+    assert ((said >= 0) == (labels == 1)).mean() > 0.97
+
+
+def test_repeated_ids_and_labels(spark):
+    docs = spark.createDataFrame([(1, "good river"), (1, "good river two"), (2, "bad### spam"), (None, "x")] * 3, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (2, None), (3, 1), (None, 1)], "doc_id long, quality int")
+    model = subword_classifier.fit(docs, labels)
+    got = subword_classifier.score(docs, model).collect()
+    assert len(got) == 12 and {r.doc_id: r.score >= 0.5 for r in got if r.doc_id} == {1: True, 2: False}
+
+
 def test_classifier_without_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int")
