@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from groundwork.jobs import row_queries, score_queries, source_queries
+from groundwork.jobs import round_queries, row_queries, score_queries, source_queries
 from groundwork.jobs.bindings import Tables
 
-_ALL = {**source_queries.QUERIES, **row_queries.QUERIES, **score_queries.QUERIES}
+_ALL = {**source_queries.QUERIES, **row_queries.QUERIES, **score_queries.QUERIES, **round_queries.QUERIES}
 
 
 def _query(make):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from groundwork.jobs.bindings import Tables, with_tables
+from groundwork.jobs.row_queries import near_tables
 from groundwork.operators import agreement, audit, catalogue, costs, scores
 
 _COMPOSITE = ("comp", "SELECT row_id, category, seq, coalesce(floor((total * 200 + n) / (n * 2)) / 100, 0.0) AS composite FROM people LEFT JOIN (SELECT row_id, CAST(sum(score) AS BIGINT) AS total, count(*) AS n FROM scores GROUP BY row_id) s USING (row_id)")
@@ -26,7 +27,7 @@ def _composites(t: Tables):
     return scores.composite(t.people, t.scores).join(t.people.select("row_id", "seq"), "row_id")
 
 
-def _pairs(t: Tables):
+def rated_pairs(t: Tables):
     return agreement.score_pairs(t.rated.select("row_id", "dim", F.col("a").alias("score")), t.rated.where("b IS NOT NULL").select("row_id", "dim", F.col("b").alias("score")))
 
 
@@ -87,26 +88,30 @@ QUERIES = {
     ),
     "j8_dim_distribution": (lambda t: scores.dim_distribution(t.scores), with_tables("SELECT dim, " + ", ".join(f"count(*) FILTER (score = {s}) AS s{s}" for s in range(1, 6)) + " FROM scores GROUP BY dim")),
     "j8_low_rows": (lambda t: scores.low_rows(t.scores), with_tables("SELECT row_id FROM scores GROUP BY row_id HAVING min(score) <= 2")),
-    "k1_score_pairs": (_pairs, with_tables("SELECT * FROM pairs", _PAIRS)),
+    "k1_score_pairs": (rated_pairs, with_tables("SELECT * FROM pairs", _PAIRS)),
     "k2_agreement": (
-        lambda t: agreement.agreement(_pairs(t)).select("dim", "exact", "within_1", "n"),
+        lambda t: agreement.agreement(rated_pairs(t)).select("dim", "exact", "within_1", "n"),
         with_tables("SELECT dim, round(avg(CASE WHEN a = b THEN 1 ELSE 0 END), 3) AS exact, round(avg(CASE WHEN abs(a - b) <= 1 THEN 1 ELSE 0 END), 3) AS within_1, count(*) AS n FROM pairs GROUP BY dim", _PAIRS),
     ),
-    "k3_quadratic_kappa": (lambda t: agreement.quadratic_kappa(_pairs(t)), with_tables(f"SELECT dim, {_KAPPA} AS kappa, count(*) AS n FROM pairs GROUP BY dim", _PAIRS)),
-    "k4_confusion": (lambda t: agreement.confusion(_pairs(t)), with_tables("SELECT dim, a, b, count(*) AS n FROM pairs GROUP BY dim, a, b", _PAIRS)),
+    "k3_quadratic_kappa": (lambda t: agreement.quadratic_kappa(rated_pairs(t)), with_tables(f"SELECT dim, {_KAPPA} AS kappa, count(*) AS n FROM pairs GROUP BY dim", _PAIRS)),
+    "k4_confusion": (lambda t: agreement.confusion(rated_pairs(t)), with_tables("SELECT dim, a, b, count(*) AS n FROM pairs GROUP BY dim, a, b", _PAIRS)),
     "k5_injected_catch_rate": (
         lambda t: agreement.catch_rate(_labels(t), _label_scores(t)),
         with_tables(f"SELECT count(*) AS n, count(*) FILTER (caught) AS n_caught, count(*) FILTER (caught) / count(*) AS rate FROM (SELECT {_KINDS} AS injected, CASE doc_id % 6 WHEN 3 THEN FALSE ELSE 1 + 3 * quality + toxic <= 2 END AS caught FROM labels) x WHERE injected IS NOT NULL"),
     ),
     "k6_sample_rows": (lambda t: agreement.sample_rows(t.labels.select("doc_id"), 0.2, 11, "doc_id"), "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY sha256('11:' || doc_id), doc_id) AS n, count(*) OVER () AS total FROM labels) x WHERE n <= greatest(1, CAST(floor(total * 0.2) AS BIGINT))"),
-    "k7_disagreements": (lambda t: agreement.disagreements(_pairs(t)), with_tables("SELECT * FROM pairs WHERE abs(a - b) >= 2", _PAIRS)),
+    "k7_disagreements": (lambda t: agreement.disagreements(rated_pairs(t)), with_tables("SELECT * FROM pairs WHERE abs(a - b) >= 2", _PAIRS)),
+    "k7_cross_rater": (
+        lambda t: agreement.cross_rater(rated_pairs(t), agreement.sample_rows(t.events.select(F.col("event_id").alias("row_id")), 0.2, 42)),
+        with_tables(f"SELECT dim, round({_KAPPA}, 3) AS kappa, count(*) AS n, count(*) FILTER (abs(a - b) >= 2) AS n_apart FROM pairs WHERE row_id IN (SELECT event_id FROM (SELECT event_id, row_number() OVER (ORDER BY sha256('42:' || event_id), event_id) AS k, count(*) OVER () AS total FROM events) x WHERE k <= greatest(1, CAST(floor(total * 0.2) AS BIGINT))) GROUP BY dim", _PAIRS),
+    ),
     "f1_worst_k": (lambda t: catalogue.worst_k(_composites(t)).select("row_id", "category", "worst_rank", "composite"), with_tables("SELECT row_id, category, worst_rank, composite FROM worst WHERE worst_rank <= 3", _COMPOSITE, _WORST)),
     "f2_lowest_dims": (lambda t: catalogue.lowest_dims(t.scores), with_tables("SELECT * FROM low WHERE dim_rank <= 3", _LOW)),
     "f3_mitigation": (lambda t: catalogue.mitigation(catalogue.lowest_dims(t.scores), _ADVICE), with_tables("SELECT * FROM mitigated", _LOW, _MITIGATED)),
     "f4_catalogue": (
-        lambda t: catalogue.catalogue(t.people, _composites(t), t.scores, _flags(t), _ADVICE),
+        lambda t: catalogue.catalogue(t.people.withColumn("seed_clause_ids", F.array("seed1", "seed2")), _composites(t), t.scores, _flags(t), _ADVICE),
         with_tables(
-            "SELECT w.row_id, w.category, worst_rank, composite, question, answer, coalesce(l.low_dims, '') AS low_dims, coalesce(f.flags, '') AS flags, coalesce(m.mitigation, 'review by hand') AS mitigation FROM worst w JOIN people p ON p.row_id = w.row_id LEFT JOIN (SELECT row_id, string_agg(dim || '=' || score, ', ' ORDER BY dim_rank) AS low_dims FROM low WHERE dim_rank <= 3 GROUP BY row_id) l ON l.row_id = w.row_id LEFT JOIN flagged f ON f.row_id = w.row_id LEFT JOIN mitigated m ON m.row_id = w.row_id WHERE worst_rank <= 3",
+            "SELECT w.row_id, w.category, worst_rank, composite, question, answer, CASE WHEN clarifying_question IS NULL THEN '' ELSE clarifying_question || ' (axis: ' || clarification_axis || ')' END AS clarifier, passed, regen_count, seed1 || ',' || seed2 AS seeds, coalesce(l.low_dims, '') AS low_dims, coalesce(f.flags, '') AS flags, coalesce(m.mitigation, 'review by hand') AS mitigation FROM worst w JOIN people p ON p.row_id = w.row_id LEFT JOIN (SELECT row_id, string_agg(dim || '=' || score, ', ' ORDER BY dim_rank) AS low_dims FROM low WHERE dim_rank <= 3 GROUP BY row_id) l ON l.row_id = w.row_id LEFT JOIN flagged f ON f.row_id = w.row_id LEFT JOIN mitigated m ON m.row_id = w.row_id WHERE worst_rank <= 3",
             _COMPOSITE, _WORST, _LOW, _FLAGS, _MITIGATED,
         ),
     ),
@@ -149,7 +154,7 @@ QUERIES = {
     "a11_seed_reuse": (lambda t: audit.seed_reuse(_seeded(t)), with_tables("SELECT least(seed1, seed2) || '|' || greatest(seed1, seed2) AS seeds, count(*) AS n FROM qa GROUP BY 1 HAVING count(*) > 1")),
     "a12_wasted_slots": (
         lambda t: audit.wasted_slots(t.documents.selectExpr("doc_id AS row_id", "doc_id AS seq", "lang AS seed", "text AS question")),
-        None,
+        with_tables("SELECT * FROM near", *near_tables(0.5)),
     ),
     "a13_same_excerpt_branches": (lambda t: audit.same_excerpt_branches(t.citations), with_tables("SELECT row_id, excerpt FROM citations WHERE branch_pos > 0 GROUP BY row_id, excerpt HAVING count(DISTINCT branch_pos) > 1")),
     "a14_seed_provenance": (

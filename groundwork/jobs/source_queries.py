@@ -15,12 +15,21 @@ _COVERED = "SELECT DISTINCT doc_id, unnest(range(line_start, line_end + 1)) AS l
 _GAPS = "SELECT doc_id, min(line_no) AS line_start, max(line_no) AS line_end FROM (SELECT doc_id, line_no, line_no - row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS run FROM (SELECT doc_id, line_no FROM lines EXCEPT {0}) a) b GROUP BY doc_id, run"
 _PAIRS = "SELECT a.clause_id AS first_id, b.clause_id AS second_id, count(*) AS n_shared, string_agg(a.topic, ',' ORDER BY a.topic) AS shared FROM ct a JOIN ct b ON a.doc_id = b.doc_id AND a.topic = b.topic AND a.pos < b.pos AND a.parent IS DISTINCT FROM b.clause_id GROUP BY ALL"
 _CT = ("ct", "SELECT doc_id, clause_id, pos, parent, unnest(topics) AS topic FROM clauses")
+#: A pass over the pairs in order that ends with the 40th accepted one; an end may be used twice.
+_CAPPED = (
+    ("ranked!", "SELECT first_id AS a, second_id AS b, row_number() OVER (ORDER BY n_shared DESC, sha256('7:' || first_id || ':' || second_id)) AS n FROM pairs"),
+    (
+        "pass",
+        "SELECT CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS used, CAST([] AS BIGINT[]) AS taken UNION ALL SELECT r.n, CASE WHEN ok THEN p.used || [r.a, r.b] ELSE p.used END, CASE WHEN ok THEN list_append(p.taken, r.n) ELSE p.taken END "
+        "FROM (SELECT p.*, r.n AS next, r.a, r.b, len(list_filter(p.used, lambda x: x = r.a)) < 2 AND len(list_filter(p.used, lambda x: x = r.b)) < 2 AS ok FROM pass p JOIN ranked r ON r.n = p.n + 1 WHERE len(p.taken) < 40) p, LATERAL (SELECT p.next AS n, p.a AS a, p.b AS b) r",
+    ),
+)
 _MARKED = " OR ".join(f"contains(lower(verbatim_text), '{m}')" for m in SILENCE)
 #: The prose holds none of the marks, so every fifth clause gets one.
 _MARK = "CASE pos % 10 WHEN 0 THEN ' as per rule' WHEN 3 THEN ' reasonable' WHEN 5 THEN ' may suspend' WHEN 7 THEN ' in 12 days' ELSE '' END"
 _MARKED_CLAUSES = ("marked", f"SELECT doc_id, clause_id, pos, verbatim_text || {_MARK} AS verbatim_text FROM clauses")
 _SEED = "sha256('7:' || clause_id)"
-_PREORDER = "tree AS (SELECT node_id, title, line_num, 0 AS depth, lpad(CAST(sibling_pos AS VARCHAR), 8, '0') AS path, title AS titles FROM edges WHERE parent_id IS NULL UNION ALL SELECT e.node_id, e.title, e.line_num, t.depth + 1, t.path || '/' || lpad(CAST(e.sibling_pos AS VARCHAR), 8, '0'), t.titles || ' > ' || e.title FROM edges e JOIN tree t ON e.parent_id = t.node_id)"
+_PREORDER = "tree AS (SELECT node_id, title, line_num, 0 AS depth, lpad(CAST(sibling_pos AS VARCHAR), 19, '0') AS path, title AS titles FROM edges WHERE parent_id IS NULL UNION ALL SELECT e.node_id, e.title, e.line_num, t.depth + 1, t.path || '/' || lpad(CAST(e.sibling_pos AS VARCHAR), 19, '0'), t.titles || ' > ' || e.title FROM edges e JOIN tree t ON e.parent_id = t.node_id)"
 _HTML = "coalesce(html, '')"
 for _pattern, _flags in [(r"<!--.*?-->", "gs")] + [(rf"<{t}(\s[^>]*)?>.*?</{t}>", "gsi") for t in ("script", "style", "nav", "footer", "head")] + [(r"<[^>]*>", "g")]:
     _HTML = f"regexp_replace({_HTML}, '{_pattern}', ' ', '{_flags}')"
@@ -42,6 +51,11 @@ def _nodes(t: Tables):
 
 
 _NODES = ("nodes", "SELECT doc_id, line_no AS preorder, CASE WHEN line_no % 10 = 9 THEN 'nowhere' ELSE title END AS title, CASE WHEN line_no % 8 = 5 THEN line_no - 2 ELSE line_no END AS line_num, verbatim_text AS text FROM clauses")
+_PARSED = (
+    ("bare", "SELECT cand_id, content, CASE WHEN starts_with(trim(content), '```') THEN regexp_replace(trim(content), '```(json)?', '', 'g') ELSE trim(content) END AS b FROM responses"),
+    ("sliced", "SELECT cand_id, content, CASE WHEN strpos(b, '{') > 0 AND strpos(b, '}') > 0 AND length(b) - strpos(reverse(b), '}') + 1 > strpos(b, '{') THEN substr(b, strpos(b, '{'), length(b) - strpos(reverse(b), '}') + 2 - strpos(b, '{')) END AS t FROM bare"),
+    ("read", r"SELECT cand_id, content, t, CASE WHEN json_valid(t) THEN t WHEN json_valid(regexp_replace(t, ',(\s*[}\]])', '\1', 'g')) THEN regexp_replace(t, ',(\s*[}\]])', '\1', 'g') WHEN json_valid(regexp_replace(regexp_replace(t, ',(\s*[}\]])', '\1', 'g'), '[\x00-\x1F]', ' ', 'g')) THEN regexp_replace(regexp_replace(t, ',(\s*[}\]])', '\1', 'g'), '[\x00-\x1F]', ' ', 'g') END AS good FROM sliced"),
+)
 _TEMPLATE = "Q about {title} at {line} and {other}: {text} ({missing})"
 
 
@@ -63,7 +77,7 @@ def _used(t: Tables):
 
 
 def _topk(t: Tables):
-    """Every document whose id is divisible by 20 is a query against all clauses; the comparison SQL still asks one document per language."""
+    """Every document whose id is divisible by 20 is a query against all clauses."""
     asked = t.documents.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), F.col("text").alias("query"))
     return retrieve.keyword_topk(asked, t.clauses).select("query_id", "clause_id", "score", "rank")
 
@@ -71,6 +85,10 @@ def _topk(t: Tables):
 QUERIES = {
     "s3_read_lines": (lambda t: t.lines, with_tables("SELECT * FROM lines")),
     "c1_html_to_text": (lambda t: t.pages.select("page_id", source.html_to_text(F.col("html")).alias("text")), f"SELECT page_id, {_HTML} AS text FROM pages"),
+    "c1_empty_pages": (
+        lambda t: source.empty_pages(t.pages.withColumn("html", F.when(F.col("page_id") % 9 == 0, F.concat(F.lit("<nav>"), F.substring_index("html", "<", 1), F.lit("menu</nav><p> </p>"))).otherwise(F.col("html")))),
+        f"SELECT page_id FROM (SELECT page_id, CASE WHEN page_id % 9 = 0 THEN '<nav>' || split_part(html, '<', 1) || 'menu</nav><p> </p>' ELSE html END AS html FROM pages) p WHERE {_HTML} = ''",
+    ),
     "c2_pin_source": (lambda t: source.pin_source(t.documents), _PINNED),
     "c3_source_drift": (
         lambda t: source.source_drift(_recorded(t, 50), t.documents, _recorded(t, 70)),
@@ -87,9 +105,8 @@ QUERIES = {
     "c9_orphan_parents": (lambda t: source.orphan_parents(t.clauses), with_tables("SELECT clause_id, parent FROM clauses WHERE parent IS NOT NULL AND parent NOT IN (SELECT clause_id FROM clauses)")),
     "c9_repaired_parents": (lambda t: source.without_orphans(t.clauses), with_tables("SELECT c.clause_id, p.clause_id AS parent FROM clauses c LEFT JOIN clauses p ON c.parent = p.clause_id")),
     "c10_missing_topics": (
-        # over whole texts; the comparison SQL still reads the last 40 characters
         lambda t: source.missing_topics(t.clauses, t.documents.select(F.explode(source.topics_of(F.col("text"))).alias("topic"))),
-        with_tables(r"SELECT DISTINCT topic FROM (SELECT unnest(list_filter(string_split_regex(lower(right(text, 40)), '[^\p{L}]+'), lambda x: length(x) >= 5)) AS topic FROM documents) r WHERE topic NOT IN (SELECT topic FROM ct)", _CT),
+        with_tables(r"SELECT DISTINCT topic FROM (SELECT unnest(list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}]+'), lambda x: length(x) >= 5)) AS topic FROM documents) r WHERE topic NOT IN (SELECT topic FROM ct)", _CT),
     ),
     "c11_tree_integrity": (
         lambda t: source.tree_integrity(_nodes(t), t.lines, t.documents),
@@ -114,7 +131,7 @@ QUERIES = {
         _topk,
         with_tables(
             "SELECT query_id, clause_id, score, rank FROM s QUALIFY rank <= 5",
-            ("q", "SELECT doc_id AS query_id, lower(text) AS q FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY lang)"),
+            ("q", "SELECT doc_id AS query_id, lower(text) AS q FROM documents WHERE doc_id % 20 = 0"),
             ("s0", "SELECT query_id, clause_id, pos, 2.0 * len(list_filter(topics, lambda x: contains(q, x))) + CASE WHEN contains(q, lower(title)) OR len(list_filter(string_split_regex(lower(title), '\\s+'), lambda w: w <> '' AND contains(q, w))) > 0 THEN 1.0 ELSE 0.0 END AS score FROM q, clauses"),
             ("s", "SELECT query_id, clause_id, CAST(score AS DOUBLE) AS score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, pos) AS INT) AS rank FROM s0 WHERE score > 0"),
         ).replace(" QUALIFY", " WHERE"),
@@ -139,7 +156,7 @@ QUERIES = {
         with_tables(rf"SELECT clause_id FROM marked WHERE clause_id NOT LIKE '%#1' AND regexp_matches(verbatim_text, '(?i)\b\d+\s*(days?|%|percent|hours?|working\s+days?)\b') ORDER BY {_SEED} LIMIT 50", _MARKED_CLAUSES),
     ),
     "g2_scored_pairs": (lambda t: seeds.scored_pairs(t.clauses, 7, scope=["doc_id"]).select("first_id", "second_id", "n_shared", "draw"), with_tables("SELECT first_id, second_id, n_shared, sha256('7:' || first_id || ':' || second_id) AS draw FROM pairs", _CT, ("pairs", _PAIRS))),
-    "g2_pair_selection": (lambda t: seeds.pair_selection(t.clauses, 40, 7, scope=["doc_id"]), None),
+    "g2_pair_selection": (lambda t: seeds.pair_selection(t.clauses, 40, 7, scope=["doc_id"]), with_tables("SELECT a, b FROM ranked WHERE list_contains((SELECT taken FROM pass ORDER BY n DESC LIMIT 1), n)", _CT, ("pairs", _PAIRS), *_CAPPED)),
     "g3_ambiguity_seeds": (
         lambda t: seeds.ambiguity_seeds(_marked(t), 60, 7, _excluded(t)),
         with_tables(
@@ -155,10 +172,10 @@ QUERIES = {
     "g6_render_prompts": (_rendered, with_tables(f"SELECT clause_id, replace(replace(replace(replace('{_TEMPLATE}', '{{title}}', title), '{{text}}', verbatim_text), '{{line}}', CAST(line_start AS VARCHAR)), '{{missing}}', '') AS prompt FROM clauses")),
     "p1_parse_responses": (
         lambda t: _responses(t).select("cand_id", F.col("error").isNull().alias("parses"), F.coalesce("parsed.question", F.lit("")).alias("question")),
-        with_tables("SELECT seq AS cand_id, seq % 6 <> 3 AS parses, CASE seq % 6 WHEN 3 THEN '' WHEN 4 THEN '' ELSE replace(replace(question, chr(10), ' '), '\"', '') END AS question FROM qa"),
+        with_tables("SELECT cand_id, good IS NOT NULL AS parses, coalesce(json_extract_string(good, '$.question'), '') AS question FROM read", *_PARSED),
     ),
-    "p2_parse_rejects": (lambda t: parse.parse_rejects(_responses(t)), with_tables("SELECT cand_id, 'no JSON object' AS error, content FROM responses WHERE seq % 6 = 3")),
-    "p3_self_rejects": (lambda t: parse.self_rejects(_responses(t)), with_tables("SELECT seq AS cand_id, substr(repeat('too thin ', 20), 1, 120) AS reason FROM qa WHERE seq % 6 = 4")),
+    "p2_parse_rejects": (lambda t: parse.parse_rejects(_responses(t)), with_tables("SELECT cand_id, CASE WHEN t IS NULL THEN 'no JSON object' ELSE 'JSON does not parse' END AS error, content FROM read WHERE good IS NULL", *_PARSED)),
+    "p3_self_rejects": (lambda t: parse.self_rejects(_responses(t)), with_tables("SELECT cand_id, substr(coalesce(json_extract_string(good, '$.reason'), ''), 1, 120) AS reason FROM read WHERE json_extract_string(good, '$.reject') = 'true'", *_PARSED)),
     "p4_normalise_rows": (
         lambda t: parse.normalise_rows(t.qa.withColumn("confidence", F.when(F.col("confidence") != "none", F.col("confidence")))).select("row_id", "answer", "clarifying_question", "clarification_axis", "ambiguity_type", "confidence", "should_escalate"),
         with_tables("SELECT row_id, CASE WHEN category <> 'B' THEN answer END AS answer, CASE WHEN category = 'B' THEN clarifying_question END AS clarifying_question, CASE WHEN category = 'B' THEN clarification_axis END AS clarification_axis, CASE WHEN category = 'C' THEN ambiguity_type END AS ambiguity_type, CASE WHEN category = 'C' THEN 'low' WHEN confidence <> 'none' THEN confidence WHEN category = 'A' THEN 'high' ELSE 'medium' END AS confidence, category = 'C' OR should_escalate AS should_escalate FROM qa"),

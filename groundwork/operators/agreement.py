@@ -74,3 +74,9 @@ def sample_rows(rows: DataFrame, share: float, seed: int | str, id_col: str = "r
 
 def disagreements(pairs: DataFrame, least: int = 2) -> DataFrame:
     return pairs.where(F.abs(F.col("a") - F.col("b")) >= least)
+
+
+def cross_rater(pairs: DataFrame, sample: DataFrame) -> DataFrame:
+    """dim, kappa (3 decimals), n and n_apart (pairs that differ by 2 or more) of two raters over the rows of sample(row_id)."""
+    told = pairs.join(sample.select("row_id").distinct(), "row_id", "left_semi")
+    return told.groupBy("dim").agg(F.round(kappa(), 3).alias("kappa"), F.count("*").alias("n"), F.count_if(F.abs(F.col("a") - F.col("b")) >= 2).alias("n_apart"))

@@ -30,10 +30,15 @@ def mitigation(low: DataFrame, texts: Mapping[str, str], default: str = DEFAULT_
 
 
 def catalogue(rows: DataFrame, composites: DataFrame, scores: DataFrame, flags: DataFrame, texts: Mapping[str, str], k: int = 3) -> DataFrame:
-    """row_id, category, worst_rank, composite, question, answer, low_dims, flags, mitigation of the worst rows."""
+    """row_id, category, worst_rank, composite, question, answer, clarifier (with its axis), low_dims, flags, passed, regen_count, seeds, mitigation of the worst rows.
+
+    rows(row_id, question, answer, clarifying_question, clarification_axis, passed, regen_count, seed_clause_ids).
+    """
     worst = worst_k(composites, k)
     few = lowest_dims(scores.join(worst.select("row_id"), "row_id", "left_semi"))
     shown = few.groupBy("row_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("dim_rank", F.concat("dim", F.lit("="), F.col("score").cast("string")).alias("t")))), lambda d: d["t"]), ", ").alias("low_dims"))
-    told = worst.join(rows.select("row_id", "question", "answer"), "row_id").join(shown, "row_id", "left").join(mitigation(few, texts), "row_id", "left")
+    asked = F.coalesce("clarifying_question", F.lit(""))
+    clarifier = F.when(asked != "", F.concat(asked, F.lit(" (axis: "), F.coalesce("clarification_axis", F.lit("")), F.lit(")"))).otherwise("")
+    told = worst.join(rows.select("row_id", "question", "answer", clarifier.alias("clarifier"), "passed", "regen_count", F.array_join("seed_clause_ids", ",").alias("seeds")), "row_id").join(shown, "row_id", "left").join(mitigation(few, texts), "row_id", "left")
     told = told.join(flags.select("row_id", F.array_join("flags", ",").alias("flags")), "row_id", "left")
-    return told.select("row_id", "category", "worst_rank", "composite", "question", "answer", F.coalesce("low_dims", F.lit("")).alias("low_dims"), F.coalesce("flags", F.lit("")).alias("flags"), F.coalesce("mitigation", F.lit(DEFAULT_MITIGATION)).alias("mitigation"))
+    return told.select("row_id", "category", "worst_rank", "composite", "question", "answer", "clarifier", "passed", "regen_count", "seeds", F.coalesce("low_dims", F.lit("")).alias("low_dims"), F.coalesce("flags", F.lit("")).alias("flags"), F.coalesce("mitigation", F.lit(DEFAULT_MITIGATION)).alias("mitigation"))

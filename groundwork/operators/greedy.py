@@ -3,32 +3,82 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections import Counter, defaultdict
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df without its lineage, by a reliable checkpoint in spark.checkpoint.dir (or a folder of our own where that is unset)."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, or one of our own where that is unset (as in tests)."""
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="groundwork-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="groundwork-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df without its lineage, by a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
-def first_fit(nodes: DataFrame, near: DataFrame, most_rounds: int = 200) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written as Parquet in the shared folder and read again: what is used more than once is made once."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: So few rows are passed through in order by one task; more go in rounds of joins.
+FEW = 20_000
+
+
+def _in_order(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """What first_fit gives, for few rows."""
+    null = F.lit(None).cast("string")
+    told = nodes.select("seq", "key", "set", null.alias("s1"), null.alias("s2")).union(links.select(F.lit(None).cast("long"), null, null, "s1", "s2"))
+
+    def run(batches):
+        rows, near = [], defaultdict(set)
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["seq"] is None:
+                    near[r["s1"]].add(r["s2"])
+                else:
+                    rows.append((r["seq"], r["key"], r["set"]))
+        keys, sets, out = set(), set(), []
+        for seq, key, own in sorted(rows, key=lambda r: r[0]):
+            if key in keys or own in sets or (own is not None and not near[own].isdisjoint(sets)):
+                out.append(seq)
+            else:
+                keys.add(key)
+                if own is not None:
+                    sets.add(own)
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["seq"])
+
+    return told.coalesce(1).mapInArrow(run, "seq long")
+
+
+def first_fit(nodes: DataFrame, near: DataFrame, few: int = FEW) -> DataFrame:
     """seq of the nodes(seq, key, set) that a pass in seq order drops.
 
     A node is dropped if an earlier kept node has its key or its set, or a set that near(s1, s2; both directions) links with its set; otherwise it is kept and
     knocks out others. Null sets are linked with nothing. Links are between sets and tested through each set's least live node, so no
     pairs of nodes are ever made: each round keeps nodes that precede all live ones they are linked with, and drops what these knock out.
+    The first live node always goes, so rounds end; long chains of links end sooner, as the last `few` rows are passed through in order.
     """
-    live = cut(nodes.select("seq", "key", "set"))
+    live = cut(nodes.select(F.col("seq").cast("long").alias("seq"), "key", "set"))
     links = cut(near.select("s1", "s2").where("s1 <> s2").distinct())
     dropped = live.select("seq").limit(0)
-    for _ in range(most_rounds):
-        if not live.take(1):
-            return dropped
+    while n := live.count():
+        if n <= few:
+            left = live.select(F.col("set").alias("s1")).distinct()
+            near_left = cut(links.join(left, "s1", "left_semi").join(left.withColumnRenamed("s1", "s2"), "s2", "left_semi").select("s1", "s2"))
+            if near_left.count() <= 5 * few:
+                return dropped.union(_in_order(live, near_left))
         by_key = live.groupBy("key").agg(F.min("seq").alias("first_of_key"))
         by_set = live.where("set IS NOT NULL").groupBy("set").agg(F.min("seq").alias("first_of_set"))
         by_link = links.join(by_set.withColumnRenamed("set", "s1"), "s1").groupBy(F.col("s2").alias("set")).agg(F.min("first_of_set").alias("first_near"))
@@ -41,19 +91,44 @@ def first_fit(nodes: DataFrame, near: DataFrame, most_rounds: int = 200) -> Data
         marked = cut(live.join(kept.select("seq"), "seq", "left_anti").join(hit_keys, "key", "left").join(hit_sets, "set", "left").withColumn("out", F.col("kept_key").isNotNull() | F.coalesce(F.col("kept_set") < F.col("seq"), F.lit(False))))
         dropped = dropped.union(marked.where("out").select("seq"))
         live = marked.where("NOT out").select("seq", "key", "set")
-    raise RuntimeError(f"not settled in {most_rounds} rounds")
+    return dropped
+
+
+def _capped_in_order(pairs: DataFrame, cap: int) -> DataFrame:
+    """What capped_pairs accepts of few pairs."""
 
+    def run(batches):
+        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["place"])
+        used, out = Counter(), []
+        for r in rows:
+            if used[r["a"]] < cap and used[r["b"]] < cap:
+                used.update((r["a"], r["b"]))
+                out.append(r["place"])
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["place"])
 
-def capped_pairs(pairs: DataFrame, cap: int = 2, most: int | None = None, most_rounds: int = 200) -> DataFrame:
+    placed = cut(pairs.withColumn("place", F.row_number().over(Window.orderBy("rank")).cast("long")))
+    accepted = placed.select("a", "b", "place").coalesce(1).mapInArrow(run, "place long")
+    return placed.join(accepted, "place").select("a", "b", "rank")
+
+
+def capped_pairs(pairs: DataFrame, cap: int = 2, most: int | None = None, few: int = FEW) -> DataFrame:
     """The pairs(a, b, rank; ranks distinct) that a pass in rank order accepts if each end may be used cap times; the first `most` of them.
 
-    Each round every end marks its best live pairs, as many as it has uses left; a pair marked by both ends is accepted.
+    A pass in order needs no pair after the last one it accepts, so for the first `most` longer and longer beginnings, of up to `few` pairs, are passed
+    through first. Else each round every end marks its best live pairs, as many as it has uses left; a pair marked by both ends is accepted.
     """
     live = cut(pairs.select("a", "b", "rank"))
-    accepted = live.limit(0)
-    for _ in range(most_rounds):
-        if not live.take(1):
+    n = live.count()
+    size = min(few, n if most is None else 16 * most)
+    while 0 < size and (most is not None or n <= size):
+        some = cut(_capped_in_order(live if n <= size else live.orderBy("rank").limit(size), cap))
+        if n <= size or some.count() >= most:
+            return some if most is None else some.orderBy("rank").limit(most)
+        if size == few:
             break
+        size = min(few, 4 * size)
+    accepted = live.limit(0)
+    while live.take(1):
         uses = accepted.select(F.col("a").alias("end")).union(accepted.select(F.col("b").alias("end"))).groupBy("end").agg(F.count("*").alias("used"))
         ends = live.select("rank", F.col("a").alias("end")).union(live.select("rank", F.col("b").alias("end")))
         place = F.row_number().over(Window.partitionBy("end").orderBy("rank"))
@@ -63,8 +138,6 @@ def capped_pairs(pairs: DataFrame, cap: int = 2, most: int | None = None, most_r
         full = accepted.select(F.col("a").alias("end")).union(accepted.select(F.col("b").alias("end"))).groupBy("end").agg(F.count("*").alias("used")).where(F.col("used") >= cap).select("end")
         rest = live.join(both, "rank", "left_anti").join(full.withColumnRenamed("end", "a"), "a", "left_anti").join(full.withColumnRenamed("end", "b"), "b", "left_anti")
         live = cut(rest.select("a", "b", "rank"))
-    else:
-        raise RuntimeError(f"not settled in {most_rounds} rounds")
     return accepted if most is None else accepted.orderBy("rank").limit(most)
 
 

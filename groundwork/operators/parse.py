@@ -47,10 +47,6 @@ def self_rejects(parsed: DataFrame, shown: int = 120) -> DataFrame:
     return parsed.where(F.coalesce(F.col("parsed.reject"), F.lit(False))).select("cand_id", F.substring(text_or_empty("parsed.reason"), 1, shown).alias("reason"))
 
 
-def accepted(parsed: DataFrame) -> DataFrame:
-    return parsed.where("error IS NULL AND NOT coalesce(parsed.reject, false)")
-
-
 def normalise_rows(rows: DataFrame) -> DataFrame:
     """rows(category, answer, clarifying_question, clarification_axis, ambiguity_type, confidence, should_escalate, ...) with each category's forced values."""
     c = F.col("category")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from groundwork.functions.text import AMBIGUITY_TYPES
 
 ID_PATTERN = r"^[ABC]-\d{3}$"
+RELEVANCE = ("direct", "supporting", "contrast")  # fixed values of the schema
 
 
 def _short(col: str, least: int) -> Column:
@@ -52,6 +53,35 @@ def schema_errors(rows: DataFrame, citations: DataFrame, id_pattern: str = ID_PA
     return told.select("row_id", "id", "category", F.array_compact(F.array(*row_errors(id_pattern), F.col("cite_error"))).alias("errors"))
 
 
+def nested_errors() -> list[Column]:
+    """Error texts (null where there is none) of what stands inside nested rows(answer_branches, clause_citations, ambiguity, generation_meta)."""
+    cites, branches, meta = F.col("clause_citations"), F.col("answer_branches"), F.col("generation_meta")
+
+    def error(bad: Column, text: str) -> Column:
+        return F.when(F.coalesce(bad, F.lit(False)), F.lit(text))
+
+    def lacks(of: Column, *names: str) -> Column:
+        out = F.lit(False)
+        for n in names:
+            out = out | of[n].isNull()
+        return out
+
+    return [
+        error(cites.isNull(), "clause_citations: required"),
+        error(F.exists(cites, lambda c: lacks(c, "clause_id", "verbatim_excerpt")), "clause_citations: incomplete"),
+        error(F.exists(cites, lambda c: ~F.coalesce(c["relevance"].isin(*RELEVANCE), F.lit(False))), "clause_citations.relevance: unknown"),
+        error(F.exists(branches, lambda b: lacks(b, "axis_value", "answer", "clause_citations")), "answer_branches: incomplete"),
+        error(F.col("ambiguity").isNotNull() & lacks(F.col("ambiguity"), "type", "what_is_known", "what_is_missing"), "ambiguity: incomplete"),
+        error(meta.isNull() | lacks(meta, "prompt_version", "model", "timestamp", "cost_usd", "tokens", "latency_ms", "regen_count") | lacks(meta["tokens"], "input", "output"), "generation_meta: incomplete"),
+    ]
+
+
+def nested_schema_errors(nested: DataFrame, id_pattern: str = ID_PATTERN) -> DataFrame:
+    """row_id, id, category, errors (array in a fixed order) of nested rows."""
+    flat = nested.withColumns({"n_branches": F.coalesce(F.size("answer_branches"), F.lit(0)), "ambiguity_type": F.col("ambiguity.type"), "regen_count": F.col("generation_meta.regen_count")})
+    return flat.select("row_id", "id", "category", F.array_compact(F.array(*row_errors(id_pattern), *nested_errors())).alias("errors"))
+
+
 def valid_share(errors: DataFrame) -> DataFrame:
     """category, n, n_valid, share."""
     ok = F.count_if(F.size("errors") == 0)

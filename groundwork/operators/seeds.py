@@ -69,7 +69,3 @@ def render(template: Column, values: Mapping[str, Column]) -> Column:
     for key, value in values.items():
         out = F.replace(out, F.lit("{" + key + "}"), F.coalesce(value.cast("string"), F.lit("")))
     return out
-
-
-def feedback_or_none(feedback: Column) -> Column:
-    return F.when(F.coalesce(feedback, F.lit("")) == "", "(none)").otherwise(feedback)

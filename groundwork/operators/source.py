@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from groundwork.functions.text import text_or_empty
 
+LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
 _DROPPED = ("script", "style", "nav", "footer", "head")
 _ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
@@ -25,9 +26,17 @@ def html_to_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(out, r"[ \t\r\n\f]+", " "))
 
 
+def empty_pages(pages: DataFrame) -> DataFrame:
+    """page_id of the pages without any main text, which a fetch must report as an error."""
+    return pages.where(html_to_text(F.col("html")) == "").select("page_id")
+
+
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no (from 1) and line; a text that ends in a line end has no empty last line, an empty text no line."""
-    cut = F.split(text_or_empty("text"), r"\r\n|\r|\n")
+    """doc_id, line_no (from 1) and line; a text that ends in a line end has no empty last line, an empty text no line.
+
+    Line ends are those of Unicode: CR LF, LF, CR, VT, FF, the separators 1C to 1E, NEL, LS and PS.
+    """
+    cut = F.split(text_or_empty("text"), LINE_END)
     kept = F.when(F.element_at(cut, -1) == "", F.slice(cut, 1, F.size(cut) - 1)).otherwise(cut)
     return docs.select("doc_id", F.posexplode(kept).alias("at", "line")).select("doc_id", (F.col("at") + 1).cast("long").alias("line_no"), "line")
 
@@ -149,7 +158,3 @@ def merge_clause_sources(hand: DataFrame, sections: DataFrame, text_lines: DataF
 def topics_of(title: Column, least: int = 5) -> Column:
     """Distinct lower-case words of a title with at least `least` characters."""
     return F.array_distinct(F.filter(F.split(F.lower(title), r"[^\p{L}]+"), lambda w: F.char_length(w) >= least))
-
-
-def required_topics(df: DataFrame, topics: Sequence[str]) -> DataFrame:
-    return df.sparkSession.createDataFrame([(t,) for t in topics], "topic string")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundwork.functions.text import AMBIGUITY_TYPES, CONFIDENT, ESCALATION, HEDGES, PRIOR_TURN, PRONOUN_START, claims_of, has_any, holds_excerpt, jaccard, question_key, text_or_empty, token_set, word_pattern
-from groundwork.operators.greedy import first_fit
+from groundwork.operators.greedy import first_fit, written
 
 
 def flatten_citations(rows: DataFrame) -> DataFrame:
@@ -25,23 +25,45 @@ def cited(citations: DataFrame, clauses: DataFrame) -> DataFrame:
     return citations.join(clauses.select("clause_id", F.col("verbatim_text").alias("clause_text")), "clause_id", "left")
 
 
+def citation_facts(citations: DataFrame, clauses: DataFrame) -> DataFrame:
+    """row_id, n_own, bad (the first failing citation, the row's own before those of branches) and cited_text (lower-case texts of the row's own
+    known citations): one join and one aggregation for all checks. What a row cites is gathered, as that row is one value."""
+    shown = F.coalesce("clause_id", F.lit("null"))
+    bad = F.when(F.col("clause_text").isNull(), F.concat(F.lit("unknown clause "), shown)).when(~holds_excerpt(F.col("clause_text"), F.col("excerpt")), F.concat(F.lit("excerpt not in "), shown))
+    own = F.col("branch_pos") == 0
+    known = F.when(own & F.col("clause_text").isNotNull(), F.struct("cite_pos", F.lower("clause_text").alias("t")))
+    told = cited(citations, clauses).withColumn("bad", bad).groupBy("row_id")
+    facts = told.agg(F.count_if(own).alias("n_own"), F.min_by("bad", F.when(F.col("bad").isNotNull(), F.struct("branch_pos", "cite_pos"))).alias("bad"), F.array_sort(F.collect_list(known)).alias("texts"))
+    return facts.select("row_id", "n_own", "bad", F.array_join(F.transform("texts", lambda c: c["t"]), " ").alias("cited_text"))
+
+
+def branch_facts(branches: DataFrame) -> DataFrame:
+    """row_id, n_branches and branch_answers of branches(row_id, answer)."""
+    return branches.groupBy("row_id").agg(F.count("*").alias("n_branches"), F.collect_list("answer").alias("branch_answers"))
+
+
+def citations_reason() -> Column:
+    """Of rows with citation_facts; null if all citations are right."""
+    return F.when((F.col("category") == "A") & (F.coalesce("n_own", F.lit(0)) == 0), "no citation").otherwise(F.col("bad"))
+
+
+def grounding_reason() -> Column:
+    """Of rows with citation_facts and branch_facts: numeric claims of the answer and its branches that no cited text holds, or null."""
+    said = F.concat(F.array("answer"), F.coalesce("branch_answers", F.array().cast("array<string>")))
+    claims = F.array_distinct(F.flatten(F.transform(said, lambda t: F.transform(claims_of(t), F.lower))))
+    loose = F.sort_array(F.filter(claims, lambda c: ~F.contains(F.coalesce("cited_text", F.lit("")), c)))
+    return F.when(F.size(loose) > 0, F.concat(F.lit("not in cited text: "), F.array_join(loose, ", ")))
+
+
 def check_citations(rows: DataFrame, citations: DataFrame, clauses: DataFrame) -> DataFrame:
-    """row_id, citations_reason: the first failing citation, the row's own before those of branches; null if all are right."""
-    bad = F.when(F.col("clause_text").isNull(), F.concat(F.lit("unknown clause "), "clause_id")).when(~holds_excerpt(F.col("clause_text"), F.col("excerpt")), F.concat(F.lit("excerpt not in "), "clause_id"))
-    own = citations.where("branch_pos = 0").groupBy("row_id").agg(F.count("*").alias("n_own"))
-    first = cited(citations, clauses).withColumn("bad", bad).where("bad IS NOT NULL").groupBy("row_id").agg(F.min_by("bad", F.struct("branch_pos", "cite_pos")).alias("bad"))
-    none = (F.col("category") == "A") & F.col("n_own").isNull()
-    return rows.select("row_id", "category").join(own, "row_id", "left").join(first, "row_id", "left").select("row_id", F.when(none, "no citation").otherwise(F.col("bad")).alias("citations_reason"))
+    """row_id, citations_reason: the first failing citation, the row's own before those of branches; null if all are right. A null clause id is unknown."""
+    return rows.select("row_id", "category").join(citation_facts(citations, clauses), "row_id", "left").select("row_id", citations_reason().alias("citations_reason"))
 
 
 def check_grounding(rows: DataFrame, branches: DataFrame, citations: DataFrame, clauses: DataFrame) -> DataFrame:
     """row_id, grounding_reason: numeric claims of the answer and its branches that no cited text holds (the row's own citations only), or null."""
-    said = rows.select("row_id", F.lit(0).alias("branch_pos"), "answer").unionByName(branches.select("row_id", F.col("branch_pos").cast("int").alias("branch_pos"), "answer"))
-    claims = said.select("row_id", F.explode(claims_of(F.col("answer"))).alias("claim")).select("row_id", F.lower("claim").alias("claim")).distinct()
-    texts = cited(citations.where("branch_pos = 0").select("row_id", "cite_pos", "clause_id"), clauses).where("clause_text IS NOT NULL").join(claims.select("row_id").distinct(), "row_id", "left_semi")
-    joined = texts.groupBy("row_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("cite_pos", F.lower("clause_text").alias("t")))), lambda c: c["t"]), " ").alias("all"))
-    loose = claims.join(joined, "row_id", "left").where(~F.contains(F.coalesce("all", F.lit("")), F.col("claim"))).groupBy("row_id").agg(F.array_join(F.sort_array(F.collect_set("claim")), ", ").alias("loose"))
-    return rows.select("row_id").join(loose, "row_id", "left").select("row_id", F.when(F.col("loose").isNotNull(), F.concat(F.lit("not in cited text: "), "loose")).alias("grounding_reason"))
+    told = rows.select("row_id", "answer").join(citation_facts(citations, clauses), "row_id", "left").join(branch_facts(branches), "row_id", "left")
+    return told.select("row_id", grounding_reason().alias("grounding_reason"))
 
 
 def self_containment_reason(question: Column, phrases: Sequence[str] = PRIOR_TURN) -> Column:
@@ -91,13 +113,13 @@ def near_sets(sets: DataFrame, scope: Sequence[str], least: float = 0.8) -> Data
 
     Exact prefix filter: tokens are put in order of rarity; similar sets share one of their first n - ceil(least * n) + 1 tokens, and their sizes fit.
     """
-    distinct = sets.where("set IS NOT NULL").groupBy("set").agg(*(F.first(c).alias(c) for c in scope), F.first("cite_key").alias("cite_key"), F.first("tokens").alias("tokens"))
-    told = distinct.select("set", F.explode("tokens").alias("token"))
+    block = F.sha2(F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in scope), F.coalesce("cite_key", F.lit(""))), 256)
+    distinct = written(sets.where("set IS NOT NULL").groupBy("set").agg(F.first(block).alias("block"), F.first("tokens").alias("tokens")), "distinct-sets")
+    told = distinct.select("set", "block", F.explode("tokens").alias("token"))
     counts = told.groupBy("token").agg(F.count("*").alias("df"))
-    ordered = told.join(counts, "token").groupBy("set").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "token"))), lambda x: x["token"]).alias("ordered"))
+    ordered = told.join(counts, "token").groupBy("set", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "token"))), lambda x: x["token"]).alias("ordered"))
     n = F.size("ordered")
-    block = F.sha2(F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in scope), F.coalesce("cite_key", F.lit(""))), 256)
-    prefix = ordered.select("set", n.alias("n"), F.explode(F.slice("ordered", F.lit(1), n - F.ceil(n * least - 1e-9).cast("int") + 1)).alias("token")).join(distinct.select("set", block.alias("block")), "set")
+    prefix = written(ordered.select("set", "block", n.alias("n"), F.explode(F.slice("ordered", F.lit(1), n - F.ceil(n * least - 1e-9).cast("int") + 1)).alias("token")), "prefixes")
     a, b = (prefix.select("block", "token", F.col("set").alias(f"s{i}"), F.col("n").alias(f"n{i}")) for i in (1, 2))
     fits = (F.col("s1") < F.col("s2")) & (F.col("n1") >= least * F.col("n2") - 1e-9) & (F.col("n2") >= least * F.col("n1") - 1e-9)
     close = a.join(b, ["block", "token"]).where(fits).select("s1", "s2").distinct()
@@ -107,7 +129,7 @@ def near_sets(sets: DataFrame, scope: Sequence[str], least: float = 0.8) -> Data
 
 def near_duplicate_pairs(rows: DataFrame, scope: Sequence[str], least: float = 0.8) -> DataFrame:
     """earlier, later (row ids) and similarity of near-duplicate questions, between the first rows of each distinct set; copies of a set are not expanded."""
-    sets = question_sets(rows, scope)
+    sets = written(question_sets(rows, scope), "question-sets")
     firsts = sets.where("set IS NOT NULL").groupBy("set").agg(F.min(F.struct("seq", "row_id")).alias("first"))
     f1, f2 = (firsts.select(F.col("set").alias(f"s{i}"), F.col("first").alias(f"f{i}")) for i in (1, 2))
     pairs = near_sets(sets, scope, least).join(f1, "s1").join(f2, "s2")
@@ -119,11 +141,11 @@ def dedupe_rows(rows: DataFrame, scope: Sequence[str], least: float = 0.8) -> Da
 
     A duplicate is not registered, so it knocks out nothing. Copies in both key and citations are all dropped but the first, which stands for them.
     """
-    sets = question_sets(rows, scope)
+    sets = written(question_sets(rows, scope), "question-sets")
     same = [*scope, "key", "cite_key"]
     nodes = sets.groupBy(*same).agg(F.min("seq").alias("seq"), F.first("set").alias("set"))
     key = F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in scope), F.lit(":"), "key")
-    near = near_sets(sets, scope, least)
+    near = written(near_sets(sets, scope, least).select("s1", "s2"), "near-sets")
     out = first_fit(nodes.select("seq", key.alias("key"), "set"), near.select("s1", "s2").union(near.select("s2", "s1")))
     return out.union(sets.select("seq").join(nodes.select("seq"), "seq", "left_anti"))
 
@@ -133,16 +155,17 @@ def validate_rows(rows: DataFrame, branches: DataFrame, citations: DataFrame, cl
 
     duplicates(row_id) are the rows that fail the duplicate check; an unknown category has no check of its own.
     """
-    own = citations.where("branch_pos = 0").groupBy("row_id").agg(F.count("*").alias("n_own"))
-    many = branches.groupBy("row_id").agg(F.count("*").alias("n_branches"))
-    told = rows.drop("n_own", "n_branches").join(check_citations(rows, citations, clauses), "row_id").join(check_grounding(rows, branches, citations, clauses), "row_id").join(own, "row_id", "left").join(many, "row_id", "left")
+    told = rows.drop("n_own", "n_branches").join(citation_facts(citations, clauses), "row_id", "left").join(branch_facts(branches), "row_id", "left")
     told = told.join(duplicates.select("row_id", F.lit("duplicate question").alias("duplicate_reason")).distinct(), "row_id", "left")
     c = F.col("category")
     by_category = F.when(c == "A", struct_a_reason(F.col("n_own"), F.col("answer"))).when(c == "B", struct_b_reason(F.col("clarifying_question"), F.col("clarification_axis"), F.col("n_branches"))).when(c == "C", struct_c_reason(F.col("ambiguity_type"), F.col("answer"), F.col("should_escalate")))
-    checks = [("citations", F.col("citations_reason")), ("grounding", F.col("grounding_reason")), ("self_containment", self_containment_reason(F.col("question"))), ("duplicate", F.col("duplicate_reason"))]
+    checks = [("citations", citations_reason()), ("grounding", grounding_reason()), ("self_containment", self_containment_reason(F.col("question"))), ("duplicate", F.col("duplicate_reason"))]
+    told = told.withColumn("found", F.array(*(r for _, r in checks), by_category))
+    checks = [(n, F.get("found", F.lit(i))) for i, (n, _) in enumerate(checks)]
+    by_category = F.get("found", F.lit(len(checks)))
     entries = [F.struct(F.lit(n).alias("k"), F.when(r.isNull(), "ok").otherwise("fail").alias("v")) for n, r in checks]
     last = F.when(c.isin("A", "B", "C"), F.struct(F.concat(F.lit("structure_"), F.lower(c)).alias("k"), F.when(by_category.isNull(), "ok").otherwise("fail").alias("v")))
-    reasons = F.array_compact(F.array(*(r for _, r in checks), by_category))
+    reasons = F.array_compact("found")
     out = told.select("row_id", "category", F.map_from_entries(F.array_compact(F.array(*entries, last))).alias("checks"), reasons.alias("reasons"))
     return out.withColumn("passed", F.forall(F.map_values("checks"), lambda v: v == "ok"))
 
@@ -174,7 +197,7 @@ def dropped_rows(rows: DataFrame, report: DataFrame) -> DataFrame:
 
 
 def cite_keys(citations: DataFrame) -> DataFrame:
-    """row_id, cite_key: the sorted distinct ids of a row's own citations."""
-    return citations.where("branch_pos = 0").groupBy("row_id").agg(F.array_join(F.array_sort(F.collect_set("clause_id")), "|").alias("cite_key"))
+    """row_id, cite_key: the sorted distinct ids of a row's own citations; a missing id is one of its own."""
+    return citations.where("branch_pos = 0").groupBy("row_id").agg(F.array_join(F.array_sort(F.collect_set(F.coalesce("clause_id", F.lit("")))), "|").alias("cite_key"))
 
 

@@ -21,9 +21,9 @@ def read_rows(spark: SparkSession, path: str, schema: str = QA_SCHEMA) -> DataFr
     return spark.read.schema(schema).json(path)
 
 
-def read_clauses(spark: SparkSession, path: str) -> DataFrame:
-    """One row per clause of {meta, clauses} files, in file order (pos from 0), with the hash of the source they were cut from."""
-    whole = spark.read.schema(CLAUSE_FILE).option("multiLine", True).json(path)
+def read_clauses(spark: SparkSession, path: str, by_line: bool = False) -> DataFrame:
+    """One row per clause of {meta, clauses} objects (one per file, or one per line), in their order (pos from 0), with the hash of the source they were cut from."""
+    whole = spark.read.schema(CLAUSE_FILE).option("multiLine", not by_line).json(path)
     return whole.select(F.col("meta.source_md_sha256").alias("source_sha256"), F.posexplode("clauses").alias("pos", "c")).select("source_sha256", "pos", "c.*")
 
 
@@ -39,9 +39,9 @@ def read_pricing(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.explode(prices).alias("model", "p")).select("model", "p.input_per_mtok", "p.output_per_mtok")
 
 
-def write_dataset(rows: DataFrame, errors: DataFrame, path: str) -> None:
-    """The rows whose errors(id, errors) are empty, as JSON lines."""
-    rows.join(errors.where(F.size("errors") == 0).select("id"), "id", "left_semi").write.mode("overwrite").json(path)
+def write_dataset(rows: DataFrame, errors: DataFrame, path: str, key: str = "id") -> None:
+    """The rows whose errors(key, errors) are empty, as JSON lines."""
+    rows.join(errors.where(F.size("errors") == 0).select(key), key, "left_semi").write.mode("overwrite").json(path)
 
 
 def write_schema_failures(errors: DataFrame, path: str) -> None:
