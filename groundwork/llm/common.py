@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +64,15 @@ def held(key, make):
     return _HELD[key]
 
 
+def freed() -> None:
+    """Drop the memory that held() keeps in this Python worker: operators that do not use it call this first."""
+    _HELD.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
     """A join side of `rows` counted rows: broadcast it while that is within BROADCAST_ROWS, else leave it to a shuffle join."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import new_path, small_or_shuffled, staged, store_of, unused
+from groundwork.llm.common import freed, new_path, small_or_shuffled, staged, store_of, unused
 
 #: Rows of a part, and of hashes that one owner gets on average.
 PART_ROWS, OWNER_HASHES = 200_000, 1_000_000
@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, owner_bits: int, hash_bits: int = 64) -> DataF
     def run(batches):
         from pyspark import TaskContext
 
+        freed()
         part, held, n_held = TaskContext.get().partitionId() << 24, [], 0
 
         def exchange():

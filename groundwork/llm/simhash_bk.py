@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import small_or_shuffled, staged
+from groundwork.llm.common import freed, small_or_shuffled, staged
 from groundwork.llm.components import components
 
 SHARD, LEAF = 4096, 64
@@ -80,6 +80,7 @@ def fingerprints(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col:
     """doc_id and fingerprint (long) of every row: A-Z lower-cased, words between white space."""
 
     def run(batches):
+        freed()
         for batch in batches:
             found = [simhash(t.as_py().lower().split(), k) for t in batch.column(1)]  # one text's words at a time
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fingerprint"])
@@ -266,6 +267,7 @@ def by_shard(keyed: DataFrame, work, schema: str, shard: int = SHARD, ragged: bo
     def run(batches):
         arrow = pa.schema([(name, pa.int32() if kind == "int" else pa.int64()) for name, kind in (f.split() for f in schema.split(", "))])
         out, n = [], 0
+        freed()
 
         def flush():
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])).cast(f.type) for i, f in enumerate(arrow)], schema=arrow)
@@ -321,6 +323,7 @@ def similar_texts(docs: DataFrame, similarity: float = 0.8, k: int = 5, id_col:
     """
 
     def banded(batches):
+        freed()
         for batch in batches:
             some, same, bands = [], [], []
             for t in batch.column(1):  # one text's words at a time
@@ -340,6 +343,7 @@ def similar_texts(docs: DataFrame, similarity: float = 0.8, k: int = 5, id_col:
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(part.column(0).to_numpy(), BANDS))], names=["key", "id"])
 
     def whole(batches):
+        freed()
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([shingle_set(t.as_py().lower().split(), k).tobytes() for t in batch.column(2)], pa.binary())], names=["bits", "id", "value"])
 

@@ -109,18 +109,25 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     return train([bags[i] for i in order], rows["label"].to_numpy()[order])
 
 
+class FeatureCounts(dict):
+    """How many features a word of a number of characters has: itself and its n-grams."""
+
+    def __missing__(self, length: int) -> int:
+        self[length] = 1 + sum(max(0, length + 3 - n) for n in GRAMS)
+        return self[length]
+
+
 class Scorer:
     """Scores texts, remembering the sums of at most `most` words."""
 
-    def __init__(self, table: np.ndarray, bias: float, most: int = 600_000):
+    def __init__(self, table: np.ndarray, bias: float, most: int = 400_000):
         self.table, self.bias, self.most = table.astype(np.float64), bias, most
         self.sums: dict[str, float] = {}
-        self.counts: dict[str, int] = {}
+        self.counts = FeatureCounts()
 
     def scores(self, texts: list[str]) -> list[float]:
         if len(self.sums) > self.most:
             self.sums.clear()
-            self.counts.clear()
         cut = [t.split() for t in texts]
         words: set[str] = set()
         for c in cut:
@@ -130,11 +137,10 @@ class Scorer:
             part = unseen[at : at + 50_000]
             place, bucket = features(part)
             self.sums.update(zip(part, np.bincount(place, self.table[bucket], len(part)).tolist(), strict=True))
-            self.counts.update(zip(part, np.bincount(place, minlength=len(part)).tolist(), strict=True))
         total, count = self.sums.__getitem__, self.counts.__getitem__
         again = [sum(map(eq, c, c[1:])) for c in cut]
         mark = float(self.table[REPEAT])
-        z = np.array([(sum(map(total, c)) + r * mark) / (sum(map(count, c)) + r) if c else 0.0 for c, r in zip(cut, again, strict=True)]) + self.bias
+        z = np.array([(sum(map(total, c)) + r * mark) / (sum(map(count, map(len, c))) + r) if c else 0.0 for c, r in zip(cut, again, strict=True)]) + self.bias
         return (1 / (1 + np.exp(-np.clip(z, -500, 500)))).tolist()
 
 
@@ -149,7 +155,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...
     def run(batches):
         scorer = held(("scorer", mark), lambda: Scorer(*shared.value))
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
+            for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 1024)
                 found = scorer.scores([t or "" for t in part.column(at_text).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), pa.array(found, pa.float64())], names=[*keep, name])
