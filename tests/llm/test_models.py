@@ -139,6 +139,8 @@ def test_scores_are_averages_of_the_embedding(spark):
     got = {r.doc_id: r.mine for r in subword_classifier.score(docs, (table, bias), ("doc_id", "score"), name="mine").collect()}
     assert got == pytest.approx({i: plain_average(t, table, bias) for i, t in enumerate(texts)} | {None: plain_average("a", table, bias)})
     assert subword_classifier.score(docs.limit(0), (table, bias)).count() == 0
+    many = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "concat('w', id) AS text")
+    assert sorted(r.doc_id for r in subword_classifier.score(many, (table, bias)).collect()) == list(range(3000))
 
 
 def test_training_lowers_the_loss_by_gradients():
