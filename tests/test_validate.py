@@ -28,6 +28,12 @@ def test_citations(spark):
     assert got == {0: None, 1: "unknown clause c9", 2: "excerpt not in c1", 3: "no citation", 4: None, 5: "excerpt not in c2", 6: None}
 
 
+def test_a_missing_clause_id_is_unknown(spark):
+    r, c = rows(spark, [("A", "q", "a"), ("B", "q", "a")]), cites(spark, [(0, 0, 0, None, "x"), (0, 0, 1, "c9", "x"), (1, 1, 0, None, None)])
+    assert dict(validate.check_citations(r, c, clauses(spark)).collect()) == {0: "unknown clause null", 1: "unknown clause null"}
+    assert {(r.row_id, r.code) for r in validate.strict_citation_audit(c, clauses(spark)).collect()} == {(0, "unknown_clause"), (1, "unknown_clause_in_branch")}
+
+
 def test_strict_audit_reports_every_failure(spark):
     c = cites(spark, [(0, 0, 0, "c1", 'the "request" date'), (0, 0, 1, "c9", "x"), (0, 1, 0, "c2", "nope"), (0, 1, 1, "c8", "x")])
     assert sorted((r.branch_pos, r.cite_pos, r.code) for r in validate.strict_citation_audit(c, clauses(spark)).collect()) == [(0, 0, "excerpt_not_substring"), (0, 1, "unknown_clause"), (1, 0, "branch_excerpt_not_substring"), (1, 1, "unknown_clause_in_branch")]
@@ -81,14 +87,24 @@ def brute_first_fit(rows, least=0.8):
     return sorted(d[0] for d in dropped)
 
 
-def test_dedupe_equals_the_sequential_pass(spark):
+@pytest.mark.parametrize("few", [0, 40, 1000])
+def test_dedupe_equals_the_sequential_pass(spark, monkeypatch, few):
+    monkeypatch.setattr(validate, "first_fit", lambda nodes, near: greedy.first_fit(nodes, near, few))
     rng = random.Random(5)
     data = [(i, rng.choice("xy"), rng.choice(["", "c1"]), " ".join(rng.sample("abcdef", rng.choice([0, 4, 5, 6])))) for i in range(90)]
     df = spark.createDataFrame([(i, i, s, c, q) for i, s, c, q in data], "row_id long, seq long, scope string, cite_key string, question string")
     assert sorted(r.seq for r in validate.dedupe_rows(df, ["scope"]).collect()) == brute_first_fit(data)
 
 
-def test_greedy_pairs_equal_the_sequential_pass(spark):
+def test_a_long_chain_of_near_copies(spark):
+    words = [f"w{i}" for i in range(600)]
+    data = [(i, "x", "", " ".join(words[i : i + 40])) for i in range(500)]  # each hits the few before and after it
+    df = spark.createDataFrame([(i, i, s, c, q) for i, s, c, q in data], "row_id long, seq long, scope string, cite_key string, question string")
+    assert sorted(r.seq for r in validate.dedupe_rows(df, ["scope"]).collect()) == brute_first_fit(data)
+
+
+@pytest.mark.parametrize("few", [0, 7, 1000])
+def test_greedy_pairs_equal_the_sequential_pass(spark, few):
     rng = random.Random(8)
     pairs = list({tuple(sorted(rng.sample(range(14), 2))) for _ in range(50)})
     rng.shuffle(pairs)
@@ -98,7 +114,9 @@ def test_greedy_pairs_equal_the_sequential_pass(spark):
             used[a], used[b] = used[a] + 1, used[b] + 1
             want.append(rank)
     df = spark.createDataFrame([(a, b, r) for r, (a, b) in enumerate(pairs)], "a long, b long, rank long")
-    assert sorted(r["rank"] for r in greedy.capped_pairs(df, 2, 9).collect()) == want
+    assert sorted(r["rank"] for r in greedy.capped_pairs(df, 2, 9, few).collect()) == want
+    assert sorted(r["rank"] for r in greedy.capped_pairs(df, 2, None, few).collect())[:9] == want
+    assert greedy.capped_pairs(df.limit(0), 2, 9, few).count() == 0
 
 
 def test_numbering_and_empty_tables(spark):
