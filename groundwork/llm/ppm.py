@@ -257,6 +257,16 @@ def decoded(blob) -> np.ndarray:
     return np.cumsum(np.frombuffer(plain(blob), np.int64))
 
 
+def of_strings(strings: np.ndarray, codes: np.ndarray, log: np.ndarray) -> np.ndarray:
+    """The value in log of each string, codes being sorted and holding them all; equal strings are looked up once."""
+    by = np.argsort(strings)
+    ordered = strings[by]
+    first = np.nonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))[0]
+    out = np.empty(len(strings))
+    out[by] = np.repeat(log[np.searchsorted(codes, ordered[first])], np.diff(first, append=len(strings)))
+    return out
+
+
 def count_words(into: Counter, text: bytes, trained: bool) -> None:
     """Add a text's words; those of a text that is not trained on only stand there."""
     for stretch in stretches(text, BATCH_BYTES):
@@ -412,9 +422,7 @@ def scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
             score, base, n_tokens, n_known = np.zeros(k), [], [], []
             for some in pieces(rows.column(2), order, BATCH_BYTES):
                 each_byte, starts = strings([b for _, b in some], order)
-                distinct = pa.array(each_byte).dictionary_encode()
-                logs = log[np.searchsorted(codes, distinct.dictionary.to_numpy())]
-                np.add.at(score, [r for r, _ in some], np.add.reduceat(logs[distinct.indices.to_numpy()], starts))
+                np.add.at(score, [r for r, _ in some], np.add.reduceat(of_strings(each_byte, codes, log), starts))
             for text in rows.column(2):
                 n, n_in, total = 1, int(ends > 0), end
                 for stretch in stretches(text.as_py().lower(), BATCH_BYTES):
