@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: At most this many small rows are ever broadcast; beyond it the same join shuffles.
-BROADCAST_ROWS = 500_000
+#: At most this many rows, and bytes of values in them, are ever broadcast; beyond either the same join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -73,9 +73,12 @@ def freed() -> None:
         trim(0)
 
 
-def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
-    """A join side of `rows` counted rows: broadcast it while that is within BROADCAST_ROWS, else leave it to a shuffle join."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def small_or_shuffled(df: DataFrame, rows: int, n_bytes: int | None = None) -> DataFrame:
+    """A join side of `rows` counted rows: broadcast it while that is within BROADCAST_ROWS, else leave it to a shuffle join.
+
+    Rows are numbers, or short strings of a fixed length, of at most 128 bytes; of others n_bytes, their bytes, is counted as well.
+    """
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and (rows * 128 if n_bytes is None else n_bytes) <= BROADCAST_BYTES else df
 
 
 def crc_of_id(col: str) -> Column:

@@ -16,7 +16,6 @@ import heapq
 import mmap
 import os
 import struct
-import tempfile
 import uuid
 from collections import Counter
 
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundwork.llm.bpe_words import byte_letters, chunks, vocabulary
-from groundwork.llm.common import held, staged, unused
+from groundwork.llm.common import held, new_path, staged, store_of, unused
 
 #: The rank of pairs that do not merge.
 NONE = 1 << 60
@@ -286,15 +285,17 @@ def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON_
 
 
 def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text", most: int = LEXICON_WORDS) -> str:
-    """Compile the corpus's frequent pieces and hand the file to all executors; returns its name for encode()."""
+    """Compile the corpus's frequent pieces into a file in the shared folder and hand it to all executors; returns its name for encode()."""
     merger, letters = Merger(tokenizer_path), vocabulary(tokenizer_path).to_letters
     pieces = list(map(letters, frequent_words(docs, text_col, most)))
     data = compile_lexicon({p.encode(): ids for p, ids in zip(pieces, merger.many(pieces), strict=True)})
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
-    with open(path, "wb") as f:
-        f.write(data)
-    docs.sparkSession.sparkContext.addFile(path)
+    folder = new_path(docs.sparkSession, "lexicon")
+    store, root = store_of(folder)
+    store.create_dir(root, recursive=True)
+    with store.open_output_stream(f"{root}/{name}") as out:
+        out.write(data)
+    docs.sparkSession.sparkContext.addFile(f"{folder}/{name}")
     return name
 
 

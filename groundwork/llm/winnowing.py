@@ -102,7 +102,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     spans = extended(near, window, window, k)
     for n in short_lengths(windows, window):
         spans = spans.union(extended(near, n, window, k))
-    verified = spans.join(small_or_shuffled(windows.select("words", "items", "n"), windows.count()), "words").select("key", "at", "n", "items")
+    size = windows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(F.array_join("words", " ")) + 24 * F.size("items")), F.lit(0)).alias("bytes")).first()
+    verified = spans.join(small_or_shuffled(windows.select("words", "items", "n"), size.n, size.bytes), "words").select("key", "at", "n", "items")
     found_by_doc = verified.groupBy("key").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1))))).cast("long").alias("n_hit"),
         F.array_sort(F.transform(F.array_distinct(F.flatten(F.collect_set("items"))), lambda i: i.cast("string"))).alias("items"),
