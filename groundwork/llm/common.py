@@ -8,7 +8,8 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: At most this many rows, and bytes of values in them, are ever broadcast; beyond either the same join shuffles.
@@ -53,6 +54,27 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a number of its own for each row, the same in every later plan, and the name of that column.
+
+    Rows of Parquet files are numbered by their file (a row per file is joined to them, 16 bytes each) and place, so nothing is copied; other rows are
+    written once with their numbers.
+    """
+    row, file, at = unused(docs, "row"), unused(docs, "file_hash"), unused(docs, "row_place")
+    try:
+        files = docs.select(F.col("_metadata.file_path").alias("path")).distinct()
+        placed = docs.select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(at))
+    except AnalysisException:  # rows that do not come straight from files
+        files = None
+    if files is not None:
+        numbered = staged(files.select(F.xxhash64("path").alias(file), "path", F.row_number().over(Window.orderBy("path")).cast("long").alias("number")), "files")
+        n = numbered.count()
+        if n == numbered.select(file).distinct().count():
+            keyed = placed.join(small_or_shuffled(numbered.select(file, "number"), n), file)
+            return keyed.select(*docs.columns, (F.shiftleft("number", 38) + F.col(at)).alias(row)), row
+    return staged(docs.withColumn(row, F.monotonically_increasing_id()), "documents-by-row"), row
+
+
 _HELD: dict = {}
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import freed, new_path, small_or_shuffled, staged, store_of, unused
+from groundwork.llm.common import freed, new_path, row_keyed, small_or_shuffled, staged, store_of
 
 #: Rows of a part, and of hashes that one owner gets on average.
 PART_ROWS, OWNER_HASHES = 200_000, 1_000_000
@@ -179,7 +179,6 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns; of rows that share id and text, one stays."""
-    row = unused(docs, "row")
-    keyed = staged(docs.withColumn(row, F.monotonically_increasing_id()), "documents-by-row")
+    keyed, row = row_keyed(docs)
     gone = staged(exact_duplicates(keyed, id_col, text_col, row).where("NOT stays").select(F.col("row").alias(row)), "gone")
     return keyed.join(small_or_shuffled(gone, gone.count()), row, "left_anti").select(*docs.columns)
