@@ -81,7 +81,7 @@ _HELD: dict = {}
 def held(key, make):
     """A Python worker's one large memory, made by make(); asking for another drops it, as workers serve many operators one after the other."""
     if key not in _HELD:
-        _HELD.clear()
+        freed()
         _HELD[key] = make()
     return _HELD[key]
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundwork.llm.bpe_words import byte_letters, chunks, vocabulary
-from groundwork.llm.common import held, new_path, staged, store_of, unused
+from groundwork.llm.common import freed, held, new_path, staged, store_of, unused
 
 #: The rank of pairs that do not merge.
 NONE = 1 << 60
@@ -262,6 +262,7 @@ def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON_
     """
 
     def run(batches):
+        freed()
         for batch in batches:
             seen: Counter[str] = Counter()
             for text in batch.column(0):
@@ -302,7 +303,7 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
 class Codec:
     """Encodes texts chunk by chunk; remembers the outputs of at most `most` chunks and ids of as many merged pieces."""
 
-    def __init__(self, tokenizer_path: str, lexicon_path: str | None, most: int = 600_000):
+    def __init__(self, tokenizer_path: str, lexicon_path: str | None, most: int = 250_000):
         self.vocab, self.merger, self.most = vocabulary(tokenizer_path), Merger(tokenizer_path), most
         if self.vocab.decoder is not None:
             raise ValueError("only vocabularies whose decoder joins tokens by spaces are known here")

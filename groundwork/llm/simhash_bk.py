@@ -286,6 +286,8 @@ def by_shard(keyed: DataFrame, work, schema: str, shard: int = SHARD, ragged: bo
                 out, n = [], 0
         if n:
             yield flush()
+        out.clear()
+        freed()
 
     return dealt.mapInArrow(run, schema)
 
