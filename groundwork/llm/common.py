@@ -7,7 +7,9 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -123,5 +125,38 @@ def byte_batches(items: Iterable[str], max_bytes: int) -> Iterator[list[str]]:
         yield batch
 
 
+def free_names(keep: Iterable[str], *names: str) -> list[str]:
+    """Names for the outputs beside kept columns: one that a kept column has gets underscores in front."""
+    taken, out = {k.lower() for k in keep}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def byte_slices(batch: pa.RecordBatch, column: int, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of a batch with about max_bytes of that text column in each; a longer text is a slice of its own."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + max_bytes, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def share_file(spark: SparkSession, name: str, data: bytes) -> str:
+    """Write data to the shared folder and hand it to all executors; returns the name for SparkFiles."""
+    file, folder = f"{name}-{uuid.uuid4().hex}.bin", new_path(spark, name)
+    store, root = store_of(folder)
+    store.create_dir(root, recursive=True)
+    with store.open_output_stream(f"{root}/{file}") as out:
+        out.write(data)
+    spark.sparkContext.addFile(f"{folder}/{file}")
+    return file
+
+
 def reading(spark: SparkSession, sf_dir: str, table: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*cols)

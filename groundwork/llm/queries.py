@@ -6,10 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundwork.llm import bit_planes, golomb, lexicon, ppm, reply_trees, simhash_bk, subword_classifier, token_counts, warc_chunks, winnowing
+from groundwork.llm import bit_planes, fill_in_middle, golomb, hashed_bpe, lexicon, ppm, reply_trees, simhash_bk, subword_classifier, token_counts, vector_codes, warc_chunks, winnowing
 from groundwork.llm.common import reading, staged
 
-WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,6 +124,53 @@ def op10_simhash_bk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_hashed_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = reading(spark, sf_dir, "documents", "doc_id", "text")
+    table = hashed_bpe.share_table(spark, public_tokenizers.path(BYTE_RANKS))
+    coded = hashed_bpe.encode(docs, table, public_tokenizers.PATTERN)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = vector_codes.vector_codes(reading(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    told = vector_codes.with_label_errors(coded)
+    return told.select("vec_id", vector_codes.code_text(F.col("codes")).alias("code"), F.col("errors").alias("error"), "label_error", F.lit(vector_codes.codebooks_sha256(codebooks)).alias("codebooks_sha256"))
+
+
+def _codes_sql(rounds: int) -> str:
+    """The rounds one after the other; c: codebooks, a: assignments (distance and index in one number)."""
+    tables = [
+        "k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS k, vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        "p AS MATERIALIZED (SELECT k, q AS part, x, list_inner_product(x, x) AS xx FROM (SELECT k, q, v[q * (len(v) // 4) + 1 : (q + 1) * (len(v) // 4)] AS x FROM k, (SELECT unnest(range(4)) AS q) z) y)",
+        "c0 AS MATERIALIZED (SELECT part, k - 1 AS e, x FROM p WHERE k <= 256)",
+    ]
+    for r in range(rounds + 1):
+        tables.append(f"a{r} AS MATERIALIZED (SELECT p.k, p.part, min(CAST(p.xx - 2 * list_inner_product(p.x, c.x) + list_inner_product(c.x, c.x) AS BIGINT) * 256 + c.e) AS best FROM p JOIN c{r} c ON p.part = c.part GROUP BY p.k, p.part)")
+        if r < rounds:
+            tables.append(f"s{r} AS (SELECT part, e, i, floor(sum(x[i]) / count(*)) AS m FROM (SELECT a.part, a.best % 256 AS e, p.x, unnest(range(1, len(p.x) + 1)) AS i FROM a{r} a JOIN p ON p.k = a.k AND p.part = a.part) z GROUP BY part, e, i)")
+            tables.append(f"c{r + 1} AS MATERIALIZED (SELECT c.part, c.e, coalesce(n.x, c.x) AS x FROM c{r} c LEFT JOIN (SELECT part, e, list(m ORDER BY i) AS x FROM s{r} GROUP BY part, e) n ON n.part = c.part AND n.e = c.e)")
+    last = f"f AS (SELECT k, string_agg(lpad(lower(to_hex(best % 256)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(best // 256) AS BIGINT) AS error FROM a{rounds} GROUP BY k), b AS (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda y: CAST(CAST(y AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY part, e)) AS h FROM c{rounds})"
+    return f"WITH {', '.join(tables)}, {last} SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM k JOIN f USING (k), b"
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(reading(spark, sf_dir, "documents", "doc_id", "text"))
+    again = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256"))
+
+
+_DRAWS = ", ".join(f"CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+OP13_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+x AS (SELECT *, CAST(len(u) AS BIGINT) AS n, {_DRAWS} FROM d),
+c AS (SELECT *, t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 AS plain, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM x),
+s AS (SELECT *, array_to_string(u[1 : a], '') AS p, array_to_string(u[a + 1 : b], '') AS m, array_to_string(u[b + 1 : n], '') AS z FROM c)
+SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form, CASE WHEN NOT plain THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN NOT plain THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE WHEN plain THEN t WHEN h4 % 100 < 20 THEN '<S>' || z || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || z || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM s
+"""
+
+
 QUERIES = {
     "op1_ppm": op1_ppm,
     "op2_subword_quality": op2_subword_quality,
@@ -135,6 +182,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_reply_trees": op9_reply_trees,
     "op10_simhash_bk": op10_simhash_bk,
+    "op11_hashed_bpe": op11_hashed_bpe,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE_SQL = {
@@ -142,4 +192,6 @@ ORACLE_SQL = {
     "op6_golomb_dedup": OP6_SQL,
     "op7_winnowing": OP7_SQL,
     "op9_reply_trees": OP9_SQL,
+    "op12_vector_codes": _codes_sql(4),
+    "op13_fill_in_middle": OP13_SQL,
 }
