@@ -192,7 +192,7 @@ class Merger:
 class Codec:
     """Encodes and decodes texts; ids are little-endian 32-bit integers. What chunks gave is remembered up to most_bytes."""
 
-    def __init__(self, table_path: str, pattern: str, most_bytes: int = 48_000_000):
+    def __init__(self, table_path: str, pattern: str, most_bytes: int = 160_000_000):
         self.table, self.most_bytes, self.size = Table(table_path), most_bytes, 0
         ranks = self.table.ranks.tolist()
         self.merger = Merger(dict(zip(self.table.tokens, ranks, strict=True)))
