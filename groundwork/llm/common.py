@@ -125,6 +125,32 @@ def byte_batches(items: Iterable[str], max_bytes: int) -> Iterator[list[str]]:
         yield batch
 
 
+class Chunks:
+    """What a worker remembers of chunks of text, as bytes: up to most_bytes in all, no chunk of more than `longest` characters; when full it starts anew."""
+
+    def __init__(self, most_bytes: int, longest: int = 64):
+        self.most_bytes, self.longest, self.size = most_bytes, longest, 0
+        self.known: dict[str, bytes] = {}
+
+    def finder(self, wanted: set[str], learn):
+        """A function from each wanted chunk to its bytes; learn(list of chunks) gives those of chunks not remembered."""
+        new: dict[str, bytes] = learn(list(wanted.difference(self.known)))
+        kept = {c: v for c, v in new.items() if len(c) <= self.longest}
+        size = sum(240 + 2 * len(c) + len(v) for c, v in kept.items())
+        if self.size + size > self.most_bytes:
+            new.update((c, self.known[c]) for c in wanted.intersection(self.known))
+            self.known, self.size = (kept, size) if size <= self.most_bytes else ({}, 0)
+        elif len(kept) == len(new):
+            self.known.update(kept)
+            self.size += size
+            return self.known.__getitem__
+        else:
+            self.known.update(kept)
+            self.size += size
+        known = self.known
+        return lambda c: known[c] if c in known else new[c]
+
+
 def free_names(keep: Iterable[str], *names: str) -> list[str]:
     """Names for the outputs beside kept columns: one that a kept column has gets underscores in front."""
     taken, out = {k.lower() for k in keep}, []

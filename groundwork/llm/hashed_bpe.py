@@ -27,14 +27,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import byte_slices, free_names, held, share_file, unused
+from groundwork.llm.common import Chunks, byte_slices, free_names, held, share_file, unused
 
 _TWO_SPACES = re.compile(r"\s\s")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 #: Keys a bucket of the perfect hash has on average.
 BUCKET = 4
-#: Chunks of more characters are not remembered.
-LONG_CHUNK = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -193,12 +191,11 @@ class Codec:
     """Encodes and decodes texts; ids are little-endian 32-bit integers. What chunks gave is remembered up to most_bytes."""
 
     def __init__(self, table_path: str, pattern: str, most_bytes: int = 160_000_000):
-        self.table, self.most_bytes, self.size = Table(table_path), most_bytes, 0
+        self.table, self.memory = Table(table_path), Chunks(most_bytes)
         ranks = self.table.ranks.tolist()
         self.merger = Merger(dict(zip(self.table.tokens, ranks, strict=True)))
         self.token_of = dict(zip(ranks, self.table.tokens, strict=True))
         self.split = regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
 
     @staticmethod
     def chunks(text: str) -> list[str]:
@@ -219,21 +216,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.chunks(t) for t in texts]
-        words = {c for cs in cut for c in cs}
-        missing = list(words.difference(self.known))
-        new = self._learned(missing)
-        kept = {c: ids for c, ids in new.items() if len(c) <= LONG_CHUNK}
-        size = sum(240 + 2 * len(c) + len(ids) for c, ids in kept.items())
-        if self.size + size > self.most_bytes:  # start anew; this batch's own chunks are still at hand
-            new.update((c, self.known[c]) for c in words.intersection(self.known))
-            self.known, self.size = {}, 0
-            if size <= self.most_bytes:
-                self.known, self.size = kept, size
-        else:
-            self.known.update(kept)
-            self.size += size
-        known = self.known
-        look = known.__getitem__ if len(kept) == len(new) and not words.difference(known) else lambda c: known[c] if c in known else new[c]
+        look = self.memory.finder({c for cs in cut for c in cs}, self._learned)
         return [b"".join(map(look, cs)) for cs in cut]
 
     def decode(self, ids: bytes) -> bytes:

@@ -16,7 +16,6 @@ import heapq
 import mmap
 import os
 import struct
-import uuid
 from collections import Counter
 
 import numpy as np
@@ -26,12 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundwork.llm.bpe_words import byte_letters, chunks, vocabulary
-from groundwork.llm.common import freed, held, new_path, staged, store_of, unused
+from groundwork.llm.common import Chunks, byte_slices, free_names, freed, held, share_file, staged, unused
 
 #: The rank of pairs that do not merge.
 NONE = 1 << 60
-#: Most frequent words that the automaton holds.
-LEXICON_WORDS = 100_000
+#: Most frequent words that the automaton holds, and most letters of one.
+LEXICON_WORDS, LEXICON_LETTERS = 100_000, 64
+#: Bytes of text that a task looks at together.
+SLICE_BYTES = 2_000_000
 
 
 class Merger:
@@ -258,22 +259,23 @@ class Lexicon:
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = LEXICON_WORDS) -> list[str]:
     """The words (runs of letters between spaces, but for full stops and commas at the end; lower-cased) that occur most in all texts.
 
-    They are all those of the least count (2 or more) that leaves at most `most`.
+    Only words of up to LEXICON_LETTERS letters count, so that the lexicon, which comes to the driver, is bounded in bytes. They are all those of the least count (2 or more) that leaves at most `most`.
     """
 
     def run(batches):
         freed()
         for batch in batches:
-            seen: Counter[str] = Counter()
-            for text in batch.column(0):
-                seen.update(chunks(text.as_py()))
-            words: dict[str, int] = {}
-            for chunk, n in seen.items():
-                w = chunk.rstrip(".,")
-                if w.isalpha():
-                    w = w.lower()
-                    words[w] = words.get(w, 0) + n
-            yield pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], names=["word", "n"])
+            for part in byte_slices(batch, 0, SLICE_BYTES):
+                seen: Counter[str] = Counter()
+                for text in part.column(0):
+                    seen.update(chunks(text.as_py()))
+                words: dict[str, int] = {}
+                for chunk, n in seen.items():
+                    w = chunk.rstrip(".,")
+                    if w.isalpha() and len(w) <= LEXICON_LETTERS:
+                        w = w.lower()
+                        words[w] = words.get(w, 0) + n
+                yield pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], names=["word", "n"])
 
     counted = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, "word string, n long")
     repeated = staged(counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "words")
@@ -290,88 +292,61 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
     merger, letters = Merger(tokenizer_path), vocabulary(tokenizer_path).to_letters
     pieces = list(map(letters, frequent_words(docs, text_col, most)))
     data = compile_lexicon({p.encode(): ids for p, ids in zip(pieces, merger.many(pieces), strict=True)})
-    name = f"lexicon-{uuid.uuid4().hex}.bin"
-    folder = new_path(docs.sparkSession, "lexicon")
-    store, root = store_of(folder)
-    store.create_dir(root, recursive=True)
-    with store.open_output_stream(f"{root}/{name}") as out:
-        out.write(data)
-    docs.sparkSession.sparkContext.addFile(f"{folder}/{name}")
-    return name
+    return share_file(docs.sparkSession, "lexicon", data)
 
 
 class Codec:
-    """Encodes texts chunk by chunk; remembers the outputs of at most `most` chunks and ids of as many merged pieces."""
+    """Encodes texts chunk by chunk and decodes ids; remembers the ids of chunks, 32-bit integers, up to most_bytes."""
 
-    def __init__(self, tokenizer_path: str, lexicon_path: str | None, most: int = 250_000):
-        self.vocab, self.merger, self.most = vocabulary(tokenizer_path), Merger(tokenizer_path), most
+    def __init__(self, tokenizer_path: str, lexicon_path: str | None, most_bytes: int = 100_000_000):
+        self.vocab, self.merger, self.memory = vocabulary(tokenizer_path), Merger(tokenizer_path), Chunks(most_bytes)
         if self.vocab.decoder is not None:
             raise ValueError("only vocabularies whose decoder joins tokens by spaces are known here")
         self.lexicon = Lexicon(lexicon_path) if lexicon_path else None
-        self.names = {i: str(i) for i in self.vocab.tokens}
-        self.tokens = {self.names[i]: t for i, t in self.vocab.tokens.items()}
-        self.by_chunk: dict[str, tuple[int, str] | None] = {}
-        self.by_piece: dict[str, tuple[int, str]] = {}
-
-    def _shown(self, ids: list[int]) -> tuple[int, str]:
-        return len(ids), " ".join(map(self.names.__getitem__, ids))
-
-    def learn(self, unseen: set[str]) -> None:
-        """Outputs of chunks: count, ids as text."""
-        if len(self.by_chunk) > self.most:
-            self.by_chunk.clear()
-        if len(self.by_piece) > self.most:
-            self.by_piece.clear()
-        cut = {c: [c.lower()] if c.isascii() and c.isalpha() else self.vocab.pieces(c) for c in unseen.difference(self.by_chunk)}
-        new = list({p for ps in cut.values() if ps for p in ps}.difference(self.by_piece))
-        found = self.lexicon.look_up([p.encode() for p in new]) if self.lexicon else [None] * len(new)
-        strange = [p for p, ids in zip(new, found, strict=True) if ids is None]
-        merged = iter(self.merger.many(strange))
-        for p, ids in zip(new, found, strict=True):
-            self.by_piece[p] = self._shown(next(merged) if ids is None else ids)
-        known = self.by_piece.__getitem__
+        self.tokens = self.vocab.tokens
+        self.names = {i: str(i) for i in self.tokens}
+
+    def _learned(self, chunks: list[str]) -> dict[str, bytes]:
+        cut = {c: [c.lower()] if c.isascii() and c.isalpha() else self.vocab.pieces(c) for c in chunks}
+        pieces = list({p for ps in cut.values() if ps for p in ps})
+        found = self.lexicon.look_up([p.encode() for p in pieces]) if self.lexicon else [None] * len(pieces)
+        merged = iter(self.merger.many([p for p, ids in zip(pieces, found, strict=True) if ids is None]))
+        ids_of = {p: np.array(next(merged) if ids is None else ids, "<i4").tobytes() for p, ids in zip(pieces, found, strict=True)}
+        out: dict[str, bytes] = {}
         for c, ps in cut.items():
             if ps is None:
-                ids = self.vocab.tokenizer.encode(c, add_special_tokens=False).ids
-                self.by_chunk[c] = self._shown(ids) if ids else None
-            elif len(ps) == 1:
-                self.by_chunk[c] = known(ps[0])
-            elif ps:
-                n, ids = zip(*map(known, ps), strict=True)
-                self.by_chunk[c] = sum(n), " ".join(ids)
+                out[c] = np.array(self.vocab.tokenizer.encode(c, add_special_tokens=False).ids, "<i4").tobytes()
             else:
-                self.by_chunk[c] = None
+                out[c] = ids_of[ps[0]] if len(ps) == 1 else b"".join(map(ids_of.__getitem__, ps))
+        return out
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        cut = list(map(chunks, texts))
+        look = self.memory.finder({c for cs in cut for c in cs}, self._learned)
+        return [np.frombuffer(b"".join(map(look, cs)), "<i4").tolist() for cs in cut]
 
-    def encode(self, text: str) -> tuple[int, str]:
-        """Count and ids of a text whose chunks are learned."""
-        found = [x for x in map(self.by_chunk.__getitem__, chunks(text)) if x]
-        return sum([x[0] for x in found]), " ".join([x[1] for x in found])
+    def shown(self, ids: list[int]) -> str:
+        return " ".join(map(self.names.__getitem__, ids))
 
-    def decode(self, ids: str) -> str:
-        """The text of ids given as decimal text."""
-        return " ".join(map(self.tokens.__getitem__, ids.split()))
+    def decode(self, ids: list[int]) -> str:
+        return " ".join(map(self.tokens.__getitem__, ids))
 
 
 def encode(docs: DataFrame, tokenizer_path: str, lexicon: str | None = None, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """keep columns, n_tokens (long), ids (decimal, one space between) and decoded (the ids decoded again, as the tokenizer's decode does)."""
-    out = docs.select(*keep).withColumns({"n_tokens": F.lit(0).cast("long"), "ids": F.lit(""), "decoded": F.lit("")}).schema
-    names = [*keep, "n_tokens", "ids", "decoded"]
+    """keep columns, n_tokens (long), ids (decimal, one space between) and decoded (the ids decoded again, as the tokenizer's decode does).
+
+    Other columns are not read; an output whose name a kept column has gets an underscore in front.
+    """
+    n_keep, added = len(keep), free_names(keep, "n_tokens", "ids", "decoded")
+    out = docs.select(*keep, F.lit(0).cast("long").alias(added[0]), F.lit("").alias(added[1]), F.lit("").alias(added[2])).schema
 
     def run(batches):
         codec = held(("codec", tokenizer_path, lexicon), lambda: Codec(tokenizer_path, SparkFiles.get(lexicon) if lexicon else None))
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = part.column(part.num_columns - 1).to_pylist()
-                words: set[str] = set()
-                for t in texts:
-                    words.update(chunks(t))
-                if len(codec.by_chunk) > codec.most:
-                    codec.by_chunk.clear()
-                codec.learn(words)
-                counts, ids = zip(*map(codec.encode, texts), strict=True) if texts else ((), ())
-                decoded = list(map(codec.decode, ids))
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=names)
+            for part in byte_slices(batch, n_keep, SLICE_BYTES // 2):
+                ids = codec.encode(part.column(n_keep).to_pylist())
+                columns = [pa.array(map(len, ids), pa.int64()), pa.array(map(codec.shown, ids), pa.string()), pa.array(map(codec.decode, ids), pa.string())]
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(n_keep)), *columns], names=[*keep, *added])
 
     return docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias(unused(docs, "text_to_encode"))).mapInArrow(run, out)
 
