@@ -126,29 +126,36 @@ def byte_batches(items: Iterable[str], max_bytes: int) -> Iterator[list[str]]:
 
 
 class Chunks:
-    """What a worker remembers of chunks of text, as bytes: up to most_bytes in all, no chunk of more than `longest` characters; when full it starts anew."""
+    """What a worker remembers of chunks of text, as bytes: up to most_bytes in all, no chunk of more than `longest` characters.
 
-    def __init__(self, most_bytes: int, longest: int = 64):
+    Half of it is what was wanted last; when that is full it becomes the older half, of which only what is wanted again is taken over.
+    """
+
+    def __init__(self, most_bytes: int, longest: int = 1000):
         self.most_bytes, self.longest, self.size = most_bytes, longest, 0
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.passing: list[str] = []
+
+    @staticmethod
+    def bytes_of(some: dict[str, bytes]) -> int:
+        return 240 * len(some) + 2 * sum(map(len, some)) + sum(map(len, some.values()))
 
     def finder(self, wanted: set[str], learn):
-        """A function from each wanted chunk to its bytes; learn(list of chunks) gives those of chunks not remembered."""
-        new: dict[str, bytes] = learn(list(wanted.difference(self.known)))
-        kept = {c: v for c, v in new.items() if len(c) <= self.longest}
-        size = sum(240 + 2 * len(c) + len(v) for c, v in kept.items())
-        if self.size + size > self.most_bytes:
-            new.update((c, self.known[c]) for c in wanted.intersection(self.known))
-            self.known, self.size = (kept, size) if size <= self.most_bytes else ({}, 0)
-        elif len(kept) == len(new):
-            self.known.update(kept)
-            self.size += size
-            return self.known.__getitem__
-        else:
-            self.known.update(kept)
-            self.size += size
-        known = self.known
-        return lambda c: known[c] if c in known else new[c]
+        """A function from each wanted chunk to its bytes, good until the next call; learn(list of chunks) gives those of chunks not remembered."""
+        for c in self.passing:
+            del self.known[c]
+        missing = wanted.difference(self.known)
+        new = {c: self.older[c] for c in missing.intersection(self.older)}
+        new.update(learn(list(missing.difference(new))))
+        self.passing = [c for c in new if len(c) > self.longest]
+        self.size += self.bytes_of(new) - self.bytes_of({c: new[c] for c in self.passing})
+        if self.size > self.most_bytes // 2:
+            self.older = self.known
+            self.known = {c: self.older[c] for c in wanted.difference(new)}
+            self.size = self.bytes_of(self.known)
+        self.known.update(new)
+        return self.known.__getitem__
 
 
 def free_names(keep: Iterable[str], *names: str) -> list[str]:

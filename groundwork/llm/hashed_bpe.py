@@ -14,6 +14,7 @@ are not read; an output whose name a kept column has gets an underscore in front
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 import mmap
 import re
@@ -153,7 +154,9 @@ class Merger:
         first[ends - 1] = -1
         now, ids = first.tolist(), self.single[letters].tolist()
         places = np.arange(len(letters))
-        offers = np.where(first >= 0, first << 40 | places, -1).tolist()
+        shift = 14 if max(map(len, pieces)) < 1 << 14 else 40  # small numbers where they do
+        within, mask = places - np.repeat(ends - [len(p) for p in pieces], [len(p) for p in pieces]), (1 << shift) - 1
+        offers = np.where(first >= 0, first << shift | within, -1).tolist()
         after, before = (places + 1).tolist(), (places - 1).tolist()
         get, pop, push, heapify = self.pairs.get, heapq.heappop, heapq.heappush, heapq.heapify
         start = 0
@@ -162,7 +165,7 @@ class Merger:
             heapify(heap)
             while heap:
                 found = pop(heap)
-                rank, i = found >> 40, found & 0xFFFFFFFFFF
+                rank, i = found >> shift, start + (found & mask)
                 if now[i] != rank:
                     continue
                 j = after[i]
@@ -172,14 +175,14 @@ class Merger:
                     before[k] = i
                     now[i] = r = get(rank << 24 | ids[k], -1)
                     if r >= 0:
-                        push(heap, r << 40 | i)
+                        push(heap, r << shift | i - start)
                 else:
                     now[i] = -1
                 h = before[i]
                 if h >= start:
                     now[h] = r = get(ids[h] << 24 | rank, -1)
                     if r >= 0:
-                        push(heap, r << 40 | h)
+                        push(heap, r << shift | h - start)
             start = end
         left = np.array(now) != -2
         flat = np.array(ids, "<i4")[left].tobytes()
@@ -190,7 +193,7 @@ class Merger:
 class Codec:
     """Encodes and decodes texts; ids are little-endian 32-bit integers. What chunks gave is remembered up to most_bytes."""
 
-    def __init__(self, table_path: str, pattern: str, most_bytes: int = 160_000_000):
+    def __init__(self, table_path: str, pattern: str, most_bytes: int = 240_000_000):
         self.table, self.memory = Table(table_path), Chunks(most_bytes)
         ranks = self.table.ranks.tolist()
         self.merger = Merger(dict(zip(self.table.tokens, ranks, strict=True)))
@@ -199,24 +202,26 @@ class Codec:
 
     @staticmethod
     def chunks(text: str) -> list[str]:
-        """The text's chunks; between two of them, if the text has no two white spaces in a row, stands a space that belongs to the second."""
-        if _TWO_SPACES.search(text):
-            return _SAFE.split(text)
-        first, *rest = text.split(" ")
-        return [first, *(" " + r for r in rest)]
+        """The text's chunks: the first with a space in front as its mark, the others without the space that starts them."""
+        first, *rest = [p[1:] if i else p for i, p in enumerate(_SAFE.split(text))] if _TWO_SPACES.search(text) else text.split(" ")
+        return [" " + first, *rest]
 
     def _learned(self, chunks: list[str]) -> dict[str, bytes]:
-        cut = list(map(self.split, chunks))
-        pieces = list({p for ps in cut for p in ps})
-        keys = [p.encode() for p in pieces]
-        ranks = self.table.look_up(keys)
-        merged = iter(self.merger.many([k for k, r in zip(keys, ranks, strict=True) if r < 0]))
-        ids = {p: next(merged) if r < 0 else r.to_bytes(4, "little") for p, r in zip(pieces, ranks, strict=True)}
-        return {c: ids[ps[0]] if len(ps) == 1 else b"".join(map(ids.__getitem__, ps)) for c, ps in zip(chunks, cut, strict=True)}
+        gc.disable()  # many small objects that all stay
+        try:
+            cut = [self.split(c[1:] if c[:1] == " " else " " + c) for c in chunks]
+            pieces = list(set().union(*cut))
+            keys = [p.encode() for p in pieces]
+            ranks = self.table.look_up(keys)
+            merged = iter(self.merger.many([k for k, r in zip(keys, ranks, strict=True) if r < 0]))
+            ids = {p: next(merged) if r < 0 else r.to_bytes(4, "little") for p, r in zip(pieces, ranks, strict=True)}
+            return {c: ids[ps[0]] if len(ps) == 1 else b"".join(map(ids.__getitem__, ps)) for c, ps in zip(chunks, cut, strict=True)}
+        finally:
+            gc.enable()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.chunks(t) for t in texts]
-        look = self.memory.finder({c for cs in cut for c in cs}, self._learned)
+        cut = list(map(self.chunks, texts))
+        look = self.memory.finder(set().union(*cut), self._learned)
         return [b"".join(map(look, cs)) for cs in cut]
 
     def decode(self, ids: bytes) -> bytes:
