@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections import Counter, defaultdict
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -32,68 +32,80 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: So few rows are passed through in order by one task; more go in rounds of joins.
-FEW = 20_000
+#: Rows of one block that a task passes through in order.
+BLOCK = 20_000
+
 
+def _block_pass(nodes: DataFrame, links: DataFrame, blocks: int) -> DataFrame:
+    """seq of the nodes(block, seq, key, set, waits) that are kept whatever earlier blocks keep; links(block, s1, s2) lie within a block.
 
-def _in_order(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """What first_fit gives, for few rows."""
-    null = F.lit(None).cast("string")
-    told = nodes.select("seq", "key", "set", null.alias("s1"), null.alias("s2")).union(links.select(F.lit(None).cast("long"), null, null, "s1", "s2"))
+    A task passes through a block in seq order. A node with a kept neighbour is dropped, one that waits for an earlier block, or has a neighbour that does, waits, and the others are kept.
+    """
+    told = links.select("block", F.lit(-1).cast("long").alias("seq"), F.col("s1").alias("key"), F.col("s2").alias("set"), F.lit(False).alias("waits")).union(nodes.select("block", "seq", "key", "set", "waits"))
 
     def run(batches):
-        rows, near = [], defaultdict(set)
+        block, near, kept, waiting = None, {}, set(), set()
         for batch in batches:
-            for r in batch.to_pylist():
-                if r["seq"] is None:
-                    near[r["s1"]].add(r["s2"])
-                else:
-                    rows.append((r["seq"], r["key"], r["set"]))
-        keys, sets, out = set(), set(), []
-        for seq, key, own in sorted(rows, key=lambda r: r[0]):
-            if key in keys or own in sets or (own is not None and not near[own].isdisjoint(sets)):
-                out.append(seq)
-            else:
-                keys.add(key)
+            out = []
+            for b, seq, key, own, waits in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if b != block:
+                    block, near, kept, waiting = b, {}, set(), set()
+                if seq < 0:  # a link: these come first
+                    near.setdefault(key, []).append(own)
+                    continue
+                met = [(key,), *(() if own is None else (own, *near.get(own, ())))]
+                if not kept.isdisjoint(met):
+                    continue
+                mine = waiting if waits or not waiting.isdisjoint(met) else kept
+                mine.add((key,))
                 if own is not None:
-                    sets.add(own)
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["seq"])
+                    mine.add(own)
+                if mine is kept:
+                    out.append(seq)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["seq"])
 
-    return told.coalesce(1).mapInArrow(run, "seq long")
+    return told.repartition(blocks, "block").sortWithinPartitions("block", "seq").mapInArrow(run, "seq long")
 
 
-def first_fit(nodes: DataFrame, near: DataFrame, few: int = FEW) -> DataFrame:
-    """seq of the nodes(seq, key, set) that a pass in seq order drops.
+def first_fit(nodes: DataFrame, near: DataFrame, block: int = BLOCK) -> DataFrame:
+    """seq (0 or more, distinct) of the nodes(seq, key, set) that a pass in seq order drops.
 
     A node is dropped if an earlier kept node has its key or its set, or a set that near(s1, s2; both directions) links with its set; otherwise it is kept and
-    knocks out others. Null sets are linked with nothing. Links are between sets and tested through each set's least live node, so no
-    pairs of nodes are ever made: each round keeps nodes that precede all live ones they are linked with, and drops what these knock out.
-    The first live node always goes, so rounds end; long chains of links end sooner, as the last `few` rows are passed through in order.
+    knocks out others. Null sets are linked with nothing. Links are between sets, so no pairs of nodes are ever made.
+
+    The nodes are cut into blocks of consecutive ones, of at most about `block`. In each round the tasks pass through all blocks at once; what depends on an earlier
+    block waits for the next round. The first live block is always decided, so there are at most as many rounds as blocks, and a chain of links within a
+    block takes one; no task ever holds more than a block.
     """
-    live = cut(nodes.select(F.col("seq").cast("long").alias("seq"), "key", "set"))
+    n = nodes.count()
+    blocks = max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // block))
+    live = cut(nodes.select(F.col("seq").cast("long").alias("seq"), "key", "set").repartitionByRange(blocks, "seq").withColumn("block", F.spark_partition_id()))
     links = cut(near.select("s1", "s2").where("s1 <> s2").distinct())
     dropped = live.select("seq").limit(0)
-    while n := live.count():
-        if n <= few:
-            left = live.select(F.col("set").alias("s1")).distinct()
-            near_left = cut(links.join(left, "s1", "left_semi").join(left.withColumnRenamed("s1", "s2"), "s2", "left_semi").select("s1", "s2"))
-            if near_left.count() <= 5 * few:
-                return dropped.union(_in_order(live, near_left))
-        by_key = live.groupBy("key").agg(F.min("seq").alias("first_of_key"))
-        by_set = live.where("set IS NOT NULL").groupBy("set").agg(F.min("seq").alias("first_of_set"))
-        by_link = links.join(by_set.withColumnRenamed("set", "s1"), "s1").groupBy(F.col("s2").alias("set")).agg(F.min("first_of_set").alias("first_near"))
-        placed = live.join(by_key, "key").join(by_set, "set", "left").join(by_link, "set", "left")
-        kept = cut(placed.where("seq = first_of_key AND (set IS NULL OR seq = first_of_set) AND (first_near IS NULL OR first_near > seq)").select("seq", "key", "set"))
+    while live.take(1):
+        by_key = live.groupBy("key").agg(F.min("block").alias("key_block"))
+        by_set = live.where("set IS NOT NULL").groupBy("set").agg(F.min("block").alias("set_block"))
+        by_link = links.join(by_set.withColumnRenamed("set", "s1"), "s1").groupBy(F.col("s2").alias("set")).agg(F.min("set_block").alias("near_block"))
+        first = F.least("key_block", "set_block", "near_block")
+        placed = live.join(by_key, "key", "left").join(by_set, "set", "left").join(by_link, "set", "left")
+        held = live.where("set IS NOT NULL").select("block", "set").distinct()
+        inside = links.join(held.withColumnRenamed("set", "s1"), "s1").join(held.withColumnRenamed("set", "s2"), ["block", "s2"])
+        kept_seqs = cut(_block_pass(placed.select("block", "seq", "key", "set", (first < F.col("block")).alias("waits")), inside, blocks))
+        kept = cut(live.join(kept_seqs, "seq", "left_semi").select("seq", "key", "set"))
         hit_keys = kept.select("key", F.col("seq").alias("kept_key"))
         own = kept.where("set IS NOT NULL").select("set", "seq")
         reached = links.join(own.select(F.col("set").alias("s1"), "seq"), "s1").select(F.col("s2").alias("set"), "seq").union(own)
         hit_sets = reached.groupBy("set").agg(F.min("seq").alias("kept_set"))
         marked = cut(live.join(kept.select("seq"), "seq", "left_anti").join(hit_keys, "key", "left").join(hit_sets, "set", "left").withColumn("out", F.col("kept_key").isNotNull() | F.coalesce(F.col("kept_set") < F.col("seq"), F.lit(False))))
         dropped = dropped.union(marked.where("out").select("seq"))
-        live = marked.where("NOT out").select("seq", "key", "set")
+        live = marked.where("NOT out").select("seq", "key", "set", "block")
     return dropped
 
 
+#: So few of the best pairs are passed through in order by one task; more go in rounds of joins.
+FEW = 20_000
+
+
 def _capped_in_order(pairs: DataFrame, cap: int) -> DataFrame:
     """What capped_pairs accepts of few pairs."""
 

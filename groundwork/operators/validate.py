@@ -111,20 +111,27 @@ def question_sets(rows: DataFrame, scope: Sequence[str]) -> DataFrame:
 def near_sets(sets: DataFrame, scope: Sequence[str], least: float = 0.8) -> DataFrame:
     """s1 < s2 and similarity of different token sets (rows of question_sets) of one scope and cite_key with that Jaccard or more.
 
-    Exact prefix filter: tokens are put in order of rarity; similar sets share one of their first n - ceil(least * n) + 1 tokens, and their sizes fit.
+    Exact prefix filter: tokens are put in order of rarity; similar sets share one of their first n - ceil(least * n) + 1 tokens, their sizes fit, and from the first
+    shared token on enough tokens are left in both. Sets go by number and meet by a hash of scope, cite_key and token, which can only add pairs that the comparison drops.
     """
     block = F.sha2(F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in scope), F.coalesce("cite_key", F.lit(""))), 256)
-    distinct = written(sets.where("set IS NOT NULL").groupBy("set").agg(F.first(block).alias("block"), F.first("tokens").alias("tokens")), "distinct-sets")
-    told = distinct.select("set", "block", F.explode("tokens").alias("token"))
-    counts = told.groupBy("token").agg(F.count("*").alias("df"))
-    ordered = told.join(counts, "token").groupBy("set", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "token"))), lambda x: x["token"]).alias("ordered"))
-    n = F.size("ordered")
-    prefix = written(ordered.select("set", "block", n.alias("n"), F.explode(F.slice("ordered", F.lit(1), n - F.ceil(n * least - 1e-9).cast("int") + 1)).alias("token")), "prefixes")
-    a, b = (prefix.select("block", "token", F.col("set").alias(f"s{i}"), F.col("n").alias(f"n{i}")) for i in (1, 2))
-    fits = (F.col("s1") < F.col("s2")) & (F.col("n1") >= least * F.col("n2") - 1e-9) & (F.col("n2") >= least * F.col("n1") - 1e-9)
-    close = a.join(b, ["block", "token"]).where(fits).select("s1", "s2").distinct()
-    t1, t2 = (distinct.select(F.col("set").alias(f"s{i}"), F.col("tokens").alias(f"t{i}")) for i in (1, 2))
-    return close.join(t1, "s1").join(t2, "s2").select("s1", "s2", jaccard(F.col("t1"), F.col("t2")).alias("similarity")).where(F.col("similarity") >= least)
+    distinct = sets.where("set IS NOT NULL").groupBy("set").agg(F.first(block).alias("block"), F.first("tokens").alias("tokens"))
+    distinct = written(distinct.withColumn("at", F.monotonically_increasing_id()), "distinct-sets")
+    told = distinct.select("at", F.xxhash64("block").alias("block"), F.explode("tokens").alias("token"))
+    counts = written(told.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "token-counts")
+    n, k = F.size("tokens"), F.size("common")
+    common = F.array_sort(F.collect_list(F.struct("df", F.xxhash64("token").alias("t"))))
+    ordered = told.join(counts, "token").groupBy("at").agg(F.first("block").alias("block"), common.alias("common")).join(distinct.select("at", n.alias("n")), "at")
+    alone = F.col("n") - k  # tokens of no other set come first in the order and meet nothing
+    places = ordered.select("at", "block", "n", alone.alias("alone"), F.posexplode(F.slice("common", F.lit(1), F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * least - 1e-9).cast("int") + 1 - alone))).alias("i", "c"))
+    prefix = written(places.select("at", F.xxhash64("block", "c.t").alias("met"), "n", (F.col("n") - F.col("alone") - F.col("i")).alias("left")), "prefixes")
+    a, b = (prefix.select("met", F.col("at").alias(f"a{i}"), F.col("n").alias(f"n{i}"), F.col("left").alias(f"left{i}")) for i in (1, 2))
+    needed = F.ceil((F.col("n1") + F.col("n2")) * (least / (1 + least)) - 1e-6)
+    fits = (F.col("a1") < F.col("a2")) & (F.col("n1") >= least * F.col("n2") - 1e-9) & (F.col("n2") >= least * F.col("n1") - 1e-9) & (F.least("left1", "left2") >= needed)
+    close = a.join(b, "met").where(fits).select("a1", "a2").distinct()
+    t1, t2 = (distinct.select(F.col("at").alias(f"a{i}"), F.col("set").alias(f"s{i}"), F.col("block").alias(f"b{i}"), F.col("tokens").alias(f"t{i}")) for i in (1, 2))
+    alike = close.join(t1, "a1").join(t2, "a2").where("b1 = b2").select("s1", "s2", jaccard(F.col("t1"), F.col("t2")).alias("similarity")).where(F.col("similarity") >= least)
+    return alike.select(F.least("s1", "s2").alias("s1"), F.greatest("s1", "s2").alias("s2"), "similarity")
 
 
 def near_duplicate_pairs(rows: DataFrame, scope: Sequence[str], least: float = 0.8) -> DataFrame:

@@ -87,9 +87,9 @@ def brute_first_fit(rows, least=0.8):
     return sorted(d[0] for d in dropped)
 
 
-@pytest.mark.parametrize("few", [0, 40, 1000])
-def test_dedupe_equals_the_sequential_pass(spark, monkeypatch, few):
-    monkeypatch.setattr(validate, "first_fit", lambda nodes, near: greedy.first_fit(nodes, near, few))
+@pytest.mark.parametrize("block", [4, 20, 20_000])
+def test_dedupe_equals_the_sequential_pass(spark, monkeypatch, block):
+    monkeypatch.setattr(validate, "first_fit", lambda nodes, near: greedy.first_fit(nodes, near, block))
     rng = random.Random(5)
     data = [(i, rng.choice("xy"), rng.choice(["", "c1"]), " ".join(rng.sample("abcdef", rng.choice([0, 4, 5, 6])))) for i in range(90)]
     df = spark.createDataFrame([(i, i, s, c, q) for i, s, c, q in data], "row_id long, seq long, scope string, cite_key string, question string")
