@@ -141,6 +141,10 @@ QUERIES = {
         lambda t: retrieve.tree_sections(t.edges).select("node_id", "title", "line_num", "depth", "has_children", "path"),
         with_tables("SELECT node_id, title, line_num, depth, node_id IN (SELECT parent_id FROM edges WHERE parent_id IS NOT NULL) AS has_children, path FROM tree").replace("edges AS (", "edges AS (", 1).replace("\nSELECT node_id, title, line_num, depth", ",\n" + _PREORDER + "\nSELECT node_id, title, line_num, depth"),
     ),
+    "r5_tree_order": (
+        lambda t: retrieve.tree_order(t.edges),
+        with_tables("SELECT node_id, depth, row_number() OVER (ORDER BY path) - 1 AS preorder, node_id IN (SELECT parent_id FROM edges WHERE parent_id IS NOT NULL) AS has_children FROM tree").replace("\nSELECT node_id, depth, row", ",\n" + _PREORDER + "\nSELECT node_id, depth, row"),
+    ),
     "r6_tree_navigate": (
         lambda t: retrieve.tree_navigate(retrieve.tree_sections(t.edges), t.edges.select("node_id", F.repeat("title", 30).alias("text")), "customer 1"),
         with_tables("SELECT node_id, titles AS title_path, substr(repeat(title, 30), 1, 200) AS preview FROM tree WHERE contains(lower(title), 'customer') AND contains(lower(title), '1')").replace("\nSELECT node_id, titles", ",\n" + _PREORDER + "\nSELECT node_id, titles"),

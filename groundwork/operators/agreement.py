@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundwork.functions.text import seeded
+from groundwork.operators.greedy import smallest
 
 # The dimensions in which each injected fault must show.
 CATCHES: Mapping[str, Sequence[str]] = {
@@ -67,9 +68,8 @@ def catch_rate(labels: DataFrame, scores: DataFrame, catches: Mapping[str, Seque
 
 
 def sample_rows(rows: DataFrame, share: float, seed: int | str, id_col: str = "row_id") -> DataFrame:
-    """max(1, floor(n * share)) rows at random, the same for the same seed."""
-    n = rows.count()
-    return rows.withColumn("draw", seeded(seed, id_col)).orderBy("draw", id_col).limit(max(1, int(n * share))).drop("draw")
+    """max(1, floor(n * share)) rows at random, the same for the same seed; selected where they are, by narrowing down the last one's draw."""
+    return smallest(rows.withColumn("__draw", seeded(seed, id_col)), "__draw", [id_col], max(1, int(rows.count() * share))).drop("__draw")
 
 
 def disagreements(pairs: DataFrame, least: int = 2) -> DataFrame:

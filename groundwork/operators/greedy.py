@@ -161,3 +161,27 @@ def numbered(df: DataFrame, category: str, order: list[str], number: str = "n")
     offsets = sizes.select(F.col(category).alias("__c"), F.col("__part").alias("__p"), before.alias("__before"))
     local = F.row_number().over(Window.partitionBy(category, "__part").orderBy(*order))
     return ranged.withColumn("__local", local).join(offsets, F.col(category).eqNullSafe(F.col("__c")) & (F.col("__part") == F.col("__p"))).withColumn(number, F.col("__local") + F.col("__before")).drop("__part", "__local", "__before", "__c", "__p")
+
+
+def smallest(df: DataFrame, draw: str, ties: list[str], m: int, digits: int = 3, few: int = 4096) -> DataFrame:
+    """The m rows of df that are least in draw (a hexadecimal string, equally long in all rows) and then in ties; of rows equal in both any.
+
+    Counts of the draws' next digits (16 ** digits numbers come to the driver) narrow the m-th place down until few rows share its beginning; rows below are
+    told by a filter, and only those that share it are numbered, by ranges.
+    """
+    begin, left = "", m
+    while True:
+        at = F.substring(draw, len(begin) + 1, digits)
+        counts = sorted((r.d, r.n) for r in df.where(F.startswith(F.col(draw), F.lit(begin))).groupBy(at.alias("d")).agg(F.count("*").alias("n")).collect())
+        if sum(n for _, n in counts) <= left:
+            return df.where((F.col(draw) < begin) | F.startswith(F.col(draw), F.lit(begin)))
+        for d, n in counts:
+            if left < n:
+                break
+            left -= n
+        begin += d
+        if n <= few or not d:
+            break
+    tied = df.where(F.startswith(F.col(draw), F.lit(begin))).withColumn("__tie", F.monotonically_increasing_id()).withColumn("__all", F.lit(1))
+    taken = numbered(tied, "__all", [draw, *ties, "__tie"], "__place").where(F.col("__place") <= left).drop("__tie", "__all", "__place")
+    return df.where(F.col(draw) < begin).unionByName(taken)

@@ -9,8 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundwork.functions.text import text_or_empty
+from groundwork.operators.greedy import numbered
+from groundwork.operators.scans import ranged, running_max
 
 LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+#: Lines of a block, by which spans and lines of a document meet.
+BLOCK = 64
 _DROPPED = ("script", "style", "nav", "footer", "head")
 _ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
@@ -72,17 +76,20 @@ def invalid_spans(clauses: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def merged_spans(spans: DataFrame) -> DataFrame:
-    """doc_id, line_start, line_end of the fewest spans that cover the same lines: overlapping and touching spans become one."""
-    by = Window.partitionBy("doc_id").orderBy("line_start", "line_end")
-    before = F.max("line_end").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    marked = spans.select("doc_id", "line_start", "line_end").withColumn("opens", F.when(before.isNull() | (F.col("line_start") > before + 1), 1).otherwise(0))
-    numbered = marked.withColumn("island", F.sum("opens").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy("doc_id", "island").agg(F.min("line_start").alias("line_start"), F.max("line_end").alias("line_end")).drop("island")
+    """doc_id, line_start, line_end of the fewest spans that cover the same lines: overlapping and touching spans become one.
+
+    A scan over ranges of (document, line), so that one document's spans need not lie in one task. A span that ends before it starts covers nothing.
+    """
+    order = ["line_start", "line_end"]
+    told = running_max(ranged(spans.select("doc_id", *order).where("line_end >= line_start"), "doc_id", order), "doc_id", order, "line_end", "reached", False)
+    opens = told.withColumn("opens", F.when(F.col("reached").isNull() | (F.col("line_start") > F.col("reached") + 1), F.col("line_start")))
+    islands = running_max(opens, "doc_id", order, "opens", "island", True)
+    return islands.groupBy("doc_id", "island").agg(F.min("line_start").alias("line_start"), F.max("line_end").alias("line_end")).drop("island")
 
 
 def uncovered_lines(text_lines: DataFrame, spans: DataFrame) -> DataFrame:
     """Lines in no span. Spans are merged first and met by document and block of 64 lines, so no long span is expanded line by line."""
-    block = 64
+    block = BLOCK
     islands = merged_spans(spans).withColumn("block", F.explode(F.sequence(F.floor(F.col("line_start") / block), F.floor(F.col("line_end") / block))))
     l, s = text_lines.withColumn("block", F.floor(F.col("line_no") / block)).alias("l"), islands.alias("s")
     same = (F.col("l.doc_id") == F.col("s.doc_id")) & (F.col("l.block") == F.col("s.block"))
@@ -101,8 +108,8 @@ def line_coverage(text_lines: DataFrame, spans: DataFrame) -> DataFrame:
 def coverage_gaps(text_lines: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, line_start, line_end, title of the maximal runs of uncovered lines."""
     bare = uncovered_lines(text_lines, spans).select("doc_id", "line_no")
-    numbered = bare.withColumn("run", F.col("line_no") - F.row_number().over(Window.partitionBy("doc_id").orderBy("line_no")))
-    gaps = numbered.groupBy("doc_id", "run").agg(F.min("line_no").alias("line_start"), F.max("line_no").alias("line_end"))
+    runs = numbered(bare, "doc_id", ["line_no"], "n").withColumn("run", F.col("line_no") - F.col("n"))
+    gaps = runs.groupBy("doc_id", "run").agg(F.min("line_no").alias("line_start"), F.max("line_no").alias("line_end"))
     return gaps.select("doc_id", "line_start", "line_end", F.format_string("SECTION: lines %d-%d", "line_start", "line_end").alias("title"))
 
 
@@ -133,23 +140,27 @@ def tree_integrity(nodes: DataFrame, text_lines: DataFrame, docs: DataFrame) ->
     return flagged.groupBy("doc_id").agg(F.count("*").alias("n_nodes"), F.sum("miss").alias("title_misses"), F.sum("breaks").alias("order_breaks"), F.sum("again").alias("duplicate_texts"), F.sum(F.char_length("text")).alias("covered_chars")).join(pin_source(docs).select("doc_id", "n_chars"), "doc_id")
 
 
-def overlapping(clauses: DataFrame, ranges: DataFrame, how: str = "inner") -> DataFrame:
-    """Clauses that overlap a line range of the same document (both ends count); blocks of 64 lines bound what is compared."""
-    block = 64
-    left = clauses.withColumn("__block", F.explode(F.sequence(F.floor(F.col("line_start") / block), F.floor(F.col("line_end") / block))))
-    right = ranges.withColumn("__other", F.explode(F.sequence(F.floor(F.col("range_start") / block), F.floor(F.col("range_end") / block)))).withColumnRenamed("doc_id", "__doc")
-    first = F.greatest(F.floor(F.col("line_start") / block), F.floor(F.col("range_start") / block))
+def overlapping(clauses: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Clauses with each line range of the same document that they overlap (both ends count); blocks of BLOCK lines bound what is compared."""
+    left = clauses.withColumn("__block", F.explode(F.sequence(F.floor(F.col("line_start") / BLOCK), F.floor(F.col("line_end") / BLOCK))))
+    right = ranges.withColumn("__other", F.explode(F.sequence(F.floor(F.col("range_start") / BLOCK), F.floor(F.col("range_end") / BLOCK)))).withColumnRenamed("doc_id", "__doc")
+    first = F.greatest(F.floor(F.col("line_start") / BLOCK), F.floor(F.col("range_start") / BLOCK))
     met = (F.col("doc_id") == F.col("__doc")) & (F.col("__block") == F.col("__other")) & (F.col("line_end") >= F.col("range_start")) & (F.col("line_start") <= F.col("range_end"))
-    if how != "inner":
-        return clauses.join(ranges.withColumnRenamed("doc_id", "__doc"), (F.col("doc_id") == F.col("__doc")) & (F.col("line_end") >= F.col("range_start")) & (F.col("line_start") <= F.col("range_end")), how)
     return left.join(right, met & (F.col("__block") == first)).drop("__block", "__other", "__doc")
 
 
+def not_overlapping(clauses: DataFrame, spans: DataFrame) -> DataFrame:
+    """Clauses(doc_id, line_start, line_end, ...) without a line in common with any span of their document; spans are merged first, so that a block of BLOCK lines has few."""
+    islands = merged_spans(spans).select(F.col("doc_id"), F.col("line_start").alias("range_start"), F.col("line_end").alias("range_end"))
+    places = clauses.select("doc_id", "line_start", "line_end").distinct()
+    hit = overlapping(places, islands).select("doc_id", "line_start", "line_end").distinct()
+    return clauses.join(hit, ["doc_id", "line_start", "line_end"], "left_anti")
+
+
 def merge_clause_sources(hand: DataFrame, sections: DataFrame, text_lines: DataFrame) -> DataFrame:
     """doc_id, line_start, line_end, origin: hand-made clauses, sections that overlap none of them, and gap-fill ranges for the rest."""
     cols = ["doc_id", "line_start", "line_end"]
-    ranges = hand.select("doc_id", F.col("line_start").alias("range_start"), F.col("line_end").alias("range_end"))
-    tree = overlapping(sections.select(*cols), ranges, "left_anti").withColumn("origin", F.lit("pageindex_tree"))
+    tree = not_overlapping(sections.select(*cols), hand.select(*cols)).withColumn("origin", F.lit("pageindex_tree"))
     kept = hand.select(*cols).withColumn("origin", F.lit("hand")).unionByName(tree)
     gaps = coverage_gaps(text_lines, kept).select(*cols).withColumn("origin", F.lit("gap_fill_content"))
     return kept.unionByName(gaps)
