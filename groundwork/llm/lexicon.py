@@ -332,16 +332,17 @@ class Codec:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
-def encode(docs: DataFrame, tokenizer_path: str, lexicon: str | None = None, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, tokenizer_path: str, lexicon: str | None = None, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", most_bytes: int = 100_000_000) -> DataFrame:
     """keep columns, n_tokens (long), ids (decimal, one space between) and decoded (the ids decoded again, as the tokenizer's decode does).
 
-    Other columns are not read; an output whose name a kept column has gets an underscore in front.
+    Other columns are not read; an output whose name a kept column has gets an underscore in front. most_bytes: what a worker remembers of chunks (about
+    twice as much of its memory); less of it is more work.
     """
     n_keep, added = len(keep), free_names(keep, "n_tokens", "ids", "decoded")
     out = docs.select(*keep, F.lit(0).cast("long").alias(added[0]), F.lit("").alias(added[1]), F.lit("").alias(added[2])).schema
 
     def run(batches):
-        codec = held(("codec", tokenizer_path, lexicon), lambda: Codec(tokenizer_path, SparkFiles.get(lexicon) if lexicon else None))
+        codec = held(("codec", tokenizer_path, lexicon, most_bytes), lambda: Codec(tokenizer_path, SparkFiles.get(lexicon) if lexicon else None, most_bytes))
         for batch in batches:
             for part in byte_slices(batch, n_keep, SLICE_BYTES // 2):
                 ids = codec.encode(part.column(n_keep).to_pylist())
