@@ -115,7 +115,7 @@ def byte_batches(items: Iterable[str], max_bytes: int) -> Iterator[list[str]]:
     batch: list[str] = []
     size = 0
     for item in items:
-        n = len(item) + 1
+        n = (len(item) if item.isascii() else len(item.encode())) + 1
         if batch and size + n > max_bytes:
             yield batch
             batch, size = [], 0

@@ -12,14 +12,17 @@ Null texts count as empty: 0 tokens and empty strings. Equal ids stay separate r
 
 from __future__ import annotations
 
+import gc
 import heapq
 import mmap
 import os
 import struct
+from array import array
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -303,33 +306,39 @@ class Codec:
         if self.vocab.decoder is not None:
             raise ValueError("only vocabularies whose decoder joins tokens by spaces are known here")
         self.lexicon = Lexicon(lexicon_path) if lexicon_path else None
-        self.tokens = self.vocab.tokens
-        self.names = {i: str(i) for i in self.tokens}
+        tokens = self.vocab.tokens
+        self.tokens = pa.array([tokens.get(i, "") for i in range(max(tokens) + 1)])
+        self.names = pa.array([str(i) for i in range(max(tokens) + 1)])
 
     def _learned(self, chunks: list[str]) -> dict[str, bytes]:
-        cut = {c: [c.lower()] if c.isascii() and c.isalpha() else self.vocab.pieces(c) for c in chunks}
-        pieces = list({p for ps in cut.values() if ps for p in ps})
-        found = self.lexicon.look_up([p.encode() for p in pieces]) if self.lexicon else [None] * len(pieces)
-        merged = iter(self.merger.many([p for p, ids in zip(pieces, found, strict=True) if ids is None]))
-        ids_of = {p: np.array(next(merged) if ids is None else ids, "<i4").tobytes() for p, ids in zip(pieces, found, strict=True)}
-        out: dict[str, bytes] = {}
-        for c, ps in cut.items():
-            if ps is None:
-                out[c] = np.array(self.vocab.tokenizer.encode(c, add_special_tokens=False).ids, "<i4").tobytes()
-            else:
-                out[c] = ids_of[ps[0]] if len(ps) == 1 else b"".join(map(ids_of.__getitem__, ps))
-        return out
+        gc.disable()  # many small objects that all stay
+        try:
+            cut = {c: [c.lower()] if c.isascii() and c.isalpha() else self.vocab.pieces(c) for c in chunks}
+            pieces = list({p for ps in cut.values() if ps for p in ps})
+            found = self.lexicon.look_up([p.encode() for p in pieces]) if self.lexicon else [None] * len(pieces)
+            merged = iter(self.merger.many([p for p, ids in zip(pieces, found, strict=True) if ids is None]))
+            ids_of = {p: array("i", next(merged) if ids is None else ids).tobytes() for p, ids in zip(pieces, found, strict=True)}
+            out: dict[str, bytes] = {}
+            for c, ps in cut.items():
+                if ps is None:
+                    out[c] = array("i", self.vocab.tokenizer.encode(c, add_special_tokens=False).ids).tobytes()
+                else:
+                    out[c] = ids_of[ps[0]] if len(ps) == 1 else b"".join(map(ids_of.__getitem__, ps))
+            return out
+        finally:
+            gc.enable()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as 32-bit integers."""
         cut = list(map(chunks, texts))
-        look = self.memory.finder({c for cs in cut for c in cs}, self._learned)
-        return [np.frombuffer(b"".join(map(look, cs)), "<i4").tolist() for cs in cut]
-
-    def shown(self, ids: list[int]) -> str:
-        return " ".join(map(self.names.__getitem__, ids))
+        look = self.memory.finder(set().union(*cut), self._learned)
+        return [b"".join(map(look, cs)) for cs in cut]
 
-    def decode(self, ids: list[int]) -> str:
-        return " ".join(map(self.tokens.__getitem__, ids))
+    def columns(self, ids: list[bytes]) -> list[pa.Array]:
+        """Counts, ids as decimal text and the texts that they decode to."""
+        counts = np.array([len(x) // 4 for x in ids], np.int64)
+        flat, ends = pa.array(np.frombuffer(b"".join(ids), np.int32)), pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+        return [pa.array(counts), *(pc.binary_join(pa.ListArray.from_arrays(ends, strings.take(flat)), " ") for strings in (self.names, self.tokens))]
 
 
 def encode(docs: DataFrame, tokenizer_path: str, lexicon: str | None = None, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", most_bytes: int = 100_000_000) -> DataFrame:
@@ -345,8 +354,7 @@ def encode(docs: DataFrame, tokenizer_path: str, lexicon: str | None = None, kee
         codec = held(("codec", tokenizer_path, lexicon, most_bytes), lambda: Codec(tokenizer_path, SparkFiles.get(lexicon) if lexicon else None, most_bytes))
         for batch in batches:
             for part in byte_slices(batch, n_keep, SLICE_BYTES // 2):
-                ids = codec.encode(part.column(n_keep).to_pylist())
-                columns = [pa.array(map(len, ids), pa.int64()), pa.array(map(codec.shown, ids), pa.string()), pa.array(map(codec.decode, ids), pa.string())]
+                columns = codec.columns(codec.encode(part.column(n_keep).to_pylist()))
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(n_keep)), *columns], names=[*keep, *added])
 
     return docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias(unused(docs, "text_to_encode"))).mapInArrow(run, out)

@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from groundwork.llm import bit_planes, lexicon, token_counts
+from groundwork.llm.common import byte_batches
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = [
@@ -48,6 +49,18 @@ def test_counts_by_whole_texts(spark, path):
     assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(df, path).collect()} == {1: want, 2: 0}
 
 
+def test_counts_of_an_empty_table_and_batches_by_bytes(docs):
+    none = token_counts.token_counts(docs.limit(0), BYTE)
+    assert none.columns == ["doc_id", "n_bytes", "n_tokens"] and none.count() == 0
+    assert list(byte_batches(["aaaa", "éé", "🙂", "b" * 99, ""], 10)) == [["aaaa", "éé"], ["🙂"], ["b" * 99], [""]]
+
+
+def test_kept_columns_keep_their_names(docs):
+    got = lexicon.encode(docs.where("doc_id = 4"), WORD, keep=("doc_id", "n_tokens"))
+    assert got.columns == ["doc_id", "n_tokens", "_n_tokens", "ids", "decoded"]
+    assert [(r.doc_id, r.n_tokens, r["_n_tokens"]) for r in got.collect()] == [(4, 4, 1)]
+
+
 def test_small_memory_changes_nothing():
     counter, roomy = token_counts.PieceCounter(BYTE, max_pieces=1, batch_bytes=3), token_counts.PieceCounter(BYTE)
     texts = [t or "" for t in TEXTS]
