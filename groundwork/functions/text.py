@@ -12,7 +12,7 @@ HEDGES = ("might", "unclear", "depends", "possibly", "may be", "not sure", "ambi
 PRONOUN_START = r"(?i)^\s*(it|this|that|they)\b"
 PRIOR_TURN = ("previous question", "earlier you said", "as you mentioned")
 CONFIDENT = ("yes it is", "clearly", "definitely", "the answer is", "without doubt")
-ESCALATION = ("escalate", "seek", "inform", "confirm with", "contact the provider", "legal")
+ESCALATION = ("escalate", "seek", "inform", "confirm with", "legal")
 AMBIGUITY_TYPES = ("silent", "vague_language", "external_deferral", "multi_rule_conflict")
 SILENCE = ("as per", "per rbi", "per npci", "as determined", "in accordance with", "may suspend", "may terminate", "from time to time", "reasonable")
 DEFERRAL = ("per rbi", "per npci", "as per", "in accordance with")
@@ -22,6 +22,11 @@ ANCHOR = r"(?i)\b\d+\s*(days?|%|percent|hours?|working\s+days?)\b"
 # End of the fixed values.
 
 
+def escalation_words(provider: str) -> tuple[str, ...]:
+    """The words of an answer that sends on: the fixed ones, and to contact the provider, whose name belongs to the source texts."""
+    return (*ESCALATION, f"contact {provider.lower()}")
+
+
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

@@ -52,7 +52,10 @@ SHARED = {
 _LINES = "SELECT doc_id, CAST(i AS BIGINT) AS line_no, l[i] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, CASE WHEN l[len(l)] = '' THEN l[1 : len(l) - 1] ELSE l END AS l FROM (SELECT doc_id, string_split_regex(coalesce(text, ''), '\\r\\n|[\\n\\r\\x0B\\x0C\\x1C-\\x1E\\x{85}\\x{2028}\\x{2029}]') AS l FROM documents) x) y) z"
 _PARENT = "CASE WHEN line_no = 1 THEN NULL WHEN line_no % 13 = 0 THEN 'gone#' || doc_id ELSE doc_id || '#1' END"
 _CLAUSE = "doc_id, line_no, doc_id * 1000 + line_no AS pos, doc_id || '#' || line_no AS clause_id, line || CASE WHEN doc_id % 17 = 0 AND line_no % 5 = 0 THEN '~' ELSE '' END AS verbatim_text, line_no AS line_start, line_no + CASE WHEN line_no % 3 = 0 THEN 1 ELSE 0 END AS line_end"
-_CLAUSES = f"SELECT {_CLAUSE}, {_PARENT} AS parent, title, list_distinct(list_filter(string_split_regex(lower(title), '[^\\p{{L}}]+'), lambda x: length(x) >= 5)) AS topics FROM (SELECT *, array_to_string(string_split(trim(line), ' ')[1:5], ' ') AS title FROM lines WHERE trim(line) <> '') x"
+_CLAUSES = f"SELECT {_CLAUSE}, {_PARENT} AS parent, title, list_distinct(list_filter(string_split_regex(lower(line), '[^\\p{{L}}]+'), lambda x: length(x) >= 5)) AS topics FROM (SELECT *, array_to_string(string_split(trim(line), ' ')[1:5], ' ') AS title FROM lines WHERE trim(line) <> '') x"
+
+#: What the answers call the provider of the source texts.
+PROVIDER = "the provider"
 
 #: Names of the given tables that SHARED tables read.
 GIVEN = ("documents", "conversations", "events", "region", "nation", "customer", "labels", "pages")
@@ -81,7 +84,7 @@ class Tables:
             return source.lines(self.documents)
         if name == "clauses":
             titled = self.lines.where(F.trim("line") != "").withColumn("title", F.array_join(F.slice(F.split(F.trim("line"), " "), 1, 5), " "))
-            return titled.selectExpr(*_columns(_CLAUSE), f"{_PARENT} AS parent", "title").withColumn("topics", source.topics_of(F.col("title")))
+            return titled.withColumn("topics", source.topics_of(F.col("line"))).selectExpr(*_columns(_CLAUSE), f"{_PARENT} AS parent", "title", "topics")
         if name == "branches":
             told = self.qa.where("n_branches > 0").select("row_id", F.explode(F.sequence(F.lit(1), F.least(F.lit(3), F.col("n_branches").cast("int")))).alias("branch_pos"))
             return told.withColumn("answer", F.when(F.col("branch_pos") == 1, "Within 12 hours. ").otherwise("Later. "))

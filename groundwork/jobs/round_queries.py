@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from groundwork.jobs.bindings import Tables, with_tables
+from groundwork.jobs.bindings import PROVIDER, Tables, with_tables
 from groundwork.jobs.rounds import flat_branches, folder_for, run_round, stored_rows
 from groundwork.jobs.row_queries import ERROR_SQL, FULL, reports
 from groundwork.jobs.score_queries import rated_pairs
@@ -78,7 +78,7 @@ def _report_tables(t: Tables):
 
 def _round(t: Tables):
     rows = stored_rows(t)
-    return run_round(rows, t.clauses, folder_for(t, "round"))
+    return run_round(rows, t.clauses, folder_for(t, "round"), PROVIDER)
 
 
 _STATES = """SELECT r.row_id, CASE WHEN NOT r.passed THEN 'dropped' WHEN r.place > 15 THEN 'over_quota' WHEN n.errors <> '' THEN 'schema_failure' ELSE 'written' END AS state

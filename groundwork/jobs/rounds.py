@@ -25,12 +25,12 @@ def flat_branches(nested: DataFrame) -> DataFrame:
     return nested.select("row_id", F.posexplode("answer_branches").alias("at", "b")).select("row_id", (F.col("at") + 1).alias("branch_pos"), F.col("b.answer").alias("answer"))
 
 
-def run_round(nested: DataFrame, clauses: DataFrame, folder: str, target: int = 15) -> DataFrame:
+def run_round(nested: DataFrame, clauses: DataFrame, folder: str, provider: str, target: int = 15) -> DataFrame:
     """row_id and state (dropped, over_quota, schema_failure or written) of every nested row; dataset, dropped and schema_failures stand in the folder."""
     rows, branches, citations = flat_rows(nested), flat_branches(nested), written(validate.flatten_citations(nested), "citations")
     keyed = rows.join(validate.cite_keys(citations), "row_id", "left").withColumn("cite_key", F.coalesce("cite_key", F.lit("")))
     twice = validate.dedupe_rows(keyed, ["category"]).select(F.col("seq").alias("row_id"))
-    report = written(validate.validate_rows(rows, branches, citations, clauses, twice), "reports")
+    report = written(validate.validate_rows(rows, branches, citations, clauses, twice, provider), "reports")
     io.write_dropped(validate.dropped_rows(nested, report), f"{folder}/dropped")
     chosen = written(quota.quota_per_category(validate.kept_rows(rows, report), target).select("row_id"), "chosen")
     errors = written(schema_gate.nested_schema_errors(nested.join(chosen, "row_id", "left_semi")), "schema-errors")

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from groundwork.functions.text import AMBIGUITY_TYPES, CONFIDENT, ESCALATION, HEDGES, question_key
-from groundwork.jobs.bindings import Tables, with_tables
+from groundwork.functions.text import AMBIGUITY_TYPES, CONFIDENT, HEDGES, escalation_words, question_key
+from groundwork.jobs.bindings import PROVIDER, Tables, with_tables
 from groundwork.operators import quota, schema_gate, validate
 
 _FOLD = "translate({0}, '“”‘’', '\"\"''''')"
 _HELD = f"contains({_FOLD.format('c.verbatim_text')}, {_FOLD.format('t.excerpt')})"
+#: The given excerpts, with quotes put in by id: in the clauses every e is a curly quote; in the excerpts it is a straight one, the same one, or none that a clause has.
+_QUOTED = "replace({0}, 'e', CASE row_id % 3 WHEN 0 THEN chr(39) WHEN 1 THEN '’' ELSE '`' END)"
+_CURLED = "replace(c.verbatim_text, 'e', '’')"
 _CITED = "citations t LEFT JOIN clauses c ON c.clause_id = t.clause_id"
 _REASONS = (
     "v1",
@@ -37,7 +40,7 @@ def _any(col: str, marks) -> str:
 
 
 _TYPES = ", ".join(f"'{x}'" for x in AMBIGUITY_TYPES)
-_V11 = f"CASE WHEN q.ambiguity_type IS NULL THEN 'no ambiguity' WHEN q.ambiguity_type NOT IN ({_TYPES}) THEN 'unknown ambiguity type' WHEN {_any('q.answer', CONFIDENT)} THEN 'confident answer' WHEN NOT q.should_escalate THEN 'no escalation flag' WHEN NOT {_any('q.answer', ESCALATION)} THEN 'no escalation words' END"
+_V11 = f"CASE WHEN q.ambiguity_type IS NULL THEN 'no ambiguity' WHEN q.ambiguity_type NOT IN ({_TYPES}) THEN 'unknown ambiguity type' WHEN {_any('q.answer', CONFIDENT)} THEN 'confident answer' WHEN NOT q.should_escalate THEN 'no escalation flag' WHEN NOT {_any('q.answer', escalation_words(PROVIDER))} THEN 'no escalation words' END"
 _KEY = r"trim(regexp_replace(lower(coalesce({0}, '')), '[^\p{{L}}\p{{N}}_]+', ' ', 'g'))"
 #: Questions for the duplicate checks are whole documents, which hold exact and near copies.
 _ASKED = ("asked", f"SELECT doc_id AS row_id, doc_id AS seq, lang, '' AS cite_key, text AS question, {_KEY.format('text')} AS key FROM documents")
@@ -66,7 +69,7 @@ def reports(t: Tables):
     t.write("clauses", "qa", "citations")
     keyed = t.qa.join(validate.cite_keys(t.citations), "row_id", "left").withColumn("cite_key", F.coalesce("cite_key", F.lit("")))
     twice = t.qa.select("row_id", "seq").join(validate.dedupe_rows(keyed, ["category"]), "seq", "left_semi")
-    return validate.validate_rows(t.qa, t.branches, t.citations, t.clauses, twice)
+    return validate.validate_rows(t.qa, t.branches, t.citations, t.clauses, twice, PROVIDER)
 
 
 def _own(t: Tables):
@@ -154,8 +157,8 @@ def _gone(t: Tables):
 QUERIES = {
     "v1_check_citations": (lambda t: validate.check_citations(t.qa, t.citations, t.clauses), with_tables("SELECT * FROM v1", _REASONS)),
     "v2_excerpt_match": (
-        lambda t: validate.cited(t.citations, t.clauses).where("clause_text IS NOT NULL").select("row_id", "cite_pos", validate.holds_excerpt(F.concat(F.lit("“a”"), "clause_text"), F.concat(F.lit('"a"'), F.substring("clause_text", 1, 3), F.when(F.col("excerpt").contains("zz"), "~").otherwise(""))).alias("held")),
-        with_tables("SELECT t.row_id, t.cite_pos, contains(c.verbatim_text, substr(c.verbatim_text, 1, 3) || CASE WHEN contains(t.excerpt, 'zz') THEN '~' ELSE '' END) AND (NOT contains(t.excerpt, 'zz') OR starts_with(c.verbatim_text, substr(c.verbatim_text, 1, 3) || '~')) AS held FROM citations t JOIN clauses c USING (clause_id)"),
+        lambda t: validate.cited(t.citations, t.clauses).where("clause_text IS NOT NULL").select("row_id", "cite_pos", validate.holds_excerpt(F.replace("clause_text", F.lit("e"), F.lit("’")), F.expr(_QUOTED.format("excerpt"))).alias("held")),
+        with_tables(f"SELECT t.row_id, t.cite_pos, contains({_FOLD.format(_CURLED)}, {_FOLD.format(_QUOTED.format('t.excerpt'))}) AS held FROM citations t JOIN clauses c USING (clause_id)"),
     ),
     "v3_check_grounding": (lambda t: validate.check_grounding(t.qa, t.branches, t.citations, t.clauses), with_tables("SELECT * FROM v3", _GROUNDING)),
     "v4_check_self_containment": (lambda t: t.qa.select("row_id", validate.self_containment_reason(F.col("question")).alias("reason")), with_tables(f"SELECT row_id, {_V4} AS reason FROM qa")),
@@ -165,7 +168,7 @@ QUERIES = {
     "v8_dedupe_rows": (lambda t: validate.dedupe_rows(_asked(t), ["lang"]), with_tables("SELECT row_id AS seq FROM v8_gone", _ASKED, *_first_fit("SELECT row_id, lang, cite_key, key FROM asked", "lang", "v8_"))),
     "v9_check_struct_a": (lambda t: _own(t).where("category = 'A'").select("row_id", validate.struct_a_reason(F.col("n_own"), F.col("answer")).alias("reason")), with_tables(f"SELECT row_id, {_V9} AS reason FROM qa q WHERE category = 'A'")),
     "v10_check_struct_b": (lambda t: t.qa.where("category = 'B'").select("row_id", validate.struct_b_reason(F.col("clarifying_question"), F.col("clarification_axis"), F.col("n_branches")).alias("reason")), with_tables(f"SELECT row_id, {_V10} AS reason FROM qa q WHERE category = 'B'")),
-    "v11_check_struct_c": (lambda t: t.qa.where("category = 'C'").select("row_id", validate.struct_c_reason(F.col("ambiguity_type"), F.col("answer"), F.col("should_escalate")).alias("reason")), with_tables(f"SELECT row_id, {_V11} AS reason FROM qa q WHERE category = 'C'")),
+    "v11_check_struct_c": (lambda t: t.qa.where("category = 'C'").select("row_id", validate.struct_c_reason(F.col("ambiguity_type"), F.col("answer"), F.col("should_escalate"), PROVIDER).alias("reason")), with_tables(f"SELECT row_id, {_V11} AS reason FROM qa q WHERE category = 'C'")),
     "v12_validate_rows": (lambda t: _flat_report(reports(t)), with_tables("SELECT row_id, category, checks, reasons, passed FROM report", *FULL)),
     "v12_pass_rate": (lambda t: reports(t).groupBy("category").agg(F.count("*").alias("n"), F.count_if("passed").alias("n_passed")), with_tables("SELECT category, count(*) AS n, count(*) FILTER (passed) AS n_passed FROM report GROUP BY category", *FULL)),
     "v13_strict_citation_audit": (

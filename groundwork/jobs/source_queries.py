@@ -105,8 +105,8 @@ QUERIES = {
     "c9_orphan_parents": (lambda t: source.orphan_parents(t.clauses), with_tables("SELECT clause_id, parent FROM clauses WHERE parent IS NOT NULL AND parent NOT IN (SELECT clause_id FROM clauses)")),
     "c9_repaired_parents": (lambda t: source.without_orphans(t.clauses), with_tables("SELECT c.clause_id, p.clause_id AS parent FROM clauses c LEFT JOIN clauses p ON c.parent = p.clause_id")),
     "c10_missing_topics": (
-        lambda t: source.missing_topics(t.clauses, t.documents.select(F.explode(source.topics_of(F.col("text"))).alias("topic"))),
-        with_tables(r"SELECT DISTINCT topic FROM (SELECT unnest(list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}]+'), lambda x: length(x) >= 5)) AS topic FROM documents) r WHERE topic NOT IN (SELECT topic FROM ct)", _CT),
+        lambda t: source.missing_topics(t.clauses, t.pages.select(F.explode(source.topics_of(source.html_to_text(F.col("html")))).alias("topic"))),
+        with_tables(rf"SELECT DISTINCT topic FROM (SELECT unnest(list_filter(string_split_regex(lower({_HTML}), '[^\p{{L}}]+'), lambda x: length(x) >= 5)) AS topic FROM pages) r WHERE topic NOT IN (SELECT topic FROM ct)", _CT),
     ),
     "c11_tree_integrity": (
         lambda t: source.tree_integrity(_nodes(t), t.lines, t.documents),

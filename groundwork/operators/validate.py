@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundwork.functions.text import AMBIGUITY_TYPES, CONFIDENT, ESCALATION, HEDGES, PRIOR_TURN, PRONOUN_START, claims_of, has_any, holds_excerpt, jaccard, question_key, text_or_empty, token_set, word_pattern
+from groundwork.functions.text import AMBIGUITY_TYPES, CONFIDENT, HEDGES, PRIOR_TURN, PRONOUN_START, claims_of, escalation_words, has_any, holds_excerpt, jaccard, question_key, text_or_empty, token_set, word_pattern
 from groundwork.operators.greedy import first_fit, written
 
 
@@ -83,14 +83,14 @@ def struct_b_reason(clarifier: Column, axis: Column, n_branches: Column) -> Colu
     return F.when(F.trim(c) == "", "no clarifying question").when(F.trim(a) == "", "no axis").when(~named, "axis not named").when(F.coalesce(n_branches, F.lit(0)) < 2, "fewer than 2 branches")
 
 
-def struct_c_reason(ambiguity_type: Column, answer: Column, escalate: Column, confident: Sequence[str] = CONFIDENT, escalation: Sequence[str] = ESCALATION, types: Sequence[str] = AMBIGUITY_TYPES) -> Column:
+def struct_c_reason(ambiguity_type: Column, answer: Column, escalate: Column, provider: str, confident: Sequence[str] = CONFIDENT, types: Sequence[str] = AMBIGUITY_TYPES) -> Column:
     low = F.lower(F.coalesce(answer, F.lit("")))
     return (
         F.when(ambiguity_type.isNull(), "no ambiguity")
         .when(~ambiguity_type.isin(*types), "unknown ambiguity type")
         .when(has_any(low, confident), "confident answer")
         .when(~F.coalesce(escalate, F.lit(False)), "no escalation flag")
-        .when(~has_any(low, escalation), "no escalation words")
+        .when(~has_any(low, escalation_words(provider)), "no escalation words")
     )
 
 
@@ -157,15 +157,15 @@ def dedupe_rows(rows: DataFrame, scope: Sequence[str], least: float = 0.8) -> Da
     return out.union(sets.select("seq").join(nodes.select("seq"), "seq", "left_anti"))
 
 
-def validate_rows(rows: DataFrame, branches: DataFrame, citations: DataFrame, clauses: DataFrame, duplicates: DataFrame) -> DataFrame:
+def validate_rows(rows: DataFrame, branches: DataFrame, citations: DataFrame, clauses: DataFrame, duplicates: DataFrame, provider: str) -> DataFrame:
     """row_id, category, checks (map of check to ok or fail, in check order), reasons (of failed checks, same order) and passed.
 
-    duplicates(row_id) are the rows that fail the duplicate check; an unknown category has no check of its own.
+    duplicates(row_id) are the rows that fail the duplicate check; an unknown category has no check of its own; provider: see escalation_words.
     """
     told = rows.drop("n_own", "n_branches").join(citation_facts(citations, clauses), "row_id", "left").join(branch_facts(branches), "row_id", "left")
     told = told.join(duplicates.select("row_id", F.lit("duplicate question").alias("duplicate_reason")).distinct(), "row_id", "left")
     c = F.col("category")
-    by_category = F.when(c == "A", struct_a_reason(F.col("n_own"), F.col("answer"))).when(c == "B", struct_b_reason(F.col("clarifying_question"), F.col("clarification_axis"), F.col("n_branches"))).when(c == "C", struct_c_reason(F.col("ambiguity_type"), F.col("answer"), F.col("should_escalate")))
+    by_category = F.when(c == "A", struct_a_reason(F.col("n_own"), F.col("answer"))).when(c == "B", struct_b_reason(F.col("clarifying_question"), F.col("clarification_axis"), F.col("n_branches"))).when(c == "C", struct_c_reason(F.col("ambiguity_type"), F.col("answer"), F.col("should_escalate"), provider))
     checks = [("citations", citations_reason()), ("grounding", grounding_reason()), ("self_containment", self_containment_reason(F.col("question"))), ("duplicate", F.col("duplicate_reason"))]
     told = told.withColumn("found", F.array(*(r for _, r in checks), by_category))
     checks = [(n, F.get("found", F.lit(i))) for i, (n, _) in enumerate(checks)]

@@ -54,7 +54,7 @@ def test_a_round(spark, tmp_path):
         row(9, category="B", id="B-001", answer=None, clarifying_question="Which method is it?", clarification_axis="method", answer_branches=[branch(), branch(axis_value="bank", clause_citations=[CITE])]),
         row(10, category="C", id="C-001", answer="Please escalate.", should_escalate=True, confidence="low", ambiguity={"type": "silent", "what_is_known": "k", "what_is_missing": "m"}),
     ]
-    got = {r.row_id: r.state for r in rounds.run_round(stored(spark, tmp_path, data), clauses, str(tmp_path / "out"), target=4).collect()}
+    got = {r.row_id: r.state for r in rounds.run_round(stored(spark, tmp_path, data), clauses, str(tmp_path / "out"), "the provider", target=4).collect()}
     assert got == {1: "written", 2: "dropped", 3: "dropped", 4: "dropped", 5: "schema_failure", 6: "written", 7: "written", 8: "over_quota", 9: "written", 10: "written"}
     written = io.read_rows(spark, str(tmp_path / "out/dataset"), rounds.ROW_SCHEMA)
     assert sorted(r.row_id for r in written.collect()) == [1, 6, 7, 9, 10]
@@ -66,7 +66,7 @@ def test_a_round(spark, tmp_path):
 
 def test_a_round_of_no_rows(spark, tmp_path):
     clauses = spark.createDataFrame([], "clause_id string, verbatim_text string")
-    assert rounds.run_round(stored(spark, tmp_path, [row(1)]).limit(0), clauses, str(tmp_path / "out")).count() == 0
+    assert rounds.run_round(stored(spark, tmp_path, [row(1)]).limit(0), clauses, str(tmp_path / "out"), "the provider").count() == 0
 
 
 def test_lines_end_at_every_line_end(spark):

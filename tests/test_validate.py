@@ -67,10 +67,12 @@ def test_structures(spark):
     assert of(validate.struct_b_reason(lit("Which one?"), lit("a__b"), lit(2))) is None  # an empty token is in any text
     assert of(validate.struct_b_reason(lit("Which one?"), lit("account"), lit(2))) == "axis not named"
     assert of(validate.struct_b_reason(lit("Which method?"), lit("method"), lit(1))) == "fewer than 2 branches"
-    assert of(validate.struct_c_reason(lit("silent"), lit("For your information."), lit(True))) is None
-    assert of(validate.struct_c_reason(lit("silent"), lit("Clearly, escalate."), lit(True))) == "confident answer"
-    assert of(validate.struct_c_reason(lit("silent"), lit("Escalate."), lit(False))) == "no escalation flag"
-    assert of(validate.struct_c_reason(lit("odd"), lit("Escalate."), lit(True))) == "unknown ambiguity type"
+    assert of(validate.struct_c_reason(lit("silent"), lit("For your information."), lit(True), "Acme Bank")) is None
+    assert of(validate.struct_c_reason(lit("silent"), lit("Clearly, escalate."), lit(True), "Acme Bank")) == "confident answer"
+    assert of(validate.struct_c_reason(lit("silent"), lit("Escalate."), lit(False), "Acme Bank")) == "no escalation flag"
+    assert of(validate.struct_c_reason(lit("silent"), lit("Contact ACME Bank."), lit(True), "Acme Bank")) is None
+    assert of(validate.struct_c_reason(lit("silent"), lit("Contact the bank."), lit(True), "Acme Bank")) == "no escalation words"
+    assert of(validate.struct_c_reason(lit("odd"), lit("Escalate."), lit(True), "Acme Bank")) == "unknown ambiguity type"
 
 
 def test_key_keeps_accents(spark):
