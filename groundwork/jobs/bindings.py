@@ -30,6 +30,11 @@ SHARED = {
         CASE WHEN (q.seq + c.line_no) % 13 = 5 THEN NULL ELSE c.clause_id || CASE WHEN (q.seq + c.line_no) % 11 = 0 THEN '-x' ELSE '' END END AS clause_id,
         CASE WHEN q.seq % 4 = 0 AND c.line_no > 2 THEN '' ELSE substr(c.verbatim_text, 2, 25) END || CASE WHEN (q.seq + c.line_no) % 7 = 0 THEN 'zz' ELSE '' END AS excerpt
         FROM {qa} q JOIN {clauses} c ON c.doc_id = q.conv_id AND c.line_no <= CASE WHEN q.seq % 6 = 0 THEN 0 WHEN q.category = 'B' THEN 4 ELSE 2 END""",
+    "retries": r"""SELECT row_id, seq, category, CASE WHEN row_id % 4 = 0 THEN question ELSE regexp_replace(question, '^(It is: |As you mentioned, )', '') END AS question,
+        regexp_replace(answer, '^(It might depend[.] |Clearly so[.] |Settled within 7 days[.] )', 'Please escalate this. ') AS answer, CASE WHEN category = 'B' THEN 'Which payment method do you mean?' END AS clarifying_question, 'payment_method' AS clarification_axis,
+        'silent' AS ambiguity_type, TRUE AS should_escalate FROM {qa} WHERE conv_id % 5 <> 4""",
+    "retry_branches": "SELECT r.row_id, b.branch_pos, 'Later. ' AS answer FROM {retries} r JOIN (SELECT 1 AS branch_pos UNION ALL SELECT 2) b ON r.category = 'B'",
+    "retry_citations": "SELECT t.row_id, t.branch_pos, t.cite_pos, regexp_replace(t.clause_id, '-x$', '') AS clause_id, regexp_replace(t.excerpt, 'zz$', '') AS excerpt FROM {citations} t JOIN {retries} r ON r.row_id = t.row_id WHERE t.clause_id IS NOT NULL",
     "spans": "SELECT doc_id, line_no AS line_start, line_no + CASE WHEN line_no % 7 = 1 THEN 2 ELSE 0 END AS line_end FROM {lines} WHERE line_no % 4 <> 3",
     "sections": "SELECT doc_id, line_no AS line_start, line_no + 1 AS line_end FROM {lines} WHERE line_no % 4 = 3",
     "rated": """SELECT event_id AS row_id, event_type AS dim, CAST(1 + floor(value) % 5 AS INT) AS a, CAST(CASE WHEN event_id % 9 = 0 THEN NULL ELSE 1 + (event_id + user_id) % 5 END AS INT) AS b FROM {events}
@@ -90,7 +95,7 @@ class Tables:
             return told.withColumn("answer", F.when(F.col("branch_pos") == 1, "Within 12 hours. ").otherwise("Later. "))
         if name in SHARED:
             sql = SHARED[name]
-            return self.spark.sql(sql, **{t: getattr(self, t) for t in (*GIVEN, "lines", "clauses", "qa") if "{" + t + "}" in sql}) if name != "responses" else self.spark.sql(sql.replace("'{\"", "'@\"").replace("{ \"", "@ \"").replace("}'", "#'"), qa=self.qa).withColumn("content", F.translate("content", "@#", "{}"))
+            return self.spark.sql(sql, **{t: getattr(self, t) for t in (*GIVEN, "lines", "clauses", "qa", "citations", "retries") if "{" + t + "}" in sql}) if name != "responses" else self.spark.sql(sql.replace("'{\"", "'@\"").replace("{ \"", "@ \"").replace("}'", "#'"), qa=self.qa).withColumn("content", F.translate("content", "@#", "{}"))
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
@@ -102,7 +107,7 @@ def _columns(sql: str) -> list[str]:
 def with_tables(select: str, *more: tuple[str, str]) -> str:
     """Comparison SQL: select over the logical tables, and more (name, SQL) tables; one whose name ends in ! is made once."""
     plain = {name: sql for name, sql in SHARED.items()}
-    for name in (*GIVEN, "lines", "clauses", "qa"):
+    for name in (*GIVEN, "lines", "clauses", "qa", "citations", "retries"):
         plain = {k: v.replace("{" + name + "}", name) for k, v in plain.items()}
     tables = [("lines", _LINES), ("clauses", _CLAUSES), *plain.items(), *more]
     return "WITH RECURSIVE " + ",\n".join(f"{name.rstrip('!')} AS {'MATERIALIZED ' if name.endswith('!') else ''}({sql})" for name, sql in tables) + "\n" + select

@@ -117,10 +117,51 @@ _REPORT = (
 FULL = (_REASONS, _GROUNDING, *_DUP, _REPORT)
 
 
-def _attempts(t: Tables):
-    first = reports(t).select("row_id", F.lit(1).alias("attempt"), "passed", "reasons")
-    again = t.qa.where("n_branches > 0").select("row_id", F.lit(2).alias("attempt"), (F.col("row_id") % 2 == 0).alias("passed"), F.array().cast("array<string>").alias("reasons"))
-    return first.unionByName(again)
+def _with_retries(t: Tables):
+    t.write("clauses", "qa", "citations", "retries", "retry_citations")
+    found = validate.validate_with_retries((t.qa, t.branches, t.citations), (t.retries.withColumn("n_branches", F.lit(0)), t.retry_branches, t.retry_citations), t.clauses, ["category"], PROVIDER)
+    return found.select("row_id", "passed", "regen_count", "feedback", F.array_join("reasons", "; ").alias("reasons"))
+
+
+def _checked(p: str, qa: str, branches: str, citations: str, n_branches: str) -> list[tuple[str, str]]:
+    """Tables whose last, {p}alone, has the reasons r1, r2, r3 and r5 (all but that of the duplicate check) of one attempt of each row."""
+    named = {"qa q": f"{qa} q", "FROM qa ": f"FROM {qa} ", "FROM branches": f"FROM {branches}", "citations t": f"{citations} t"}
+
+    def of(sql: str) -> str:
+        for k, v in named.items():
+            sql = sql.replace(k, v)
+        return sql.replace("q.n_branches", n_branches)
+
+    return [
+        (f"{p}v1", of(_REASONS[1])),
+        (f"{p}v3", of(_GROUNDING[1])),
+        (f"{p}alone!", of(f"SELECT q.row_id, v1.citations_reason AS r1, v3.grounding_reason AS r2, {_V4} AS r3, CASE q.category WHEN 'A' THEN {_V9} WHEN 'B' THEN {_V10} ELSE {_V11} END AS r5 FROM qa q JOIN {p}v1 v1 USING (row_id) JOIN {p}v3 v3 USING (row_id)")),
+    ]
+
+
+def _keyed(attempt: int, rows: str, citations: str) -> str:
+    cited = f"(SELECT row_id, string_agg(DISTINCT coalesce(clause_id, ''), '|' ORDER BY coalesce(clause_id, '')) AS cite_key FROM {citations} WHERE branch_pos = 0 GROUP BY row_id)"
+    return f"SELECT q.row_id * 2 + {attempt} AS row_id, q.category, coalesce(k.cite_key, '') AS cite_key, {_KEY.format('q.question')} AS key FROM {rows} q LEFT JOIN {cited} k ON k.row_id = q.row_id"
+
+
+_GOOD = "coalesce(r1, r2, r3, r5) IS NULL"
+#: Originals (even) and retries (odd) in one order; a pass by recursion over all of them, in which a retry is there only if its original failed.
+_RETRIED = (
+    *_checked("f_", "qa", "branches", "citations", "q.n_branches"),
+    *_checked("g_", "retries", "retry_branches", "retry_citations", "(SELECT count(*) FROM retry_branches b WHERE b.row_id = q.row_id)"),
+    *_first_fit(_keyed(0, "qa", "citations") + " UNION ALL " + _keyed(1, "retries", "retry_citations"), "category", "s_")[:-2],
+    ("events!", f"SELECT r.row_id AS id, row_number() OVER (ORDER BY r.row_id) AS n, coalesce(b.earlier, CAST([] AS BIGINT[])) AS earlier, {_GOOD} AS original_good FROM s_rows r LEFT JOIN s_before b ON b.b = r.row_id JOIN f_alone f ON f.row_id = r.row_id // 2"),
+    (
+        "told",
+        "SELECT CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS kept, CAST([] AS BIGINT[]) AS twice UNION ALL SELECT n, CASE WHEN there AND NOT hit THEN list_append(kept, id) ELSE kept END, CASE WHEN there AND hit THEN list_append(twice, id) ELSE twice END FROM "
+        "(SELECT e.n, e.id, t.kept, t.twice, e.id % 2 = 0 OR NOT e.original_good OR list_contains(t.twice, e.id - 1) AS there, len(list_filter(e.earlier, lambda x: list_contains(t.kept, x))) > 0 AS hit FROM told t JOIN events e ON e.n = t.n + 1) z",
+    ),
+    ("again", "SELECT DISTINCT unnest(twice) AS id FROM (SELECT twice FROM told ORDER BY n DESC LIMIT 1) x"),
+    (
+        "attempts",
+        "SELECT row_id, attempt, concat_ws('; ', r1, r2, r3, CASE WHEN id IS NOT NULL THEN 'duplicate question' END, r5) AS reasons FROM (SELECT f.*, 1 AS attempt, a.id FROM f_alone f LEFT JOIN again a ON a.id = f.row_id * 2 UNION ALL SELECT g.*, 2, a.id FROM g_alone g LEFT JOIN again a ON a.id = g.row_id * 2 + 1) x",
+    ),
+)
 
 
 _ERRORS = [
@@ -176,8 +217,11 @@ QUERIES = {
         with_tables(f"SELECT * FROM (SELECT t.row_id, t.branch_pos, t.cite_pos, CASE WHEN c.clause_id IS NULL AND t.branch_pos > 0 THEN 'unknown_clause_in_branch' WHEN c.clause_id IS NULL THEN 'unknown_clause' WHEN NOT contains(c.verbatim_text, t.excerpt) AND t.branch_pos > 0 THEN 'branch_excerpt_not_substring' WHEN NOT contains(c.verbatim_text, t.excerpt) THEN 'excerpt_not_substring' END AS code FROM {_CITED}) x WHERE code IS NOT NULL"),
     ),
     "v14_retry_merge": (
-        lambda t: validate.retry_merge(_attempts(t)),
-        with_tables("SELECT row_id, CASE WHEN passed THEN TRUE WHEN n_branches > 0 THEN row_id % 2 = 0 ELSE FALSE END AS passed, CASE WHEN NOT passed AND n_branches > 0 THEN 1 ELSE 0 END AS regen_count, CASE WHEN passed THEN '' ELSE reasons END AS feedback FROM report JOIN (SELECT row_id, n_branches FROM qa) q USING (row_id)", *FULL),
+        _with_retries,
+        with_tables(
+            "SELECT o.row_id, CASE WHEN o.reasons <> '' AND r.row_id IS NOT NULL THEN r.reasons = '' ELSE o.reasons = '' END AS passed, CASE WHEN o.reasons <> '' AND r.row_id IS NOT NULL THEN 1 ELSE 0 END AS regen_count, o.reasons AS feedback, CASE WHEN o.reasons <> '' AND r.row_id IS NOT NULL THEN r.reasons ELSE o.reasons END AS reasons FROM (SELECT * FROM attempts WHERE attempt = 1) o LEFT JOIN (SELECT * FROM attempts WHERE attempt = 2) r ON r.row_id = o.row_id",
+            *_RETRIED,
+        ),
     ),
     "v15_split_kept": (lambda t: validate.kept_rows(t.qa, reports(t)).select("row_id"), with_tables("SELECT row_id FROM report WHERE passed", *FULL)),
     "v15_split_dropped": (lambda t: validate.dropped_rows(t.qa, reports(t)).select("row_id", F.array_join("reasons", "; ").alias("reasons")), with_tables("SELECT row_id, reasons FROM report WHERE NOT passed", *FULL)),

@@ -37,41 +37,47 @@ BLOCK = 20_000
 
 
 def _block_pass(nodes: DataFrame, links: DataFrame, blocks: int) -> DataFrame:
-    """seq of the nodes(block, seq, key, set, waits) that are kept whatever earlier blocks keep; links(block, s1, s2) lie within a block.
+    """seq and kept (false: absent) of the nodes(block, seq, key, set, waits, needs) that are decided whatever earlier blocks keep, but for dropped ones; links(block, s1, s2) lie within a block.
 
-    A task passes through a block in seq order. A node with a kept neighbour is dropped, one that waits for an earlier block, or has a neighbour that does, waits, and the others are kept.
+    A task passes through a block in seq order. A node with a kept neighbour is dropped, one that waits for an earlier block, or has a neighbour that does, waits, and the others are
+    kept. A node that needs another one, of the same block, to be dropped is absent if that one is kept, and waits while it does.
     """
-    told = links.select("block", F.lit(-1).cast("long").alias("seq"), F.col("s1").alias("key"), F.col("s2").alias("set"), F.lit(False).alias("waits")).union(nodes.select("block", "seq", "key", "set", "waits"))
+    none = F.lit(None).cast("long")
+    told = links.select("block", F.lit(-1).cast("long").alias("seq"), F.col("s1").alias("key"), F.col("s2").alias("set"), F.lit(False).alias("waits"), none.alias("needs")).union(nodes.select("block", "seq", "key", "set", "waits", "needs"))
 
     def run(batches):
         block, near, kept, waiting = None, {}, set(), set()
         for batch in batches:
             out = []
-            for b, seq, key, own, waits in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for b, seq, key, own, waits, needs in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 if b != block:
                     block, near, kept, waiting = b, {}, set(), set()
                 if seq < 0:  # a link: these come first
                     near.setdefault(key, []).append(own)
                     continue
+                if needs in kept:
+                    out.append((seq, False))
+                    continue
                 met = [(key,), *(() if own is None else (own, *near.get(own, ())))]
-                if not kept.isdisjoint(met):
+                if not kept.isdisjoint(met) and needs not in waiting:
                     continue
-                mine = waiting if waits or not waiting.isdisjoint(met) else kept
-                mine.add((key,))
+                mine = waiting if waits or needs in waiting or not waiting.isdisjoint(met) else kept
+                mine.update((seq, (key,)))
                 if own is not None:
                     mine.add(own)
                 if mine is kept:
-                    out.append(seq)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["seq"])
+                    out.append((seq, True))
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.bool_())], names=["seq", "kept"])
 
-    return told.repartition(blocks, "block").sortWithinPartitions("block", "seq").mapInArrow(run, "seq long")
+    return told.repartition(blocks, "block").sortWithinPartitions("block", "seq").mapInArrow(run, "seq long, kept boolean")
 
 
 def first_fit(nodes: DataFrame, near: DataFrame, block: int = BLOCK) -> DataFrame:
     """seq (0 or more, distinct) of the nodes(seq, key, set) that a pass in seq order drops.
 
     A node is dropped if an earlier kept node has its key or its set, or a set that near(s1, s2; both directions) links with its set; otherwise it is kept and
-    knocks out others. Null sets are linked with nothing. Links are between sets, so no pairs of nodes are ever made.
+    knocks out others. Null sets are linked with nothing. Links are between sets, so no pairs of nodes are ever made. Nodes may have needs, the seq of an earlier node: they exist only if
+    that one is dropped, else they neither are dropped nor knock out.
 
     The nodes are cut into blocks of consecutive ones, of at most about `block`. In each round the tasks pass through all blocks at once; what depends on an earlier
     block waits for the next round. The first live block is always decided, so there are at most as many rounds as blocks, and a chain of links within a
@@ -79,26 +85,37 @@ def first_fit(nodes: DataFrame, near: DataFrame, block: int = BLOCK) -> DataFram
     """
     n = nodes.count()
     blocks = max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // block))
-    live = cut(nodes.select(F.col("seq").cast("long").alias("seq"), "key", "set").repartitionByRange(blocks, "seq").withColumn("block", F.spark_partition_id()))
+    conditional = "needs" in nodes.columns
+    told = nodes.select(F.col("seq").cast("long").alias("seq"), "key", "set", (F.col("needs") if conditional else F.lit(None)).cast("long").alias("needs"))
+    live = cut(told.withColumn("together", F.coalesce("needs", "seq")).repartitionByRange(blocks, "together").select("seq", "key", "set", "needs", F.lit(False).alias("lost"), F.spark_partition_id().alias("block")))
     links = cut(near.select("s1", "s2").where("s1 <> s2").distinct())
     dropped = live.select("seq").limit(0)
     while live.take(1):
-        by_key = live.groupBy("key").agg(F.min("block").alias("key_block"))
-        by_set = live.where("set IS NOT NULL").groupBy("set").agg(F.min("block").alias("set_block"))
+        open_ = live.where("NOT lost")  # what has a kept neighbour but may be absent touches nothing more
+        by_key = open_.groupBy("key").agg(F.min("block").alias("key_block"))
+        by_set = open_.where("set IS NOT NULL").groupBy("set").agg(F.min("block").alias("set_block"))
         by_link = links.join(by_set.withColumnRenamed("set", "s1"), "s1").groupBy(F.col("s2").alias("set")).agg(F.min("set_block").alias("near_block"))
         first = F.least("key_block", "set_block", "near_block")
-        placed = live.join(by_key, "key", "left").join(by_set, "set", "left").join(by_link, "set", "left")
-        held = live.where("set IS NOT NULL").select("block", "set").distinct()
+        placed = open_.join(by_key, "key", "left").join(by_set, "set", "left").join(by_link, "set", "left")
+        held = open_.where("set IS NOT NULL").select("block", "set").distinct()
         inside = links.join(held.withColumnRenamed("set", "s1"), "s1").join(held.withColumnRenamed("set", "s2"), ["block", "s2"])
-        kept_seqs = cut(_block_pass(placed.select("block", "seq", "key", "set", (first < F.col("block")).alias("waits")), inside, blocks))
-        kept = cut(live.join(kept_seqs, "seq", "left_semi").select("seq", "key", "set"))
+        decided = cut(_block_pass(placed.select("block", "seq", "key", "set", (first < F.col("block")).alias("waits"), "needs"), inside, blocks))
+        kept = cut(live.join(decided.where("kept").select("seq"), "seq", "left_semi").select("seq", "key", "set"))
         hit_keys = kept.select("key", F.col("seq").alias("kept_key"))
         own = kept.where("set IS NOT NULL").select("set", "seq")
         reached = links.join(own.select(F.col("set").alias("s1"), "seq"), "s1").select(F.col("s2").alias("set"), "seq").union(own)
         hit_sets = reached.groupBy("set").agg(F.min("seq").alias("kept_set"))
-        marked = cut(live.join(kept.select("seq"), "seq", "left_anti").join(hit_keys, "key", "left").join(hit_sets, "set", "left").withColumn("out", F.col("kept_key").isNotNull() | F.coalesce(F.col("kept_set") < F.col("seq"), F.lit(False))))
-        dropped = dropped.union(marked.where("out").select("seq"))
-        live = marked.where("NOT out").select("seq", "key", "set", "block")
+        hit = F.col("lost") | F.coalesce(F.col("kept_key") < F.col("seq"), F.lit(False)) | F.coalesce(F.col("kept_set") < F.col("seq"), F.lit(False))
+        marked = live.join(decided.select("seq"), "seq", "left_anti").join(hit_keys, "key", "left").join(hit_sets, "set", "left")
+        marked = cut(marked.select("seq", "key", "set", "needs", "block", hit.alias("out")))
+        gone = marked.where("out AND needs IS NULL").select("seq")
+        dropped, rest = dropped.union(gone), marked.where("NOT out OR needs IS NOT NULL")
+        if conditional:  # what needs a node dropped now exists; what needs one kept now does not
+            met, missed = gone.select(F.col("seq").alias("needs"), F.lit(True).alias("met")), kept.select(F.col("seq").alias("needs"))
+            rest = cut(rest.join(missed, "needs", "left_anti").join(met, "needs", "left").withColumn("met", F.coalesce("met", F.lit(False))))
+            dropped = dropped.union(rest.where("out AND met").select("seq"))
+            rest = rest.where("NOT (out AND met)").withColumn("needs", F.when(~F.col("met"), F.col("needs")))
+        live = rest.select("seq", "key", "set", "needs", F.col("out").alias("lost"), "block")
     return dropped
 
 

@@ -146,15 +146,27 @@ def near_duplicate_pairs(rows: DataFrame, scope: Sequence[str], least: float = 0
 def dedupe_rows(rows: DataFrame, scope: Sequence[str], least: float = 0.8) -> DataFrame:
     """seq of the rows that an earlier registered row of their scope makes a duplicate (same key, or same citations and near key).
 
-    A duplicate is not registered, so it knocks out nothing. Copies in both key and citations are all dropped but the first, which stands for them.
+    A duplicate is not registered, so it knocks out nothing. Copies in both key and citations are all dropped but the first, which stands for them. Rows may have
+    needs, the seq of an earlier row without needs: they come in only if that one is a duplicate.
     """
-    sets = written(question_sets(rows, scope), "question-sets")
     same = [*scope, "key", "cite_key"]
-    nodes = sets.groupBy(*same).agg(F.min("seq").alias("seq"), F.first("set").alias("set"))
+    conditional = "needs" in rows.columns
+    sets = question_sets(rows, scope)
+    sets = written(sets.join(rows.where("needs IS NOT NULL").select("seq", "needs"), "seq", "left") if conditional else sets, "question-sets")
+    sure = sets.where("needs IS NULL") if conditional else sets
+    nodes = sure.groupBy(*same).agg(F.min("seq").alias("seq"), F.first("set").alias("set"))
+    if conditional:
+        nodes = written(nodes, "first-copies")
+    copies = sure.select("seq").join(nodes.select("seq"), "seq", "left_anti")
+    if conditional:
+        copies = written(copies, "copies")
+        if_dropped = sets.where("needs IS NOT NULL").join(copies.select(F.col("seq").alias("needs"), F.lit(True).alias("copy")), "needs", "left")
+        needs = F.when(F.col("copy").isNull(), F.col("needs")).alias("needs")
+        nodes = nodes.withColumn("needs", F.lit(None).cast("long")).unionByName(if_dropped.select(*same, "seq", "set", needs))
     key = F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in scope), F.lit(":"), "key")
     near = written(near_sets(sets, scope, least).select("s1", "s2"), "near-sets")
-    out = first_fit(nodes.select("seq", key.alias("key"), "set"), near.select("s1", "s2").union(near.select("s2", "s1")))
-    return out.union(sets.select("seq").join(nodes.select("seq"), "seq", "left_anti"))
+    out = first_fit(nodes.select("seq", key.alias("key"), "set", *(["needs"] if conditional else [])), near.select("s1", "s2").union(near.select("s2", "s1")))
+    return out.union(copies)
 
 
 def validate_rows(rows: DataFrame, branches: DataFrame, citations: DataFrame, clauses: DataFrame, duplicates: DataFrame, provider: str) -> DataFrame:
@@ -194,6 +206,29 @@ def retry_merge(attempts: DataFrame) -> DataFrame:
     return both.select("row_id", F.when(used, F.col("p2")).otherwise(F.col("p1")).alias("passed"), used.cast("int").alias("regen_count"), F.when(~F.col("p1"), F.col("feedback")).otherwise("").alias("feedback"))
 
 
+def validate_with_retries(first: Sequence[DataFrame], again: Sequence[DataFrame], clauses: DataFrame, scope: Sequence[str], provider: str) -> DataFrame:
+    """row_id, passed, regen_count, feedback (reasons of the original that failed) and reasons (of what counts) of rows with at most one retry each.
+
+    first and again are rows, branches and citations of the originals and of the retries, which have their original's row_id and seq. All stand in one order, a retry right after its original, and carry
+    one state: an original that fails only in other checks has registered its question, so a retry that asks it again is a duplicate; a retry of an original that passes is never asked.
+    """
+    none = first[0].sparkSession.createDataFrame([], "row_id long")
+    alone = validate_rows(*first, clauses, none, provider).select("row_id", F.col("passed").alias("good"))
+
+    def keyed(tables: Sequence[DataFrame]) -> DataFrame:
+        return tables[0].join(cite_keys(tables[2]), "row_id", "left").select(*scope, "row_id", "seq", "question", F.coalesce("cite_key", F.lit("")).alias("cite_key"))
+
+    originals = keyed(first).withColumn("seq", F.col("seq") * 2).withColumn("needs", F.lit(None).cast("long"))
+    asked = keyed(again).join(alone, "row_id").withColumn("needs", F.when(F.col("good"), F.col("seq") * 2)).withColumn("seq", F.col("seq") * 2 + 1).drop("good")
+    stream = written(originals.unionByName(asked), "attempts")
+    twice = written(stream.join(dedupe_rows(stream, scope), "seq", "left_semi").select("row_id", (F.col("seq") % 2 + 1).alias("attempt")), "duplicates")
+    checked = [validate_rows(*tables, clauses, twice.where(F.col("attempt") == i), provider).select("row_id", F.lit(i).alias("attempt"), "passed", "reasons") for i, tables in ((1, first), (2, again))]
+    told = written(checked[0].unionByName(checked[1]), "checked")
+    merged = retry_merge(told)
+    used = merged.select("row_id", (F.col("regen_count") + 1).alias("attempt")).join(told.select("row_id", "attempt", "reasons"), ["row_id", "attempt"])
+    return merged.join(used.drop("attempt"), "row_id")
+
+
 def kept_rows(rows: DataFrame, report: DataFrame) -> DataFrame:
     return rows.join(report.where("passed").select("row_id"), "row_id", "left_semi")
 
