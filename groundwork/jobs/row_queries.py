@@ -41,9 +41,9 @@ def _any(col: str, marks) -> str:
 
 _TYPES = ", ".join(f"'{x}'" for x in AMBIGUITY_TYPES)
 _V11 = f"CASE WHEN q.ambiguity_type IS NULL THEN 'no ambiguity' WHEN q.ambiguity_type NOT IN ({_TYPES}) THEN 'unknown ambiguity type' WHEN {_any('q.answer', CONFIDENT)} THEN 'confident answer' WHEN NOT q.should_escalate THEN 'no escalation flag' WHEN NOT {_any('q.answer', escalation_words(PROVIDER))} THEN 'no escalation words' END"
-_KEY = r"trim(regexp_replace(lower(coalesce({0}, '')), '[^\p{{L}}\p{{N}}_]+', ' ', 'g'))"
+KEY = r"trim(regexp_replace(lower(coalesce({0}, '')), '[^\p{{L}}\p{{N}}_]+', ' ', 'g'))"
 #: Questions for the duplicate checks are whole documents, which hold exact and near copies.
-_ASKED = ("asked", f"SELECT doc_id AS row_id, doc_id AS seq, lang, '' AS cite_key, text AS question, {_KEY.format('text')} AS key FROM documents")
+_ASKED = ("asked", f"SELECT doc_id AS row_id, doc_id AS seq, lang, '' AS cite_key, text AS question, {KEY.format('text')} AS key FROM documents")
 _SETS = ("sets", "SELECT row_id, lang, key, list_sort(list_distinct(list_filter(string_split(key, ' '), lambda x: x <> ''))) AS tokens FROM asked")
 _REPS = ("reps", "SELECT lang, tokens, min(row_id) AS row_id FROM sets WHERE len(tokens) > 0 GROUP BY lang, tokens")
 
@@ -107,7 +107,7 @@ def _first_fit(rows: str, scope: str, p: str = "") -> list[tuple[str, str]]:
 
 
 _CITE_KEYS = "(SELECT row_id, string_agg(DISTINCT coalesce(clause_id, ''), '|' ORDER BY coalesce(clause_id, '')) AS cite_key FROM citations WHERE branch_pos = 0 GROUP BY row_id)"
-_DUP = _first_fit(f"SELECT q.row_id, q.category, coalesce(k.cite_key, '') AS cite_key, {_KEY.format('q.question')} AS key FROM qa q LEFT JOIN {_CITE_KEYS} k ON k.row_id = q.row_id", "category", "dup_")
+_DUP = _first_fit(f"SELECT q.row_id, q.category, coalesce(k.cite_key, '') AS cite_key, {KEY.format('q.question')} AS key FROM qa q LEFT JOIN {_CITE_KEYS} k ON k.row_id = q.row_id", "category", "dup_")
 _REPORT = (
     "report",
     f"""SELECT row_id, category, seq, 'citations=' || {_ok('r1')} || ',duplicate=' || {_ok('r4')} || ',grounding=' || {_ok('r2')} || ',self_containment=' || {_ok('r3')} || ',structure_' || lower(category) || '=' || {_ok('r5')} AS checks,
@@ -141,7 +141,7 @@ def _checked(p: str, qa: str, branches: str, citations: str, n_branches: str) ->
 
 def _keyed(attempt: int, rows: str, citations: str) -> str:
     cited = f"(SELECT row_id, string_agg(DISTINCT coalesce(clause_id, ''), '|' ORDER BY coalesce(clause_id, '')) AS cite_key FROM {citations} WHERE branch_pos = 0 GROUP BY row_id)"
-    return f"SELECT q.row_id * 2 + {attempt} AS row_id, q.category, coalesce(k.cite_key, '') AS cite_key, {_KEY.format('q.question')} AS key FROM {rows} q LEFT JOIN {cited} k ON k.row_id = q.row_id"
+    return f"SELECT q.row_id * 2 + {attempt} AS row_id, q.category, coalesce(k.cite_key, '') AS cite_key, {KEY.format('q.question')} AS key FROM {rows} q LEFT JOIN {cited} k ON k.row_id = q.row_id"
 
 
 _GOOD = "coalesce(r1, r2, r3, r5) IS NULL"
@@ -203,7 +203,7 @@ QUERIES = {
     ),
     "v3_check_grounding": (lambda t: validate.check_grounding(t.qa, t.branches, t.citations, t.clauses), with_tables("SELECT * FROM v3", _GROUNDING)),
     "v4_check_self_containment": (lambda t: t.qa.select("row_id", validate.self_containment_reason(F.col("question")).alias("reason")), with_tables(f"SELECT row_id, {_V4} AS reason FROM qa")),
-    "v5_normalise_question": (lambda t: t.documents.select("doc_id", question_key(F.col("text")).alias("key")), f"SELECT doc_id, {_KEY.format('text')} AS key FROM documents"),
+    "v5_normalise_question": (lambda t: t.documents.select("doc_id", question_key(F.col("text")).alias("key")), f"SELECT doc_id, {KEY.format('text')} AS key FROM documents"),
     "v6_exact_duplicates": (lambda t: validate.exact_duplicates(_asked(t), ["lang"]), with_tables("SELECT row_id, first_id FROM (SELECT row_id, min(row_id) OVER (PARTITION BY lang, key) AS first_id FROM asked) x WHERE row_id <> first_id", _ASKED)),
     "v7_near_duplicate_pairs": (lambda t: validate.near_duplicate_pairs(_asked(t), ["lang"]), with_tables("SELECT * FROM near", *near_tables(0.8))),
     "v8_dedupe_rows": (lambda t: validate.dedupe_rows(_asked(t), ["lang"]), with_tables("SELECT row_id AS seq FROM v8_gone", _ASKED, *_first_fit("SELECT row_id, lang, cite_key, key FROM asked", "lang", "v8_"))),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from groundwork.jobs.bindings import Tables, with_tables
-from groundwork.jobs.row_queries import near_tables
+from groundwork.jobs.row_queries import KEY, near_tables
 from groundwork.operators import agreement, audit, catalogue, costs, scores
 
 _COMPOSITE = ("comp", "SELECT row_id, category, seq, coalesce(floor((total * 200 + n) / (n * 2)) / 100, 0.0) AS composite FROM people LEFT JOIN (SELECT row_id, CAST(sum(score) AS BIGINT) AS total, count(*) AS n FROM scores GROUP BY row_id) s USING (row_id)")
@@ -63,6 +63,14 @@ def _tasks(t: Tables):
     return scores.judge_tasks(t.qa)
 
 
+#: First rows of each distinct token set at each place of overlapping excerpts.
+_PLACES = (
+    ("spans_cited", "SELECT row_id, clause_id, strpos(verbatim_text, excerpt) AS a, strpos(verbatim_text, excerpt) + length(excerpt) - 1 AS b FROM citations t JOIN clauses c USING (clause_id) WHERE excerpt <> '' AND contains(verbatim_text, excerpt)"),
+    ("opened", "SELECT *, CASE WHEN a > coalesce(max(b) OVER (PARTITION BY clause_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) THEN a END AS o FROM spans_cited"),
+    ("places", "SELECT DISTINCT row_id, clause_id || ':' || max(o) OVER (PARTITION BY clause_id ORDER BY a, b) AS place FROM opened"),
+    ("asked_there", f"SELECT place, row_id, list_sort(list_distinct(list_filter(string_split({KEY.format('question')}, ' '), lambda x: x <> ''))) AS tokens FROM qa JOIN places USING (row_id)"),
+    ("firsts!", "SELECT place, tokens, min(row_id) AS row_id FROM asked_there WHERE len(tokens) > 0 GROUP BY place, tokens"),
+)
 _ORIGIN = "CASE WHEN doc_id % 5 = 0 THEN 'hand' WHEN doc_id % 5 < 3 THEN 'pageindex_tree' ELSE 'gap_fill_content' END"
 _TASKS = "SELECT row_id, unnest(['grounding', 'category_fit', 'clarity', 'citation_accuracy'] || CASE category WHEN 'B' THEN ['clarifier_quality'] WHEN 'C' THEN ['ambiguity_framing'] ELSE [] END) AS judge FROM qa"
 _RATES = "SELECT round, category, count(*) AS n, count(*) FILTER (verdict = 'pass') AS passed FROM verdicts GROUP BY GROUPING SETS ((round, category), (round))"
@@ -156,6 +164,10 @@ QUERIES = {
         lambda t: audit.wasted_slots(t.documents.selectExpr("doc_id AS row_id", "doc_id AS seq", "lang AS seed", "text AS question")),
         with_tables("SELECT * FROM near", *near_tables(0.5)),
     ),
+    "a12_same_excerpt": (
+        lambda t: audit.same_excerpt_slots(t.qa, t.citations, t.clauses, 0.1),
+        with_tables("SELECT DISTINCT earlier, later, similarity FROM (SELECT x.row_id AS earlier, y.row_id AS later, len(list_intersect(x.tokens, y.tokens)) / (len(x.tokens) + len(y.tokens) - len(list_intersect(x.tokens, y.tokens))) AS similarity FROM firsts x JOIN firsts y ON x.place = y.place AND x.row_id < y.row_id) z WHERE similarity >= 0.1", *_PLACES),
+    ),
     "a13_same_excerpt_branches": (lambda t: audit.same_excerpt_branches(t.citations), with_tables("SELECT row_id, excerpt FROM citations WHERE branch_pos > 0 GROUP BY row_id, excerpt HAVING count(DISTINCT branch_pos) > 1")),
     "a14_seed_provenance": (
         lambda t: audit.seed_provenance(_seeded(t), t.clauses.selectExpr("clause_id", f"{_ORIGIN} AS origin")),

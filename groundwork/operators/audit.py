@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundwork.operators.validate import near_duplicate_pairs
+from groundwork.functions.text import fold_quotes, text_or_empty
+from groundwork.operators.scans import ranged, running_max
+from groundwork.operators.validate import cited, near_duplicate_pairs
 
 
 def audit_pass_rates(verdicts: DataFrame) -> DataFrame:
@@ -88,6 +90,26 @@ def wasted_slots(rows: DataFrame, least: float = 0.5) -> DataFrame:
     return near_duplicate_pairs(rows.withColumn("cite_key", F.lit("")), ["seed"], least)
 
 
+def excerpt_places(citations: DataFrame, clauses: DataFrame) -> DataFrame:
+    """row_id, place of the citations whose excerpt stands in its clause once quotes are folded; excerpts that overlap, directly or by way of others, share a place.
+
+    Excerpts are placed where they first occur and merged by a scan over ranges, so that a clause that everyone cites need not lie in one task.
+    """
+    at = F.instr(fold_quotes(F.col("clause_text")), fold_quotes(F.col("excerpt")))
+    told = cited(citations, clauses).where(text_or_empty("excerpt") != "").select("row_id", "clause_id", at.alias("start"), F.char_length("excerpt").alias("n")).where("start > 0")
+    order = ["start", "end"]
+    spans = ranged(told.select("row_id", "clause_id", "start", (F.col("start") + F.col("n") - 1).alias("end")), "clause_id", order)
+    reached = running_max(spans, "clause_id", order, "end", "reached", False)
+    opens = reached.withColumn("opens", F.when(F.col("reached").isNull() | (F.col("start") > F.col("reached")), F.col("start")))
+    return running_max(opens, "clause_id", order, "opens", "island", True).select("row_id", F.concat_ws(":", "clause_id", "island").alias("place")).distinct()
+
+
+def same_excerpt_slots(rows: DataFrame, citations: DataFrame, clauses: DataFrame, least: float = 0.5) -> DataFrame:
+    """earlier, later, similarity of rows(row_id, seq, question) that cite overlapping excerpts and ask similar questions, whatever their seeds; per place, between the first rows of equal questions."""
+    placed = rows.select("row_id", "seq", "question", F.lit("").alias("cite_key")).join(excerpt_places(citations, clauses), "row_id")
+    return near_duplicate_pairs(placed, ["place"], least).distinct()
+
+
 def same_excerpt_branches(citations: DataFrame) -> DataFrame:
     """row_id, excerpt that two branches or more cite."""
     return citations.where("branch_pos > 0").groupBy("row_id", "excerpt").agg(F.count_distinct("branch_pos").alias("n")).where("n > 1").select("row_id", "excerpt")
