@@ -178,6 +178,10 @@ QUERIES = {
         lambda t: _responses(t).select("cand_id", F.col("error").isNull().alias("parses"), F.coalesce("parsed.question", F.lit("")).alias("question")),
         with_tables("SELECT cand_id, good IS NOT NULL AS parses, coalesce(json_extract_string(good, '$.question'), '') AS question FROM read", *_PARSED),
     ),
+    "p1_repair_responses": (
+        lambda t: parse.repair_responses(_responses(t)).select("cand_id", "repaired", F.col("error").isNull().alias("parses"), F.coalesce("parsed.question", F.lit("")).alias("question")),
+        with_tables("SELECT cand_id, good IS NULL AND content = '{\"question\": oops }' AS repaired, good IS NOT NULL OR content = '{\"question\": oops }' AS parses, coalesce(CASE WHEN good IS NOT NULL THEN json_extract_string(good, '$.question') WHEN content = '{\"question\": oops }' THEN 'oops' END, '') AS question FROM read", *_PARSED),
+    ),
     "p2_parse_rejects": (lambda t: parse.parse_rejects(_responses(t)), with_tables("SELECT cand_id, CASE WHEN t IS NULL THEN 'no JSON object' ELSE 'JSON does not parse' END AS error, content FROM read WHERE good IS NULL", *_PARSED)),
     "p3_self_rejects": (lambda t: parse.self_rejects(_responses(t)), with_tables("SELECT cand_id, substr(coalesce(json_extract_string(good, '$.reason'), ''), 1, 120) AS reason FROM read WHERE json_extract_string(good, '$.reject') = 'true'", *_PARSED)),
     "p4_normalise_rows": (

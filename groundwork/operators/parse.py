@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from groundwork.functions import tolerant_json
 from groundwork.functions.text import text_or_empty
 from groundwork.operators.greedy import numbered
 
@@ -37,6 +39,24 @@ def parse_responses(responses: DataFrame, schema: str = RESPONSE) -> DataFrame:
     return read.withColumns({"parsed": F.from_json("good", schema), "error": error}).drop("json", "good")
 
 
+def repair_responses(parsed: DataFrame, schema: str = RESPONSE) -> DataFrame:
+    """parsed (as parse_responses gives it) with repaired: responses that do not parse are read once more by the tolerant reader, from their first { on; the others stay as they are.
+
+    Only rejects go to Python. What cannot be read, or has none of the schema's fields, keeps its error.
+    """
+    fields = [f.split()[0] for f in schema.split(", ")]
+    kept, bad = parsed.where("error IS NULL"), parsed.where("error IS NOT NULL")
+
+    @F.pandas_udf("string")
+    def fixed(content: pd.Series) -> pd.Series:
+        return content.map(tolerant_json.repaired)
+
+    read = bad.withColumn("__read", F.explode(F.array(F.from_json(fixed(text_or_empty("content")), schema))))
+    some = F.coalesce(*(F.col("__read")[f].cast("string") for f in fields)).isNotNull()
+    told = read.withColumns({"parsed": F.when(some, F.col("__read")), "error": F.when(some, None).otherwise(F.col("error")), "repaired": F.coalesce(some, F.lit(False))}).drop("__read")
+    return kept.withColumn("repaired", F.lit(False)).unionByName(told)
+
+
 def parse_rejects(parsed: DataFrame) -> DataFrame:
     """cand_id, error, content of the responses that do not parse."""
     return parsed.where("error IS NOT NULL").select("cand_id", "error", "content")
