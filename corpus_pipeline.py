@@ -2,7 +2,7 @@
 
     quality        documents that the subword classifier scores under 0.5 go (learned from the labelled rows)
     exact_dedup    of equal texts the longest stays
-    near_dedup     of texts whose sets of five-word shingles are similar (0.8 or more), one stays: the smallest id
+    near_dedup     of texts whose sets of five-word shingles are similar (0.8 or more; BK-trees over SimHash fingerprints find the candidates), one stays: the smallest id
     decontaminate  documents with a passage of the benchmark go
     encode         token ids of what is left, with the text that they decode to
 

@@ -11,6 +11,8 @@ shard's key. A shard of more than SHARD fingerprints is dealt into pieces, and e
 (tree, queries) in a task of its own; so one cluster of near copies never meets in one task. A shard gives
 spanning links only (each fingerprint to one it is connected with), not all pairs.
 
+similar_texts() searches candidates for a whole-set comparison in the same way, by wide fingerprints.
+
 A shard's pairs that are connected by now are not compared again. Only distinct fingerprints are searched. Null texts count as empty; texts without words have fingerprint zero and are
 linked like any other. Equal ids stay separate rows; a null id never becomes a component's id unless it is alone.
 """
@@ -35,6 +37,10 @@ PIECE_BYTES = 4_000_000
 
 #: Sets of similarity s share one of BANDS bands of ROWS least hashes, but for a chance of (1 - s ** ROWS) ** BANDS.
 ROWS, BANDS, SETS = 5, 52, 1024
+#: Words of 64 bits of a set's wide fingerprint. Sets of similarity 0.8 differ in 155 of its 1,024 bits on average, at worst (4 shingles and the
+#: same with one more) in 192, with a standard deviation of at most 12.5; RADIUS is six of these more. Unlike sets differ in 512.
+WIDE, RADIUS = 16, 267
+_SEEDS = np.random.default_rng(11).integers(0, 1 << 64, WIDE, dtype=np.uint64)
 _MULTIPLY, _FLIP = (np.random.default_rng(10).integers(0, 1 << 32, (2, ROWS * BANDS), dtype=np.uint64) | 1).astype(np.uint32)
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -65,6 +71,51 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     return keys
 
 
+def mixed(h: np.ndarray) -> np.ndarray:
+    """64-bit hashes of 64-bit numbers (the finish of SplitMix64)."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def wide_simhash(hashes: np.ndarray) -> np.ndarray:
+    """The fingerprint of a set in WIDE words: a bit is 1 if set in over half of its members' hashes. Counts are kept as planes of bits, so 64 are added at once."""
+    planes: list[np.ndarray] = []
+    for at in range(0, len(hashes), 4096):
+        rows = mixed(hashes[at : at + 4096, None] ^ _SEEDS)
+        weight = 0
+        while len(rows):
+            # rows weigh 2 ** weight each: threes become one of that weight and one of the next, until one is left
+            carries = []
+            if weight < len(planes):
+                rows = np.concatenate([rows, planes[weight][None]])
+            while len(rows) > 1:
+                a, b, c = rows[0::3], rows[1::3], rows[2::3]
+                n, m = len(b), len(c)
+                either = a[:n] ^ b
+                both = a[:n] & b
+                both[:m] |= either[:m] & c
+                either[:m] ^= c
+                carries.append(both)
+                rows = np.concatenate([either, a[n:]])
+            if weight < len(planes):
+                planes[weight] = rows[0]
+            else:
+                planes.append(rows[0])
+            rows = np.concatenate(carries) if carries else rows[:0]
+            weight += 1
+    over, same = np.zeros(WIDE, np.uint64), np.full(WIDE, ~np.uint64(0))
+    half = len(hashes) // 2
+    for i in range(max(len(planes), half.bit_length()) - 1, -1, -1):
+        plane = planes[i] if i < len(planes) else np.zeros(WIDE, np.uint64)
+        if half >> i & 1:
+            same &= plane
+        else:
+            over |= same & plane
+            same &= ~plane
+    return over
+
+
 def simhash(words: list[bytes], k: int, seed: int = 42) -> int:
     """The fingerprint of a word sequence as a signed 64-bit number; shingles of k words, repeats included."""
     if not words:
@@ -315,19 +366,18 @@ def near_duplicates(docs: DataFrame, radius: int = 2, k: int = 3, id_col: str =
     return found.join(rooted.join(least, "root").select("fingerprint", "component_id"), "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def similar_texts(docs: DataFrame, similarity: float = 0.8, k: int = 5, id_col: str = "doc_id", text_col: str = "text", shard: int = SETS) -> DataFrame:
+def similar_texts(docs: DataFrame, similarity: float = 0.8, k: int = 5, id_col: str = "doc_id", text_col: str = "text", shard: int = SETS, radius: int = RADIUS) -> DataFrame:
     """node and root ids of texts whose sets of k-word shingles are similar (Jaccard), directly or by way of others; roots have no row.
 
-    64 bits tell similarities of 0.8 and below apart too badly, so candidates are groups of texts that share, directly or by way of others, a
-    band of ROWS least hashes of their sets; two sets of similarity 0.8 share one of the BANDS bands but for a chance of about 1 in
-    10 ** 9, whatever their sizes. In each group the whole sets are compared, and only sets that are similar (by hashes of 64 bits of their
-    shingles) are linked. Texts without words, and rows without ids, are linked with nothing; equal ids count as one.
+    Candidates come from BK-trees over SimHash fingerprints of the sets (candidate_links). In each group of candidates the whole sets are compared,
+    and only sets that are similar (by hashes of 64 bits of their shingles) are linked. Texts without words, and rows without ids, are linked with
+    nothing; equal ids count as one.
     """
 
     def banded(batches):
         freed()
         for batch in batches:
-            some, same, bands = [], [], []
+            some, same, bands, prints = [], [], [], []
             for t in batch.column(1):  # one text's words at a time
                 words = t.as_py().lower().split()
                 some.append(bool(words))
@@ -335,14 +385,8 @@ def similar_texts(docs: DataFrame, similarity: float = 0.8, k: int = 5, id_col:
                     s = shingle_set(words, k)
                     same.append(xxhash.xxh128_digest(s.tobytes()))
                     bands.append(band_keys(s).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(some, pa.bool_())), pa.array(same, pa.binary()), pa.array(bands, pa.binary())], names=["id", "same", "bands"])
-
-    def exploded(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                keys = np.frombuffer(b"".join(v.as_py() for v in part.column(1)), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(part.column(0).to_numpy(), BANDS))], names=["key", "id"])
+                    prints.append(wide_simhash(s).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(some, pa.bool_())), *(pa.array(x, pa.binary()) for x in (same, bands, prints))], names=["id", "same", "bands", "fingerprint"])
 
     def whole(batches):
         freed()
@@ -354,21 +398,44 @@ def similar_texts(docs: DataFrame, similarity: float = 0.8, k: int = 5, id_col:
         return ids[a], ids[b]
 
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    bands = staged(texts.mapInArrow(banded, "id long, same binary, bands binary"), "bands")
-    distinct = staged(bands.groupBy("same", "bands").agg(F.min("id").alias("id")), "distinct-sets")
-    same = bands.join(distinct.select("same", F.col("id").alias("first")), "same").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    keyed = distinct.select("id", "bands").mapInArrow(exploded, "key long, id long")
-    met = staged(keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("key", "first"), "met-bands")
-    grouped = components(keyed.join(small_or_shuffled(met, met.count()), "key").select(F.col("id").alias("a"), F.col("first").alias("b")))
+    bands = staged(texts.mapInArrow(banded, "id long, same binary, bands binary, fingerprint binary"), "bands")
+    distinct = staged(bands.groupBy("same", "bands", "fingerprint").agg(F.min("id").alias("id")), "distinct-sets")
+    same = bands.select("id", "same").join(distinct.select("same", F.col("id").alias("first")), "same").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    grouped = components(candidate_links(distinct.select("id", "bands", "fingerprint"), radius, shard))
     groups = staged(grouped.select("node", "root").union(grouped.select("root", "root").distinct()).select(F.col("node").alias("id"), F.col("root").alias("bits")), "groups")
     n_groups = groups.count()
     members = texts.join(small_or_shuffled(groups, n_groups), "id").where(F.length("text") > 0).select("bits", "id", "text")
     sets = staged(members.mapInArrow(whole, "bits long, id long, value binary"), "sets")
-    return components(alike_in_groups(sets, link, shard).union(same))
+    return components(alike_in_groups(sets, link, shard, ragged=True).union(same))
+
+
+def candidate_links(sets: DataFrame, radius: int, shard: int) -> DataFrame:
+    """Links a, b between sets(id, bands, fingerprint) that share a band and whose wide fingerprints differ in at most radius bits, found by BK-trees; of these links, enough to span them.
+
+    A block of a wide fingerprint's bits is no key for a shard: at a similarity of 0.8 any 20 bits agree with a chance of 1 in 26. The keys are the bands of ROWS
+    least hashes; two sets of similarity 0.8 share one of BANDS bands but for a chance of about 1 in 10 ** 9, whatever their sizes. Bands with the same least id are one shard,
+    as near copies share most of their bands.
+    """
+
+    def exploded(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                keys = np.frombuffer(b"".join(v.as_py() for v in part.column(1)), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(part.column(0).to_numpy(), BANDS))], names=["key", "id"])
+
+    def link(choice, bits, ids, prints, own):
+        a, b = shard_links(prints, own, radius)
+        return ids[a], ids[b]
+
+    keyed = sets.select("id", "bands").mapInArrow(exploded, "key long, id long")
+    met = staged(keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("key", "first"), "met-bands")
+    members = keyed.join(small_or_shuffled(met, met.count()), "key").select(F.col("first").alias("bits"), "id").distinct()
+    return alike_in_groups(staged(members.join(sets.select("id", F.col("fingerprint").alias("value")), "id").select("bits", "id", "value"), "shard-members"), link, shard)
 
 
-def alike_in_groups(sets: DataFrame, link, shard: int) -> DataFrame:
-    """Links a, b of the groups of sets(bits, id, value), bits being the least id of a group, so that all that link() finds alike are connected.
+def alike_in_groups(sets: DataFrame, link, shard: int, ragged: bool = False) -> DataFrame:
+    """Links a, b of the groups of sets(bits, id, value), bits being the least id of a group, so that all that link() finds alike are connected. An id may be in many groups.
 
     A large group is cut into pieces. First each piece is linked in itself and with the group's first set; a group of near copies falls together here,
     each set having been sent once. Then only sets outside the group's largest cluster (the rest) still have to meet those of other pieces:
@@ -382,7 +449,7 @@ def alike_in_groups(sets: DataFrame, link, shard: int) -> DataFrame:
     firsts = cut.where("id = bits AND pieces > 1").withColumn("choice", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).where("choice <> piece")
     columns = ["choice", "bits", "id", "value"]
     schema, roomy = "a long, b long", 3 * shard
-    found = staged(by_shard(cut.withColumn("choice", F.col("piece")).select(columns).union(firsts.select(columns)), link, schema, roomy, True), "links-in-pieces")
+    found = staged(by_shard(cut.withColumn("choice", F.col("piece")).select(columns).union(firsts.select(columns)), link, schema, roomy, ragged), "links-in-pieces")
     if not n_large:
         return found
     roots = components(found)
@@ -396,4 +463,4 @@ def alike_in_groups(sets: DataFrame, link, shard: int) -> DataFrame:
     told = cut.where("pieces > 1").join(small_or_shuffled(rest, n_rest), "bits").join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")).withColumn("own_rest", F.pmod(F.xxhash64("id", F.lit(1)), "rests").cast("int"))
     as_piece = told.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("rests") - 1))).withColumn("choice", F.col("piece") * F.col("rests") + F.col("other"))
     as_rest = told.where("root <> main").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).where("other <> piece").withColumn("choice", F.col("other") * F.col("rests") + F.col("own_rest"))
-    return found.union(by_shard(as_piece.select(columns).union(as_rest.select(columns)), link, schema, roomy, True))
+    return found.union(by_shard(as_piece.select(columns).union(as_rest.select(columns)), link, schema, roomy, ragged))
