@@ -463,4 +463,4 @@ def alike_in_groups(sets: DataFrame, link, shard: int, ragged: bool = False) ->
     told = cut.where("pieces > 1").join(small_or_shuffled(rest, n_rest), "bits").join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")).withColumn("own_rest", F.pmod(F.xxhash64("id", F.lit(1)), "rests").cast("int"))
     as_piece = told.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("rests") - 1))).withColumn("choice", F.col("piece") * F.col("rests") + F.col("other"))
     as_rest = told.where("root <> main").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).where("other <> piece").withColumn("choice", F.col("other") * F.col("rests") + F.col("own_rest"))
-    return found.union(by_shard(as_piece.select(columns).union(as_rest.select(columns)), link, schema, roomy, ragged))
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(by_shard(as_piece.select(columns).union(as_rest.select(columns)), link, schema, roomy, ragged))

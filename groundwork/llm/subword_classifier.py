@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import crc_of_id, held, unused
+from groundwork.llm.common import crc_of_id, freed, held, unused
 
 BUCKETS, SIZE, GRAMS = 1 << 18, 16, (3, 4, 5)
 #: The feature of a repeated word; the hashed features have the buckets before it.
@@ -98,15 +98,19 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     sample = known.groupBy(id_col).agg(F.max(label_col).cast("int").alias("label")).orderBy(F.xxhash64(id_col), id_col).limit(most)
 
     def run(batches):
+        freed()
         for batch in batches:
             found = [bag(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float32()))], names=["label", "buckets", "shares"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float32()))], names=["label", "buckets", "shares"])
 
     texts = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample), id_col).groupBy(id_col, "label").agg(F.min("text").alias("text"))
-    rows = texts.select("label", "text").mapInArrow(run, "label int, buckets array<long>, shares array<float>").toArrow()
+    rows = texts.select("label", "text").mapInArrow(run, "label int, buckets array<int>, shares array<float>").toArrow()
     bags = [(b.values.to_numpy(), s.values.to_numpy()) for b, s in zip(rows["buckets"], rows["shares"], strict=True)]
     order = sorted(range(len(bags)), key=lambda i: (len(bags[i][0]), bags[i][0][:8].tolist(), bags[i][1][:8].tolist()))
-    return train([bags[i] for i in order], rows["label"].to_numpy()[order])
+    model = train([bags[i] for i in order], rows["label"].to_numpy()[order])
+    del rows, bags
+    freed()
+    return model
 
 
 class FeatureCounts(dict):
