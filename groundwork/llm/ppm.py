@@ -389,7 +389,7 @@ def scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
     """Learn from the rows of docs where held_out is false and score all: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     counts, whole, lows, numbers = sharded(staged(count_strings(texts.where("NOT held_out").select("text"), order), "strings"), order, SHARD_STRINGS)
-    cut = staged(texts.mapInArrow(lambda batches: parts(batches, order, lows, numbers), _PARTS), "parts", "kind")
+    cut = staged(texts.mapInArrow(lambda batches: parts(batches, order, lows, numbers), _PARTS), "parts")
     replied = staged(word_totals(cut.where("kind = 'word'").select("part", "word", "n")), "word-totals")
     ends = texts.where("NOT held_out").count()
     told = replied.agg(F.coalesce(F.sum("kinds"), F.lit(0)).alias("kinds"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()

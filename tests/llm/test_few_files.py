@@ -1,6 +1,6 @@
 """Small tables are written as few files, however many partitions a shuffle has: each file costs an executor on a local store two processes."""
 
-from groundwork.llm import components
+from groundwork.llm import components, ppm
 
 
 def test_links_are_written_as_few_files(spark, monkeypatch):
@@ -19,3 +19,11 @@ def test_links_are_written_as_few_files(spark, monkeypatch):
     finally:
         for k, v in was.items():
             spark.conf.set(k, v)
+
+
+def test_parts_are_written_as_a_file_a_task(spark, monkeypatch):
+    written, real = {}, ppm.staged
+    monkeypatch.setattr(ppm, "staged", lambda df, name, *more: written.setdefault(name, real(df, name, *more)))
+    docs = spark.createDataFrame([(i, f"some words {i} and words") for i in range(40)], "doc_id long, text string").repartition(4)
+    assert ppm.scores(docs, ppm.held_out()).count() == 40
+    assert 0 < len(written["parts"].inputFiles()) <= 4
