@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import json
 import os
-from functools import lru_cache
 
 import regex
 
+from groundwork.llm.common import until_freed
+
 _PLAIN = regex.compile(r"[!-~¡-ÿ]*")
 
 
@@ -80,6 +81,6 @@ def chunks(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
-@lru_cache(maxsize=4)
+@until_freed
 def vocabulary(path: str) -> WordVocabulary:
     return WordVocabulary(path)

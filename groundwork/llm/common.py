@@ -5,7 +5,8 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +79,15 @@ def row_keyed(docs: DataFrame) -> tuple[DataFrame, str]:
 
 
 _HELD: dict = {}
+#: Empty the caches that freed() empties with it.
+_CACHES: list[Callable[[], None]] = []
+
+
+def until_freed(make):
+    """make, with its last results remembered until freed()."""
+    cached = lru_cache(maxsize=4)(make)
+    _CACHES.append(cached.cache_clear)
+    return cached
 
 
 def held(key, make):
@@ -89,8 +99,10 @@ def held(key, make):
 
 
 def freed() -> None:
-    """Drop the memory that held() keeps in this Python worker: operators that do not use it call this first."""
+    """Drop the memory that held() and until_freed() keep in this Python worker: operators that do not use it call this first."""
     _HELD.clear()
+    for clear in _CACHES:
+        clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:

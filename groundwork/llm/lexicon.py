@@ -36,6 +36,8 @@ NONE = 1 << 60
 LEXICON_WORDS, LEXICON_LETTERS = 100_000, 64
 #: Bytes of text that a task looks at together.
 SLICE_BYTES = 2_000_000
+#: Pieces that are merged together: some 400 bytes of memory for each letter that fits the longest.
+TOGETHER = 4_000
 
 
 class Merger:
@@ -69,8 +71,8 @@ class Merger:
             else:
                 by_size.setdefault(-(-len(p) // 8), []).append(i)
         for places in by_size.values():
-            for at in range(0, len(places), 20_000):
-                some = places[at : at + 20_000]
+            for at in range(0, len(places), TOGETHER):
+                some = places[at : at + TOGETHER]
                 for i, ids in zip(some, self._together([pieces[i] for i in some]), strict=True):
                     out[i] = ids
         return out
@@ -295,6 +297,8 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
     merger, letters = Merger(tokenizer_path), vocabulary(tokenizer_path).to_letters
     pieces = list(map(letters, frequent_words(docs, text_col, most)))
     data = compile_lexicon({p.encode(): ids for p, ids in zip(pieces, merger.many(pieces), strict=True)})
+    del merger, letters, pieces
+    freed()
     return share_file(docs.sparkSession, "lexicon", data)
 
 

@@ -21,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundwork.llm.common import crc_of_id, freed, held, unused
+from groundwork.llm.common import byte_slices, crc_of_id, freed, held, unused
 
 BUCKETS, SIZE, GRAMS = 1 << 18, 16, (3, 4, 5)
 #: The feature of a repeated word; the hashed features have the buckets before it.
 REPEAT = BUCKETS
 TRAIN_DOCS = 6_000
 EPOCHS, RATE = 8, 0.5
+#: Bytes of text that a task looks at together, and words whose features are made together.
+SLICE_BYTES, SLICE_WORDS = 500_000, 10_000
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -100,8 +102,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     def run(batches):
         freed()
         for batch in batches:
-            found = [bag(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float32()))], names=["label", "buckets", "shares"])
+            for part in byte_slices(batch, 1, SLICE_BYTES):
+                found = [bag(t) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float32()))], names=["label", "buckets", "shares"])
 
     texts = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample), id_col).groupBy(id_col, "label").agg(F.min("text").alias("text"))
     rows = texts.select("label", "text").mapInArrow(run, "label int, buckets array<int>, shares array<float>").toArrow()
@@ -122,23 +125,33 @@ class FeatureCounts(dict):
 
 
 class Scorer:
-    """Scores texts, remembering the sums of at most `most` words."""
+    """Scores texts, remembering the sums of about `most` words and those of the last texts.
 
-    def __init__(self, table: np.ndarray, bias: float, most: int = 400_000):
-        self.table, self.bias, self.most = table.astype(np.float64), bias, most
+    Half of them are the words wanted last; when that is full it becomes the older half, of which only what is wanted again is taken over.
+    """
+
+    def __init__(self, table: np.ndarray, bias: float, most: int = 100_000, longest: int = 100):
+        self.table, self.bias, self.most, self.longest = table.astype(np.float64), bias, most, longest
         self.sums: dict[str, float] = {}
+        self.older: dict[str, float] = {}
+        self.passing: list[str] = []
         self.counts = FeatureCounts()
 
     def scores(self, texts: list[str]) -> list[float]:
-        if len(self.sums) > self.most:
-            self.sums.clear()
+        for w in self.passing:
+            del self.sums[w]
+        if len(self.sums) > self.most // 2:
+            self.older, self.sums = self.sums, {}
         cut = [t.split() for t in texts]
         words: set[str] = set()
         for c in cut:
             words.update(c)
-        unseen = list(words.difference(self.sums))
-        for at in range(0, len(unseen), 50_000):
-            part = unseen[at : at + 50_000]
+        words.difference_update(self.sums)
+        self.sums.update((w, self.older[w]) for w in words.intersection(self.older))
+        unseen = list(words.difference(self.older))
+        self.passing = [w for w in unseen if len(w) > self.longest]
+        for at in range(0, len(unseen), SLICE_WORDS):
+            part = unseen[at : at + SLICE_WORDS]
             place, bucket = features(part)
             self.sums.update(zip(part, np.bincount(place, self.table[bucket], len(part)).tolist(), strict=True))
         total, count = self.sums.__getitem__, self.counts.__getitem__
@@ -159,8 +172,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple[str, ...
     def run(batches):
         scorer = held(("scorer", mark), lambda: Scorer(*shared.value))
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in byte_slices(batch, at_text, SLICE_BYTES):
                 found = scorer.scores([t or "" for t in part.column(at_text).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), pa.array(found, pa.float64())], names=[*keep, name])
 
