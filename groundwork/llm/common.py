@@ -48,9 +48,12 @@ def unused(df: DataFrame, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage ends here, and lost executors lose nothing."""
+    """Write df as Parquet in the shared folder and read it back: lineage ends here, and lost executors lose nothing.
+
+    Nobody else reads the folder, so it gets no _SUCCESS marker, whose two files would start two of chmod beside the driver on a local store.
+    """
     path = new_path(df.sparkSession, name)
-    writer = df.write
+    writer = df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)

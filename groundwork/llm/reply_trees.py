@@ -115,8 +115,13 @@ def chosen_messages(messages: DataFrame, best: int = 1, most_rounds: int = 40) -
     ways, climbing = _jumps(messages, most_rounds)
     chosen = _ranked(ways, messages).where(F.col("branch_rank") <= best)
     reached = staged(chosen.select("tree", "leaf", "branch_rank", F.col("leaf").alias("node"), (F.col("depth") - 1).alias("turn")), "path")
-    for j in range(len(climbing) - 1, -1, -1):  # each message also gives the one 2^j above it
-        above = reached.join(climbing[j], ["tree", "node"]).select("tree", "leaf", "branch_rank", F.col("up").alias("node"), (F.col("turn") - (1 << j)).alias("turn"))
+    for j in range(len(climbing) - 1, -1, -2):  # each message also gives the ones 2^j, 2^(j - 1) and both of these above it, so that two rounds' ways are gone in one
+        ways = climbing[j].select("tree", "node", "up", F.lit(1 << j).alias("far"))
+        if j:
+            half = climbing[j - 1].select("tree", "node", "up", F.lit(1 << j - 1).alias("far"))
+            both = ways.join(half.select("tree", F.col("node").alias("up"), F.col("up").alias("up2")), ["tree", "up"]).select("tree", "node", F.col("up2").alias("up"), F.lit((1 << j) + (1 << j - 1)).alias("far"))
+            ways = ways.union(half).union(both)
+        above = reached.join(ways, ["tree", "node"]).select("tree", "leaf", "branch_rank", F.col("up").alias("node"), (F.col("turn") - F.col("far")).alias("turn"))
         reached = staged(reached.union(above), "path")
     return reached.distinct()
 
