@@ -25,10 +25,6 @@ cut into pieces for counting and scoring, but is one row. An empty table gives n
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-from itertools import islice
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -42,7 +38,6 @@ ORDER, SHARD_STRINGS, CELL_STRINGS = 5, 500_000, 2_000_000
 #: Bytes of text counted or scored at a time, distinct strings held while counting, and bytes of text of a part.
 BATCH_BYTES, HELD_STRINGS, PART_BYTES = 1_000_000, 1_000_000, 8_000_000
 _END = b"\xff"  # no UTF-8 text holds this byte
-_WHITE = re.compile(rb"[ \t-\r]")
 
 
 def pieces(texts: pa.Array, order: int, most: int):
@@ -60,16 +55,19 @@ def pieces(texts: pa.Array, order: int, most: int):
         yield held
 
 
-def stretches(text: bytes, most: int):
-    """The text in stretches of about `most` bytes, none of which cuts a word."""
-    at = 0
-    while at < len(text):
-        end = at + most
-        if end < len(text):
-            white = _WHITE.search(text, end)
-            end = white.start() if white else len(text)
-        yield text[at:end]
-        at = end
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of binary texts, A-Z lower-cased, one text's after the other's, and how many each text has."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    flat, sizes = cut.flatten(), pc.list_value_length(cut).to_numpy().astype(np.int64)
+    some = pc.binary_length(flat).to_numpy() > 0  # white space at a text's ends leaves empty words
+    kept, ends = np.concatenate([[0], np.cumsum(some)]), np.cumsum(sizes)
+    return flat.filter(pa.array(some)), kept[ends] - kept[ends - sizes]
+
+
+def numbered(words: list[pa.Array]) -> tuple[np.ndarray, pa.Array]:
+    """The place of each word among the distinct ones, and these."""
+    found = pa.chunked_array(words, pa.string()).dictionary_encode().combine_chunks()
+    return found.indices.to_numpy(), found.dictionary
 
 
 def strings(cut: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -267,16 +265,10 @@ def of_strings(strings: np.ndarray, codes: np.ndarray, log: np.ndarray) -> np.nd
     return out
 
 
-def count_words(into: Counter, text: bytes, trained: bool) -> None:
-    """Add a text's words; those of a text that is not trained on only stand there."""
-    for stretch in stretches(text, BATCH_BYTES):
-        words = stretch.split()
-        if trained:
-            into.update(words)
-        else:
-            for w in set(words):
-                if w not in into:
-                    into[w] = 0
+def count_words(words: pa.Array, trained: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Distinct words and how many of each are trained on; those that never are only stand there."""
+    place, names = numbered([words])
+    return names, np.bincount(place[trained], minlength=len(names))
 
 
 def parts(batches, order: int, lows: np.ndarray, numbers: np.ndarray):
@@ -284,7 +276,7 @@ def parts(batches, order: int, lows: np.ndarray, numbers: np.ndarray):
     from pyspark import TaskContext
 
     part, size = TaskContext.get().partitionId() << 24, 0
-    words: Counter[bytes] = Counter()
+    words: list[tuple[pa.Array, np.ndarray]] = []
     codes: list[np.ndarray] = []
 
     def closed():
@@ -293,18 +285,19 @@ def parts(batches, order: int, lows: np.ndarray, numbers: np.ndarray):
         for s in np.unique(shard).tolist():
             mine = every[shard == s]
             yield part_rows("ask", 1, part=pa.array([part]), n=pa.array([len(mine)]), shard=pa.array([s], pa.int32()), codes=pa.array([coded(mine)], pa.binary()))
-        listed = iter(words.items())
-        while some := list(islice(listed, 50_000)):
-            yield part_rows("word", len(some), part=pa.array(np.full(len(some), part)), word=pa.array([w for w, _ in some], pa.binary()), n=pa.array([n for _, n in some], pa.int64()))
+        place, names = numbered([w for w, _ in words])
+        n = np.bincount(place, np.concatenate([k for _, k in words]), len(names)).astype(np.int64)
+        for at in range(0, len(names), 50_000):
+            some = names[at : at + 50_000]
+            yield part_rows("word", len(some), part=pa.array(np.full(len(some), part)), word=some.view(pa.binary()), n=pa.array(n[at : at + 50_000]))
 
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             rows = batch.slice(at, 256)
             yield part_rows("doc", 1, part=pa.array([part]), block=pa.array([blocked(rows)], pa.binary()))
-            for text, out in zip(rows.column(2), rows.column(1).to_pylist(), strict=True):
-                low = text.as_py().lower()
-                size += len(low) + 1
-                count_words(words, low, not out)
+            size += pc.sum(pc.binary_length(rows.column(2))).as_py() + rows.num_rows
+            said, each = words_of(rows.column(2))
+            words.append(count_words(said, np.repeat(~rows.column(1).to_numpy(zero_copy_only=False), each)))
             for cut in pieces(rows.column(2), order, BATCH_BYTES):
                 codes.append(distinct_of([strings([b for _, b in cut], order)[0]]))
             if sum(map(len, codes)) > 2 * HELD_STRINGS:
@@ -407,15 +400,14 @@ def scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
         log = np.concatenate([np.zeros(0), *(np.frombuffer(b.as_buffer(), np.float64) for b in blobs["logs"])])
         by = np.argsort(codes)
         codes, log = codes[by], log[by]
-        words: Counter[bytes] = Counter()
-        for rows in docs:
-            for text, out in zip(rows.column(2), rows.column(1).to_pylist(), strict=True):
-                count_words(words, text.as_py().lower(), not out)
+        cut = [words_of(rows.column(2)) for rows in docs]
+        place, names = numbered([w for w, _ in cut])
+        trained = [np.repeat(~rows.column(1).to_numpy(zero_copy_only=False), n) for rows, (_, n) in zip(docs, cut, strict=True)]
+        count = np.bincount(place[np.concatenate([np.zeros(0, bool), *trained])], minlength=len(names))
         said = right.filter(pc.is_valid(right["words"]))
-        for some, ns in zip(said["words"], said["ns"], strict=True):
-            words.update({w: n - words[w] for w, n in zip(plain(some.as_buffer()).split(), np.frombuffer(plain(ns.as_buffer()), np.int64).tolist(), strict=True)})
-        known = dict(zip(words, np.log10(np.fromiter(words.values(), np.int64, len(words)) + 1.0).tolist(), strict=True))
-        words.clear()
+        others = words_of(pa.array([plain(b.as_buffer()) for b in said["words"]], pa.binary()))[0]  # these have their counts in the whole corpus
+        count[pc.index_in(others, value_set=names).to_numpy()] = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(plain(b.as_buffer()), np.int64) for b in said["ns"])])
+        known, passed = np.log10(count + 1.0)[place], 0
         results = []
         for rows in docs:
             k = rows.num_rows
@@ -423,14 +415,12 @@ def scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
             for some in pieces(rows.column(2), order, BATCH_BYTES):
                 each_byte, starts = strings([b for _, b in some], order)
                 np.add.at(score, [r for r, _ in some], np.add.reduceat(of_strings(each_byte, codes, log), starts))
-            for text in rows.column(2):
-                n, n_in, total = 1, int(ends > 0), end
-                for stretch in stretches(text.as_py().lower(), BATCH_BYTES):
-                    counted = list(map(known.__getitem__, stretch.split()))
-                    n, n_in, total = n + len(counted), n_in + len(counted) - counted.count(0.0), total + sum(counted)
-                n_tokens.append(n)
-                n_known.append(n_in)
-                base.append(total - each * n)
+            for n in cut.pop(0)[1].tolist():
+                counted = known[passed : passed + n].tolist()
+                passed += n
+                n_tokens.append(n + 1)
+                n_known.append(int(ends > 0) + n - counted.count(0.0))
+                base.append(end + sum(counted) - each * (n + 1))
             results.append(pa.table({"doc_id": rows.column(0), "held_out": rows.column(1), "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array([tokens] * k, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(score)}))
         return pa.concat_tables(results)
 
